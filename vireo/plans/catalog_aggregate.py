@@ -284,8 +284,7 @@ def grouping_sets(spark, sf):
 SELECT quantile_cont(l_quantity, 0.1) AS p10, quantile_cont(l_quantity, 0.5) AS p50,
        quantile_cont(l_quantity, 0.9) AS p90 FROM lineitem""")
 def quantiles_exact(spark, sf):
-    q = agg.quantiles(_l(spark, sf), ["l_quantity"], [0.1, 0.5, 0.9], exact=True)
-    return q.select(*[F.get("l_quantity", i).alias(n) for i, n in enumerate(["p10", "p50", "p90"])])
+    return agg.exact_quantiles(_l(spark, sf), "l_quantity", [0.1, 0.5, 0.9])
 
 
 @query("quantiles_approx")

@@ -73,3 +73,258 @@ def abc_summary_q(spark, sf):
     items = revenue_by_item(spark, sf)
     classified = abc.abc_classify(items, "total_revenue", "cumrevenue", "category")
     return abc.abc_summary(classified, "total_revenue", "category")
+
+
+# ----------------------------------------------------------------- K01 / J16
+from vireo.functions import text as _text  # noqa: E402
+from vireo.functions.logs import parse_access_log  # noqa: E402
+from vireo.operators import aggregate as _agg  # noqa: E402
+from vireo.plans import accesslog, profile as _profile, supply  # noqa: E402
+from vireo.sources.tables import table  # noqa: E402
+
+_WORDS_SQL = r"""
+WITH w AS (SELECT unnest(regexp_split_to_array(lower(text), '\s+')) AS word FROM documents)
+"""
+
+
+@query("wordcount", sql=_WORDS_SQL + "SELECT word, count(*) AS count FROM w WHERE word <> '' GROUP BY word")
+def wordcount(spark, sf):
+    return _text.token_counts(table(spark, sf, "documents"), "text")
+
+
+@query("wordcount_top20", sql=_WORDS_SQL + """
+SELECT word, count(*) AS count FROM w WHERE word <> '' GROUP BY word ORDER BY count DESC, word LIMIT 20""")
+def wordcount_top20(spark, sf):
+    return _text.top_tokens(table(spark, sf, "documents"), "text", 20)
+
+
+@query("charcount", sql="""
+WITH c AS (SELECT unnest(string_split(text, '')) AS ch FROM documents)
+SELECT ch, count(*) AS count FROM c WHERE ch <> '' GROUP BY ch""")
+def charcount(spark, sf):
+    return _text.token_counts(table(spark, sf, "documents"), "text", unit="char", lower=False, out="ch")
+
+
+def word_freq(spark, sf):
+    """Static side of the stream–static join: word frequencies of ``benchmark``."""
+    return _text.token_counts(table(spark, sf, "benchmark"), "text").withColumnRenamed("count", "freq")
+
+
+def weighted_counts(words, freq):
+    """Words ⟕ static frequencies, missing freq → 0, count per
+    (word, freq), weighted by freq.  The static side is a word table; the
+    planner broadcasts it only if AQE measures it small."""
+    j = words.join(freq, "word", "left_outer").fillna(0, subset=["freq"])
+    return (j.groupBy("word", "freq").agg(F.count(F.lit(1)).alias("count"))
+            .withColumn("wtdfreq", F.col("freq") * F.col("count")))
+
+
+@query("static_join_batch", sql=r"""
+WITH w AS (SELECT unnest(regexp_split_to_array(lower(text), '\s+')) AS word FROM documents),
+b AS (SELECT unnest(regexp_split_to_array(lower(text), '\s+')) AS word FROM benchmark),
+f AS (SELECT word, count(*) AS freq FROM b WHERE word <> '' GROUP BY word),
+j AS (SELECT w.word, coalesce(f.freq, 0) AS freq FROM w LEFT JOIN f ON w.word = f.word WHERE w.word <> '')
+SELECT word, freq, count(*) AS count, freq * count(*) AS wtdfreq FROM j GROUP BY word, freq""")
+def static_join_batch(spark, sf):
+    words = _text.tokens(table(spark, sf, "documents"), "text")
+    return weighted_counts(words, word_freq(spark, sf))
+
+
+# ----------------------------------------------------------------- K02
+_LOG_SQL = """
+WITH ev AS (
+  SELECT 'host' || CAST(user_id AS VARCHAR) AS host,
+         '/' || event_type || '/item' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS endpoint,
+         CASE WHEN event_type = 'error' THEN '404' ELSE '200' END AS status,
+         CASE WHEN event_type = 'signup' THEN 0 ELSE CAST(round(value * 100) AS BIGINT) END AS size,
+         CAST(day(ts) AS INTEGER) AS day
+  FROM events WHERE NOT (event_type = 'view' AND value < 2))
+"""
+
+
+def _logs(spark, sf):
+    return parse_access_log(accesslog.lines_from_events(spark, sf))
+
+
+@query("parse_access_log", sql=_LOG_SQL + """
+SELECT host AS ipAddress, endpoint AS endPoint, status AS responseCode, size AS contentSize FROM ev""")
+def parse_access_log_q(spark, sf):
+    return _logs(spark, sf).select("ipAddress", "endPoint", "responseCode", "contentSize")
+
+
+@query("log_size_stats", sql=_LOG_SQL + """
+SELECT avg(size) AS avg_size, min(size) AS min_size, max(size) AS max_size FROM ev""")
+def log_size_stats(spark, sf):
+    return accesslog.size_stats(_logs(spark, sf))
+
+
+@query("log_status_counts", sql=_LOG_SQL + "SELECT status AS responseCode, count(*) AS count FROM ev GROUP BY 1")
+def log_status_counts(spark, sf):
+    return accesslog.status_counts(_logs(spark, sf))
+
+
+@query("log_hosts_over", sql=_LOG_SQL + """
+SELECT host AS ipAddress, count(*) AS count FROM ev GROUP BY 1 HAVING count(*) > 10
+ORDER BY count DESC, ipAddress LIMIT 20""")
+def log_hosts_over(spark, sf):
+    return accesslog.hosts_over(_logs(spark, sf), 10, 20)
+
+
+@query("log_top_endpoints", sql=_LOG_SQL + """
+SELECT endpoint AS endPoint, count(*) AS count FROM ev GROUP BY 1 ORDER BY count DESC, endPoint LIMIT 10""")
+def log_top_endpoints(spark, sf):
+    return accesslog.top_endpoints(_logs(spark, sf), 10)
+
+
+@query("log_unique_hosts", sql=_LOG_SQL + "SELECT count(DISTINCT host) AS hosts FROM ev")
+def log_unique_hosts(spark, sf):
+    return accesslog.unique_hosts(_logs(spark, sf))
+
+
+@query("log_daily_hosts", sql=_LOG_SQL + "SELECT day, count(DISTINCT host) AS hosts FROM ev GROUP BY day")
+def log_daily_hosts(spark, sf):
+    return accesslog.daily_hosts(_logs(spark, sf))
+
+
+@query("log_daily_requests", sql=_LOG_SQL + "SELECT day, count(*) AS requests FROM ev GROUP BY day")
+def log_daily_requests(spark, sf):
+    return accesslog.daily_requests(_logs(spark, sf))
+
+
+@query("log_avg_requests", sql=_LOG_SQL + """
+SELECT day, CAST(count(*) // count(DISTINCT host) AS BIGINT) AS avg_requests FROM ev GROUP BY day""")
+def log_avg_requests(spark, sf):
+    return accesslog.avg_requests_per_host(_logs(spark, sf))
+
+
+@query("log_bad_count", sql=_LOG_SQL + "SELECT count(*) AS bad FROM ev WHERE status = '404'")
+def log_bad_count(spark, sf):
+    return accesslog.bad_count(_logs(spark, sf))
+
+
+@query("log_bad_hosts", sql=_LOG_SQL + """
+SELECT host AS ipAddress, count(*) AS count FROM ev WHERE status = '404' GROUP BY 1
+ORDER BY count DESC, ipAddress LIMIT 5""")
+def log_bad_hosts(spark, sf):
+    return accesslog.bad_hosts(_logs(spark, sf))
+
+
+@query("log_bad_endpoints", sql=_LOG_SQL + """
+SELECT endpoint AS endPoint, count(*) AS count FROM ev WHERE status = '404' GROUP BY 1
+ORDER BY count DESC, endPoint LIMIT 5""")
+def log_bad_endpoints(spark, sf):
+    return accesslog.bad_endpoints(_logs(spark, sf))
+
+
+# ----------------------------------------------------------------- K03
+@query("salted_sum", sql="""
+SELECT CASE WHEN l_returnflag = 'N' THEN 0 ELSE l_suppkey END AS key, sum(l_quantity) AS total
+FROM lineitem GROUP BY 1""")
+def salted_sum(spark, sf):
+    # one key (returnflag N → supplier 0) holds about a third of all rows
+    li = table(spark, sf, "lineitem")
+    skewed = li.select(F.when(F.col("l_returnflag") == "N", F.lit(0).cast("long"))
+                       .otherwise(F.col("l_suppkey")).alias("key"),
+                       "l_quantity", "l_orderkey", "l_linenumber", "l_partkey")
+    return _agg.salted_sum(skewed, "key", "l_quantity", salts=10,
+                           salt_by=["l_orderkey", "l_linenumber", "l_partkey"])
+
+
+# ----------------------------------------------------------------- K05 / K06 / J15
+_SHIP_SQL = """
+WITH sh AS (
+  SELECT s_suppkey AS vendorkey, s_name AS vendor, n_name AS country, p_type AS moleculetesttype,
+         l_quantity AS wkg, CAST(l_extendedprice AS DECIMAL(18,2)) AS litemval,
+         CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2)) AS frtcost,
+         CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2)) AS inscost
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+  JOIN part ON l_partkey = p_partkey)
+"""
+
+
+@query("vendor_cost", sql=_SHIP_SQL + """
+, g AS (SELECT moleculetesttype, vendor, sum(wkg) AS totqty, CAST(sum(litemval) AS DOUBLE) AS totvalue,
+               CAST(sum(frtcost) AS DOUBLE) AS totshippingcost, CAST(sum(inscost) AS DOUBLE) AS insurcost
+        FROM sh GROUP BY 1, 2)
+SELECT *, totqty + totvalue + totshippingcost + insurcost AS totalcost FROM g""")
+def vendor_cost(spark, sf):
+    return supply.vendor_cost(supply.shipments(spark, sf))
+
+
+@query("join_aggregates", sql=_SHIP_SQL + """
+, d AS (SELECT country, moleculetesttype, sum(wkg) AS demand FROM sh GROUP BY 1, 2)
+, c AS (SELECT country, moleculetesttype, vendor, count(*) AS noorders FROM sh GROUP BY 1, 2, 3)
+SELECT country, moleculetesttype, demand, vendor, noorders FROM d JOIN c USING (country, moleculetesttype)""")
+def join_aggregates(spark, sf):
+    sh = supply.shipments(spark, sf)
+    d = sh.groupBy("country", "moleculetesttype").agg(F.sum("weightkilograms").alias("demand"))
+    c = sh.groupBy("country", "moleculetesttype", "vendor").agg(F.count(F.lit(1)).alias("noorders"))
+    return d.join(c, ["country", "moleculetesttype"]).select(
+        "country", "moleculetesttype", "demand", "vendor", "noorders")
+
+
+@query("eoq_tlc", sql=_SHIP_SQL + """
+, d AS (SELECT country, moleculetesttype, sum(wkg) AS demand FROM sh GROUP BY 1, 2)
+, c AS (SELECT vendorkey, vendor, country, moleculetesttype, count(*) AS noorders, sum(wkg) AS vsupply,
+               CAST(sum(litemval) AS DOUBLE) AS itemcost, CAST(sum(frtcost) + sum(inscost) AS DOUBLE) AS tordercost
+        FROM sh GROUP BY 1, 2, 3, 4)
+, x AS (SELECT *, vsupply / noorders AS batchsize, tordercost / noorders AS ordercost,
+               (1 + vendorkey % 9) / 10.0 AS rhc FROM c)
+, e AS (SELECT x.*, demand, 2 * sqrt(demand * ordercost / (rhc * batchsize)) AS eoq FROM d JOIN x USING (country, moleculetesttype))
+SELECT vendor, country, moleculetesttype, demand, ordercost, batchsize, rhc, eoq,
+       (CASE WHEN eoq = 0 THEN NULL ELSE demand / eoq END) * ordercost + eoq / 2 * rhc * batchsize
+       + (CASE WHEN vsupply = 0 THEN NULL ELSE itemcost / vsupply END) * demand AS tlc
+FROM e""")
+def eoq_tlc(spark, sf):
+    return supply.eoq_tlc(supply.shipments(spark, sf))
+
+
+# ----------------------------------------------------------------- K07
+_PROFILE_SQL = """
+WITH dp AS (
+  SELECT p_partkey, nullif(p_size, 1) AS size,
+         CASE WHEN p_type = 'SMALL' THEN NULL ELSE CAST(round(p_retailprice * 100) AS BIGINT) END AS cents
+  FROM part),
+long AS (SELECT 'p_partkey' AS "column", CAST(p_partkey AS DOUBLE) AS v FROM dp
+         UNION ALL SELECT 'size', CAST(size AS DOUBLE) FROM dp
+         UNION ALL SELECT 'cents', CAST(cents AS DOUBLE) FROM dp),
+freq AS (SELECT "column", v, count(*) AS n FROM long WHERE v IS NOT NULL GROUP BY 1, 2),
+mode AS (SELECT "column", first(v ORDER BY n DESC, v ASC) AS mode FROM freq GROUP BY 1)
+SELECT l."column", count(*) AS rows, count(*) - count(v) AS nulls, avg(v) AS mean,
+       round(stddev_samp(v), 6) AS stddev, quantile_cont(v, 0.5) AS median, max(mode) AS mode
+FROM long l JOIN mode m ON l."column" = m."column" GROUP BY l."column"
+"""
+
+
+@query("profile_table", sql=_PROFILE_SQL)
+def profile_table(spark, sf):
+    from vireo.plans.catalog_relational import dirty_part
+    dp = dirty_part(spark, sf).select("p_partkey", "size", "cents")
+    return _profile.profile(dp).withColumn("stddev", F.round("stddev", 6))
+
+
+# ----------------------------------------------------------------- R05 / R16 batch twins
+@query("window_sliding", sql="""
+WITH s AS (
+  SELECT event_type, ts, time_bucket(INTERVAL '10 minutes', ts) - i * INTERVAL '10 minutes' AS start
+  FROM events, unnest(generate_series(0, 1)) AS g(i))
+SELECT start AS window_start, start + INTERVAL '20 minutes' AS window_end, event_type, count(*) AS count
+FROM s WHERE start <= ts AND ts < start + INTERVAL '20 minutes' GROUP BY 1, 2, 3""")
+def window_sliding(spark, sf):
+    from vireo.streaming.windows import sliding_counts
+    e = table(spark, sf, "events")
+    return sliding_counts(e, "ts", "20 minutes", "10 minutes", ["event_type"])
+
+
+@query("session_summary", sql="""
+WITH o AS (SELECT user_id, ts, value, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
+f AS (SELECT *, CASE WHEN prev IS NULL OR ts - prev >= INTERVAL '30 minutes' THEN 1 ELSE 0 END AS brk FROM o),
+s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM f)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '30 minutes' AS session_end,
+       count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM s GROUP BY user_id, sid""")
+def session_summary(spark, sf):
+    from vireo.streaming.windows import session_summary as _ss
+    e = table(spark, sf, "events")
+    return _ss(e, "ts", "30 minutes", ["user_id"], "value")
