@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from vireo.operators import aggregate as agg
 from vireo.operators.window import running_share, running_sum
+from vireo.plans.quotes import quote_stats, quotes
 from vireo.plans.registry import query
 from vireo.plans.standins import money, retail_lines, revenue_by_item
 from vireo.sources.tables import table
@@ -199,25 +200,6 @@ def group_sum_product(spark, sf):
         F.sum(money("quantity") * money("price")).cast("double").alias("revenue"))
 
 
-def quotes(spark, sf):
-    """Quote stand-in: symbol = brand, close = unit price, qty, value."""
-    li = _l(spark, sf).select("l_partkey", "l_quantity", "l_extendedprice")
-    p = table(spark, sf, "part").select("p_partkey", "p_brand", "p_retailprice")
-    return li.join(p, li.l_partkey == p.p_partkey).select(
-        F.col("p_brand").alias("symbol"), F.col("p_retailprice").alias("close"),
-        F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("value"))
-
-
-def quote_stats(df):
-    """Per symbol avg/sum of quantity and value, min/max close.
-    Money is summed as exact decimals; batch and stream share this."""
-    sumval = F.sum(money("value")).cast("double")
-    return df.groupBy("symbol").agg(
-        F.avg("qty").alias("avgqty"), (sumval / F.count("value")).alias("avgval"),
-        F.sum("qty").alias("totqty"), sumval.alias("sumval"),
-        F.min("close").alias("mincls"), F.max("close").alias("maxcls"))
-
-
 @query("quote_stats", sql="""
 SELECT p_brand AS symbol, avg(l_quantity) AS avgqty,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(l_extendedprice) AS avgval,
