@@ -12,6 +12,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app="vireo-tests", shuffle_partitions=8)
+    import tempfile
+    wh = tempfile.mkdtemp(prefix="vireo-wh-")
+    s = build_session("local[4]", app="vireo-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()

@@ -23,21 +23,30 @@ def jdbc_upsert_batches(df: DataFrame, url: str, table: str, checkpoint: str, mo
     """Each micro-batch appended to a JDBC table with its batch id; a
     replayed batch id that is already stored is skipped, so a restart does not
     duplicate rows.  Columns are written by name."""
+    w = df.writeStream.outputMode(mode).foreachBatch(jdbc_batch_writer(url, table, props)) \
+        .option("checkpointLocation", checkpoint)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
+def jdbc_batch_writer(url: str, table: str, props: Mapping[str, str] | None = None):
+    """The ``foreachBatch`` body of :func:`jdbc_upsert_batches`."""
     props = dict(props or {})
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         try:
-            seen = spark.read.jdbc(url, f"(SELECT COUNT(*) AS C FROM {table} WHERE BATCH_ID = {int(batch_id)}) T",
-                                   properties=props).first()[0]
-        except Exception:  # noqa: BLE001 - table not created yet
+            # pushed down as WHERE batch_id = …, quoted by the JDBC dialect
+            seen = spark.read.jdbc(url, table, properties=props) \
+                .where(F.col("batch_id") == int(batch_id)).limit(1).count()
+        except Exception as e:  # noqa: BLE001 - only "table does not exist yet" is expected
+            if "exist" not in str(e).lower():
+                raise
             seen = 0
         if seen:
             return
         batch.withColumn("batch_id", F.lit(int(batch_id)).cast("long")) \
             .write.mode("append").jdbc(url, table, properties=props)
 
-    w = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
-    if trigger:
-        w = w.trigger(**trigger)
-    return w.start()
+    return write
