@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vireo.operators.partitioning import spread
+
 
 def split_tokens(text: Column, pattern: str = r"\s+", lower: bool = True) -> Column:
     """Array of tokens; ``pattern=""`` splits into single characters."""
@@ -16,7 +18,7 @@ def tokens(df: DataFrame, text_col: str, unit: str = "word", pattern: str = r"\s
            lower: bool = True, out: str = "word", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per non-empty token of every text (whole texts, no prefix)."""
     pat = "" if unit == "char" else pattern
-    ex = df.select(*keep, F.explode(split_tokens(F.col(text_col), pat, lower)).alias(out))
+    ex = spread(df).select(*keep, F.explode(split_tokens(F.col(text_col), pat, lower)).alias(out))
     return ex.where(F.col(out) != "")
 
 

@@ -61,3 +61,20 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
 def shuffle_width(spark, partitions: int) -> None:
     """The static shuffle width (AQE still coalesces small partitions)."""
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+
+
+# A scan stored as fewer splits than the cluster has cores (one parquet file
+# with a single row group, a gzip text file) runs its narrow stages in that
+# many tasks.  Before CPU-heavy per-row work (tokenising whole texts) such an
+# input is spread once; at scale an input has thousands of splits and this
+# never triggers.  Filters and column pruning still reach the scan.
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size >= min_bytes else df

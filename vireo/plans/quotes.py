@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vireo.plans.standins import money
+from vireo.operators.partitioning import spread
 from vireo.sources.tables import table
 
 
 def quotes(spark: SparkSession, sf: str) -> DataFrame:
     """Quote stand-in: symbol = brand, close = unit price, qty, value."""
-    li = table(spark, sf, "lineitem").select("l_partkey", "l_quantity", "l_extendedprice")
+    li = spread(table(spark, sf, "lineitem")).select("l_partkey", "l_quantity", "l_extendedprice")
     p = table(spark, sf, "part").select("p_partkey", "p_brand", "p_retailprice")
     return li.join(p, li.l_partkey == p.p_partkey).select(
         F.col("p_brand").alias("symbol"), F.col("p_retailprice").alias("close"),

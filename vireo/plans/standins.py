@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vireo.operators.partitioning import spread
 from vireo.sources.tables import table
 
 
@@ -20,7 +21,7 @@ def money(c) -> "F.Column":
 
 
 def retail_lines(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    li = spread(table(spark, sf, "lineitem")).select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf, "nation").select("n_nationkey", "n_name")
@@ -41,7 +42,7 @@ def retail_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def revenue_by_item(spark: SparkSession, sf: str) -> DataFrame:
     """Sales and revenue per item: the input of the ABC analysis."""
-    li = table(spark, sf, "lineitem").select("l_partkey", "l_quantity", "l_extendedprice")
+    li = spread(table(spark, sf, "lineitem")).select("l_partkey", "l_quantity", "l_extendedprice")
     p = table(spark, sf, "part").select("p_partkey", "p_name")
     return (li.join(p, li.l_partkey == p.p_partkey)
             .groupBy(F.col("p_name").alias("description"))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vireo.plans.standins import money
+from vireo.operators.partitioning import spread
 from vireo.sources.tables import table
 
 
@@ -14,7 +15,7 @@ def shipments(spark: SparkSession, sf: str) -> DataFrame:
     """vendor = supplier, country = customer nation, moleculetesttype = part
     type; weight = quantity, value = extended price, freight = value × tax,
     insurance = value × discount (money as exact decimals)."""
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
+    li = spread(table(spark, sf, "lineitem")).select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
                                              "l_extendedprice", "l_tax", "l_discount")
     s = table(spark, sf, "supplier").select("s_suppkey", "s_name")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")

@@ -8,7 +8,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table as a lazy parquet scan (filters/projections push into it)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
