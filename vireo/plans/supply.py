@@ -3,7 +3,7 @@ and K06 vendor cost roll-up, over the shipments stand-in."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vireo.plans.standins import money
@@ -52,30 +52,42 @@ def holding_cost(key: Column) -> Column:
 
 def eoq_tlc(df: DataFrame, formula: str = "reference") -> DataFrame:
     """K05.  demand per (country, item); per (vendor, country, item) order
-    count, supply, item cost, freight + insurance; batch size and order cost
-    per order; then ``eoq = 2·sqrt(D·S/(h·batch))`` (the reference keeps the 2
-    outside the root; ``formula="textbook"`` gives ``sqrt(2·D·S/(h·batch))``)
-    and ``tlc = D/eoq·S + eoq/2·h·batch + itemcost/vsupply·D``."""
-    demand = df.groupBy("country", "moleculetesttype").agg(F.sum("weightkilograms").alias("demand"))
-    clean = df.select("vendorkey", "vendor", "country", "moleculetesttype",
-                      F.col("weightkilograms").try_cast("double").alias("wkg"),
-                      F.col("lineitemvalue").alias("litemval"), F.col("freightcostusd").alias("frtcost"),
-                      F.col("lineiteminsuranceusd").alias("inscost")).dropna()
-    costs = clean.groupBy("vendorkey", "vendor", "country", "moleculetesttype").agg(
-        F.count(F.lit(1)).alias("noorders"), F.sum("wkg").alias("vsupply"),
-        F.sum("litemval").cast("double").alias("itemcost"),
-        (F.sum("frtcost") + F.sum("inscost")).cast("double").alias("tordercost"))
-    costs = costs.withColumns({
+    count, supply, item cost, freight + insurance over the rows whose four
+    numeric fields parse (the reference drops the others); batch size and
+    order cost per order; then ``eoq = 2·sqrt(D·S/(h·batch))`` (the reference
+    keeps the 2 outside the root; ``formula="textbook"`` gives
+    ``sqrt(2·D·S/(h·batch))``) and
+    ``tlc = D/eoq·S + eoq/2·h·batch + itemcost/vsupply·D``.
+
+    One pass over the shipments: demand and costs come from the same
+    per-(vendor, country, item) aggregate (conditional sums for the clean
+    rows), and demand is summed over vendors by a window on that small table —
+    the shipment join runs once, not once per aggregate.
+    """
+    wkg = F.col("weightkilograms").try_cast("double")
+    clean = (wkg.isNotNull() & F.col("lineitemvalue").isNotNull() & F.col("freightcostusd").isNotNull()
+             & F.col("lineiteminsuranceusd").isNotNull())
+
+    def when_clean(c):
+        return F.when(clean, c)
+
+    per = df.groupBy("vendorkey", "vendor", "country", "moleculetesttype").agg(
+        F.sum(wkg).alias("__all_w"),
+        F.count(when_clean(F.lit(1))).alias("noorders"), F.sum(when_clean(wkg)).alias("vsupply"),
+        F.sum(when_clean(F.col("lineitemvalue"))).cast("double").alias("itemcost"),
+        (F.sum(when_clean(F.col("freightcostusd"))) + F.sum(when_clean(F.col("lineiteminsuranceusd"))))
+        .cast("double").alias("tordercost"))
+    demand = F.sum("__all_w").over(Window.partitionBy("country", "moleculetesttype"))
+    costs = per.withColumn("demand", demand).where(F.col("noorders") > 0).withColumns({
         "batchsize": F.col("vsupply") / F.col("noorders"),
         "ordercost": F.col("tordercost") / F.col("noorders"),
         "rhc": holding_cost(F.col("vendorkey"))})
-    ds = demand.join(costs, ["country", "moleculetesttype"])
     d, s, h, b = F.col("demand"), F.col("ordercost"), F.col("rhc"), F.col("batchsize")
     if formula == "textbook":
         eoq = F.sqrt(F.lit(2) * d * s / (h * b))
     else:
         eoq = F.lit(2) * F.sqrt(d * s / (h * b))
-    ds = ds.withColumn("eoq", eoq)
+    ds = costs.withColumn("eoq", eoq)
     e = F.col("eoq")
     tlc = F.try_divide(d, e) * s + e / F.lit(2) * h * b + F.try_divide(F.col("itemcost"), F.col("vsupply")) * d
     return ds.withColumn("tlc", tlc).select("vendor", "country", "moleculetesttype", "demand", "ordercost",
