@@ -100,3 +100,21 @@ def test_parquet_scan_prunes_and_pushes(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(c_acctbal), GreaterThanOrEqual(c_acctbal,1000.0)]" in plan
     assert "ReadSchema: struct<c_custkey:bigint,c_acctbal:double>" in plan
+
+
+@pytest.mark.parametrize("gap", ["10 minutes", "2 hours"])
+def test_distributed_sessions_match_session_window(spark, gap):
+    import datetime as dt
+    from vireo.operators.sessions import sessions
+    from vireo.streaming.windows import session_summary
+    rnd = random.Random(7)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(0 if rnd.random() < 0.4 else rnd.randrange(50),          # user 0 holds 40 %
+             base + dt.timedelta(seconds=rnd.randrange(0, 86400 * 3)), float(rnd.randrange(100)))
+            for _ in range(8000)]
+    rows += [(0, base + dt.timedelta(seconds=5), 1.0)] * 20           # identical events
+    rows += [(7, base, 1.0), (7, base + dt.timedelta(minutes=10), 1.0)]  # exactly one gap apart
+    df = spark.createDataFrame(rows, "user_id long, ts timestamp, value double")
+    a = sessions(df, "ts", gap, ["user_id"], "value", num_partitions=17)
+    b = session_summary(df, "ts", gap, ["user_id"], "value")
+    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())

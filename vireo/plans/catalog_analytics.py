@@ -319,12 +319,12 @@ def window_sliding(spark, sf):
 
 @query("session_summary", sql="""
 WITH o AS (SELECT user_id, ts, value, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
-f AS (SELECT *, CASE WHEN prev IS NULL OR ts - prev >= INTERVAL '30 minutes' THEN 1 ELSE 0 END AS brk FROM o),
+f AS (SELECT *, CASE WHEN prev IS NULL OR ts - prev > INTERVAL '30 minutes' THEN 1 ELSE 0 END AS brk FROM o),
 s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM f)
 SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '30 minutes' AS session_end,
        count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
 FROM s GROUP BY user_id, sid""")
 def session_summary(spark, sf):
-    from vireo.streaming.windows import session_summary as _ss
+    from vireo.operators.sessions import sessions
     e = table(spark, sf, "events")
-    return _ss(e, "ts", "30 minutes", ["user_id"], "value")
+    return sessions(e, "ts", "30 minutes", ["user_id"], "value")
