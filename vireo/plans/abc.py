@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vireo.operators.window import band, running_share
+from vireo.session import checkpoint_dir
 
 # The reference's class boundaries.
 DEFAULT_LEVELS = (0.75, 0.95)
@@ -20,8 +21,18 @@ DEFAULT_LEVELS = (0.75, 0.95)
 
 def abc_classify(df: DataFrame, basis: str, cum_col: str, cat_col: str,
                  levels: Sequence[float] = DEFAULT_LEVELS, descending: bool = False,
-                 pct_col: str = "cumper") -> DataFrame:
-    """Add running total ``cum_col``, its percentage and the class column."""
+                 pct_col: str = "cumper", materialize: bool = True) -> DataFrame:
+    """Add running total ``cum_col``, its percentage and the class column.
+
+    The running sum reads its input in several branches (peer totals, the
+    join back, the grand total) that column pruning makes different, so they
+    would each recompute it.  With ``materialize`` the input (an aggregate:
+    one row per item) is checkpointed once to the session's checkpoint
+    directory, which also cuts its lineage.
+    """
+    if materialize:
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     shared = running_share(df, basis, basis, cum_col, "__share",
                            descending=descending, total_col="__tot")
     cum_d = F.col(cum_col).cast("double")

@@ -9,6 +9,7 @@ from vireo.operators.window import running_share, running_sum
 from vireo.plans.quotes import quote_stats, quotes
 from vireo.plans.registry import query
 from vireo.plans.standins import money, retail_lines, revenue_by_item
+from vireo.session import checkpoint_dir
 from vireo.sources.tables import table
 
 
@@ -336,6 +337,8 @@ FROM rev""")
 def running_sum_partitioned(spark, sf):
     r = retail_lines(spark, sf)
     rev = r.groupBy("country", "stockcode").agg(F.sum(money("amount")).alias("total_revenue"))
+    checkpoint_dir(spark)
+    rev = rev.checkpoint(eager=True)   # read by several branches of the running sum
     out = running_sum(rev, "total_revenue", "total_revenue", "cumrevenue", partition_by=["country"])
     return out.select("country", "stockcode", F.col("total_revenue").cast("double").alias("total_revenue"),
                       F.col("cumrevenue").cast("double").alias("cumrevenue"))
