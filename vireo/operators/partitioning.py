@@ -72,6 +72,8 @@ SPREAD_MIN_BYTES = 1 << 20
 
 
 def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    if df.isStreaming:              # a stream's batches are planned per trigger
+        return df
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
