@@ -110,10 +110,20 @@ def word_freq(spark, sf):
     return _text.token_counts(table(spark, sf, "benchmark"), "text").withColumnRenamed("count", "freq")
 
 
-def weighted_counts(words, freq):
+def weighted_counts(words, freq, preaggregate: bool = True):
     """Words ⟕ static frequencies, missing freq → 0, count per
-    (word, freq), weighted by freq.  The static side is a word table; the
-    planner broadcasts it only if AQE measures it small."""
+    (word, freq), weighted by freq.
+
+    ``freq`` has one row per word, so counting words first and joining the
+    counts is the same result; the partial aggregate collapses a very common
+    word before any shuffle, and the join then moves one row per distinct
+    word instead of one per occurrence.  A stream keeps the join-then-count
+    order (``preaggregate=False``), the shape Structured Streaming accepts.
+    """
+    if preaggregate:
+        counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+        j = counted.join(freq, "word", "left_outer").fillna(0, subset=["freq"])
+        return j.select("word", "freq", "count", (F.col("freq") * F.col("count")).alias("wtdfreq"))
     j = words.join(freq, "word", "left_outer").fillna(0, subset=["freq"])
     return (j.groupBy("word", "freq").agg(F.count(F.lit(1)).alias("count"))
             .withColumn("wtdfreq", F.col("freq") * F.col("count")))

@@ -108,7 +108,7 @@ def sessions_stream(events: DataFrame, ts: str, gap: str, keys: Sequence[str], w
 # stream–static join ------------------------------------------------
 def stream_static_weighted(lines: DataFrame, freq: DataFrame, text_col: str = "value") -> DataFrame:
     from vireo.plans.catalog_analytics import weighted_counts
-    return weighted_counts(tokens(lines, text_col), freq)
+    return weighted_counts(tokens(lines, text_col), freq, preaggregate=False)
 
 
 # Several queries on one source ---------------------------------------
