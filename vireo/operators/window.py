@@ -6,7 +6,8 @@ equal order values (peers) share one cumulative value.
 
 ``running_sum_window`` is the plain Spark window.  Without a partition key it
 runs in a single task, and with a hot key one task gets that key's rows, so
-``running_sum`` is the path meant for large inputs:
+``running_sum`` is the path meant for large inputs (``running_sum_checked``
+picks between them from an exact row count of a materialised input):
 
 1. pre-aggregate peers: ``groupBy(keys, order).sum(v)`` (map-side combine, so a
    hot tie value collapses to one row before any shuffle);
@@ -146,9 +147,26 @@ def running_sum(df: DataFrame, value: str, order: str, out: str,
     return df.join(cum, join_cond, "inner").drop(*jalias.values())
 
 
+# Inputs with at most this many rows (an exact count, not an estimate) may
+# use the built-in window, whose unpartitioned form runs in one task.
+SINGLE_TASK_MAX_ROWS = 1_000_000
+
+
+def running_sum_checked(df: DataFrame, value: str, order: str, out: str,
+                        partition_by: Sequence[str] = (), descending: bool = False,
+                        max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
+    """Size-checked strategy: count the input (one job — meant for inputs
+    that are materialised, e.g. checkpointed aggregates) and use the
+    single-task window only under ``max_rows``; otherwise the distributed
+    path.  The same rule as a broadcast behind a size check."""
+    if df.count() <= max_rows:
+        return running_sum_window(df, value, order, out, partition_by, descending)
+    return running_sum(df, value, order, out, partition_by, descending)
+
+
 def running_share(df: DataFrame, value: str, order: str, cum_col: str, share_col: str,
                   partition_by: Sequence[str] = (), descending: bool = False,
-                  total_col: str | None = None) -> DataFrame:
+                  total_col: str | None = None, checked: bool = False) -> DataFrame:
     """Running sum and its share of the (per-key) total — W02.
 
     The total is a one-row (or one-row-per-key) aggregate joined lazily, not a
@@ -156,7 +174,10 @@ def running_share(df: DataFrame, value: str, order: str, cum_col: str, share_col
     keeps the total as a column.
     """
     keys = list(partition_by)
-    with_cum = running_sum(df, value, order, cum_col, keys, descending)
+    if checked:
+        with_cum = running_sum_checked(df, value, order, cum_col, keys, descending)
+    else:
+        with_cum = running_sum(df, value, order, cum_col, keys, descending)
     tname = total_col or "__total"
     kalias = {k: f"__t{i}" for i, k in enumerate(keys)}
     tot = df.groupBy(*keys).agg(F.sum(value).alias(tname))

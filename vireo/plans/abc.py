@@ -28,13 +28,14 @@ def abc_classify(df: DataFrame, basis: str, cum_col: str, cat_col: str,
     join back, the grand total) that column pruning makes different, so they
     would each recompute it.  With ``materialize`` the input (an aggregate:
     one row per item) is checkpointed once to the session's checkpoint
-    directory, which also cuts its lineage.
+    directory, which also cuts its lineage, and its exact row count picks
+    the running-sum strategy (single task only under a proven bound).
     """
     if materialize:
         checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
     shared = running_share(df, basis, basis, cum_col, "__share",
-                           descending=descending, total_col="__tot")
+                           descending=descending, total_col="__tot", checked=materialize)
     cum_d = F.col(cum_col).cast("double")
     tot_d = F.col("__tot").cast("double")
     return (shared

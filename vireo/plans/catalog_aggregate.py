@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vireo.operators import aggregate as agg
-from vireo.operators.window import running_share, running_sum
+from vireo.operators.window import running_share, running_sum, running_sum_checked
 from vireo.plans.quotes import quote_stats, quotes
 from vireo.plans.registry import query
 from vireo.plans.standins import money, retail_lines, revenue_by_item
@@ -339,6 +339,6 @@ def running_sum_partitioned(spark, sf):
     rev = r.groupBy("country", "stockcode").agg(F.sum(money("amount")).alias("total_revenue"))
     checkpoint_dir(spark)
     rev = rev.checkpoint(eager=True)   # read by several branches of the running sum
-    out = running_sum(rev, "total_revenue", "total_revenue", "cumrevenue", partition_by=["country"])
+    out = running_sum_checked(rev, "total_revenue", "total_revenue", "cumrevenue", partition_by=["country"])
     return out.select("country", "stockcode", F.col("total_revenue").cast("double").alias("total_revenue"),
                       F.col("cumrevenue").cast("double").alias("cumrevenue"))
