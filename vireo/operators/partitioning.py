@@ -74,9 +74,11 @@ SPREAD_MIN_BYTES = 1 << 20
 def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     if df.isStreaming:              # a stream's batches are planned per trigger
         return df
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a Connect session): leave the layout alone
         return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(cores) if size >= min_bytes else df

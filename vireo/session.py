@@ -52,7 +52,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     session.  Only when it is unset (tests, a laptop) do we create a local
     scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions manage the folder server-side
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current
