@@ -81,4 +81,6 @@ def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - no JVM handle (e.g. a Connect session): leave the layout alone
         return df
-    return df.repartition(cores) if size >= min_bytes else df
+    # hash of the whole row: deterministic on task retry without the local
+    # sort a round-robin repartition needs, and even for any key layout
+    return df.repartition(cores, F.xxhash64(*df.columns)) if size >= min_bytes else df
