@@ -49,8 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage.
 
     A cluster names it in ``spark.checkpoint.dir``; we read it from the
-    session.  Only when it is unset (tests, a laptop) do we create a local
-    scratch folder.
+    session.  Only a local master (tests, a laptop) may fall back to a
+    scratch folder of its own.
     """
     try:
         sc = spark.sparkContext
@@ -61,6 +61,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(a machine-local folder cannot hold checkpoints)")
         d = tempfile.mkdtemp(prefix="vireo-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def sizing(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict:
+    """Shuffle and scan settings for an input of ``input_bytes``.
+
+    Partitions are sized to ``partition_bytes`` (they must fit an executor
+    core's share of memory with room to sort and spill); AQE starts from that
+    many shuffle partitions and coalesces the small ones.  Pass the result as
+    ``extra`` to :func:`build_session` or as ``--conf`` on submit.
+    """
+    n = max(1, min(max_partitions, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
