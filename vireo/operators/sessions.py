@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vireo.operators.window import range_partitions
 from vireo.plans.standins import money
 
 _PID = "__s_pid"
@@ -84,7 +85,7 @@ def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str], value: str |
     event count and (exact decimal) value total."""
     spark = df.sparkSession
     keys = list(keys)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = range_partitions(spark, num_partitions)
     aggs = [F.count(F.lit(1)).alias("__n")]
     if value:
         aggs.append(F.sum(money(value)).alias("__v"))

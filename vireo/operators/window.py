@@ -33,6 +33,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _PID = "__vireo_pid"
+# Upper bound on the range partitions of the distributed paths: the peer
+# table is often far smaller than the input, and an explicit partition count
+# is not coalesced by AQE.  8192 partitions hold ~10^10 distinct peers at
+# ~40 MB each, and keep the offsets table at most 8192 rows.
+RANGE_PARTITIONS_MAX = 8192
+
+
+def range_partitions(spark, num_partitions: int | None = None) -> int:
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(n, RANGE_PARTITIONS_MAX))
 _TIE = "__vireo_tie"
 _LOC = "__vireo_local"
 _OFF = "__vireo_offset"
@@ -90,7 +100,7 @@ def running_sum(df: DataFrame, value: str, order: str, out: str,
     """Scalable RANGE-frame running sum (see module docstring)."""
     spark = df.sparkSession
     keys = list(partition_by)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = range_partitions(spark, num_partitions)
     vtype = df.schema[value].dataType
 
     # 1. peers pre-aggregated; decimals travel as exact unscaled longs.
