@@ -143,3 +143,17 @@ def test_windowed_quote_stats_bounded_state(spark, tmp_path):
     a = {(r.d, r.symbol, r.totqty) for r in got.collect()}
     b = {(r.d, r.symbol, r.totqty) for r in twin.collect()}
     assert a and a <= b          # emitted (closed) days are final and equal the batch result
+
+
+def test_sample_n_with_and_without_replacement(spark):
+    from vireo.operators import project
+    o = table(spark, SF_SMALL, "orders")
+    a = project.sample_n(o, 2, seed=5, with_replacement=True).collect()
+    b = project.sample_n(o, 2, seed=5).collect()
+    assert len(a) == 2 and len(b) == 2 and len({r.o_orderkey for r in b}) == 2
+
+
+def test_random_holding_cost_range(spark):
+    from vireo.plans.supply import random_holding_cost
+    vals = {r.h for r in spark.range(2000).select(random_holding_cost(3).alias("h")).collect()}
+    assert vals <= {round(i / 10, 1) for i in range(1, 10)} and len(vals) == 9

@@ -200,10 +200,22 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int, with_replacement:
     return df.sample(withReplacement=with_replacement, fraction=fraction, seed=seed)
 
 
-def sample_n(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """Fixed-size sample without replacement: the n smallest seeded random
-    keys (TakeOrderedAndProject keeps only n rows per task)."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def sample_n(df: DataFrame, n: int, seed: int, with_replacement: bool = False) -> DataFrame:
+    """Fixed-size sample of (at most) ``n`` rows.
+
+    Without replacement: the n smallest seeded random keys
+    (TakeOrderedAndProject keeps only n rows per task).  With replacement:
+    a Poisson sample whose expected size is comfortably above n (one count
+    to size the fraction, as ``takeSample`` does), then the first n of it
+    under a seeded random order.
+    """
+    if not with_replacement:
+        return df.orderBy(F.rand(seed)).limit(n)
+    total = df.count()
+    if total == 0:
+        return df.limit(0)
+    frac = (n + 5 * (n ** 0.5) + 10) / total       # mean + ~5 sd of the sample size
+    return df.sample(True, frac, seed).orderBy(F.rand(seed + 1)).limit(n)
 
 
 # P32 -------------------------------------------------------------------------

@@ -50,6 +50,12 @@ def holding_cost(key: Column) -> Column:
     return (F.lit(1) + F.pmod(key, F.lit(9))) / 10.0
 
 
+def random_holding_cost(seed: int) -> Column:
+    """The reference's random holding cost, one of 0.1, 0.2, …, 0.9 —
+    built in (seeded ``rand``), not a Python UDF."""
+    return (F.lit(1) + F.floor(F.rand(seed) * 9)) / 10.0
+
+
 def eoq_tlc(df: DataFrame, formula: str = "reference") -> DataFrame:
     """K05.  demand per (country, item); per (vendor, country, item) order
     count, supply, item cost, freight + insurance over the rows whose four
