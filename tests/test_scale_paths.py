@@ -118,3 +118,18 @@ def test_distributed_sessions_match_session_window(spark, gap):
     a = sessions(df, "ts", gap, ["user_id"], "value", num_partitions=17)
     b = session_summary(df, "ts", gap, ["user_id"], "value")
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+
+
+def test_running_sum_null_values_and_empty_input(spark):
+    rows = [(1, "a", 1, None), (2, "a", 2, None), (3, "a", 3, 5), (4, "b", 1, None), (5, "b", 1, 2),
+            (6, "b", 4, None), (7, "c", 1, None)]
+    df = spark.createDataFrame(rows, "id long, k string, o int, v long")
+    for keys in ([], ["k"]):
+        a = running_sum(df, "v", "o", "cum", partition_by=keys, num_partitions=3)
+        b = running_sum_window(df, "v", "o", "cum", partition_by=keys)
+        assert sorted((r.id, r.cum) for r in a.collect()) == sorted((r.id, r.cum) for r in b.collect())
+    dm = df.withColumn("v", F.col("v").cast("decimal(10,2)"))
+    a = running_sum(dm, "v", "o", "cum", partition_by=["k"], num_partitions=2)
+    b = running_sum_window(dm, "v", "o", "cum", partition_by=["k"])
+    assert sorted((r.id, r.cum) for r in a.collect()) == sorted((r.id, r.cum) for r in b.collect())
+    assert running_sum(df.where("id < 0"), "v", "o", "cum").count() == 0

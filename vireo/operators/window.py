@@ -58,38 +58,42 @@ def running_sum_window(df: DataFrame, value: str, order: str, out: str,
     return df.withColumn(out, F.sum(value).over(w))
 
 
-def _local_prefix(keys: list[str], kind: str):
-    """mapInPandas body: prefix sum of ``_TIE`` per key over sorted batches."""
+_NN = "__vireo_nn"      # non-NULL values among the peers
+_LNN = "__vireo_lnn"    # running count of non-NULL values
+_OFFNN = "__vireo_offnn"
+
+
+def _local_prefix(keys: list[str]):
+    """mapInPandas body: per key, prefix sums of ``_TIE`` and ``_NN`` over
+    (keys, order)-sorted batches, carrying across batch boundaries."""
 
     def run(batches: Iterable[pd.DataFrame]):
-        carry = None          # running value of the group that ended the last batch
+        carry = None          # (sum, count) of the group that ended the last batch
         last_key = None       # that group's key tuple (None-safe)
         for pdf in batches:
             if pdf.empty:
-                yield pdf.assign(**{_LOC: pdf[_TIE]})
+                yield pdf.assign(**{_LOC: pdf[_TIE], _LNN: pdf[_NN]})
                 continue
-            vals = pdf[_TIE]
-            if kind == "decimal":
-                vals = vals.astype("int64")
+            vals, nns = pdf[_TIE], pdf[_NN].astype("int64")
             if keys:
                 change = pd.Series(False, index=pdf.index)
                 for k in keys:
                     a, b = pdf[k], pdf[k].shift()
-                    both_null = a.isna() & b.isna()
-                    change |= (a != b) & ~both_null
+                    change |= (a != b) & ~(a.isna() & b.isna())
                 change.iloc[0] = True
                 gid = change.cumsum()
-                local = vals.groupby(gid).cumsum()
+                local, lnn = vals.groupby(gid).cumsum(), nns.groupby(gid).cumsum()
                 first = tuple(None if pd.isna(pdf[k].iloc[0]) else pdf[k].iloc[0] for k in keys)
                 if carry is not None and first == last_key:
-                    local = local.where(gid != 1, local + carry)
+                    local = local.where(gid != 1, local + carry[0])
+                    lnn = lnn.where(gid != 1, lnn + carry[1])
                 last_key = tuple(None if pd.isna(pdf[k].iloc[-1]) else pdf[k].iloc[-1] for k in keys)
             else:
-                local = vals.cumsum()
+                local, lnn = vals.cumsum(), nns.cumsum()
                 if carry is not None:
-                    local = local + carry
-            carry = local.iloc[-1]
-            yield pdf.assign(**{_LOC: local})
+                    local, lnn = local + carry[0], lnn + carry[1]
+            carry = (local.iloc[-1], lnn.iloc[-1])
+            yield pdf.assign(**{_LOC: local, _LNN: lnn})
 
     return run
 
@@ -97,7 +101,8 @@ def _local_prefix(keys: list[str], kind: str):
 def running_sum(df: DataFrame, value: str, order: str, out: str,
                 partition_by: Sequence[str] = (), descending: bool = False,
                 num_partitions: int | None = None) -> DataFrame:
-    """Scalable RANGE-frame running sum (see module docstring)."""
+    """Scalable RANGE-frame running sum (see module docstring).  Like SQL,
+    the result is NULL until the first non-NULL value of the key."""
     spark = df.sparkSession
     keys = list(partition_by)
     n = range_partitions(spark, num_partitions)
@@ -116,7 +121,9 @@ def running_sum(df: DataFrame, value: str, order: str, out: str,
         kind, scale = "double", 0
         tie_expr = F.sum(F.col(value).cast("double"))
         loc_type = T.DoubleType()
-    ties = df.groupBy(*keys, order).agg(tie_expr.alias(_TIE))
+    zero = F.lit(0).cast(loc_type)
+    ties = df.groupBy(*keys, order).agg(F.coalesce(tie_expr, zero).alias(_TIE),
+                                        F.count(value).alias(_NN))
 
     # 2. range partition on (keys, order); explicit n keeps AQE from
     #    coalescing it, so partition ids are stable between the two branches.
@@ -127,18 +134,20 @@ def running_sum(df: DataFrame, value: str, order: str, out: str,
               .withColumn(_PID, F.spark_partition_id()))
 
     # 3. local prefix sums.
-    schema = T.StructType(list(ranged.schema.fields) + [T.StructField(_LOC, loc_type)])
-    local = ranged.mapInPandas(_local_prefix(keys, kind), schema)
+    schema = T.StructType(list(ranged.schema.fields) + [T.StructField(_LOC, loc_type),
+                                                         T.StructField(_LNN, T.LongType())])
+    local = ranged.mapInPandas(_local_prefix(keys), schema)
 
     # 4. offsets from per-(partition, key) totals.  Derived sides get fresh
     #    column names so the joins are never ambiguous self-joins.
-    totals = ranged.groupBy(_PID, *keys).agg(F.sum(_TIE).alias("__t"))
+    totals = ranged.groupBy(_PID, *keys).agg(F.sum(_TIE).alias("__t"), F.sum(_NN).alias("__tn"))
     w = (Window.partitionBy(*keys) if keys else Window).orderBy(_PID).rowsBetween(
         Window.unboundedPreceding, -1)
     kalias = {k: f"__k{i}" for i, k in enumerate(keys)}
     offsets = totals.select(
         F.col(_PID).alias("__opid"), *[F.col(k).alias(a) for k, a in kalias.items()],
-        F.coalesce(F.sum("__t").over(w), F.lit(0)).cast(loc_type).alias(_OFF))
+        F.coalesce(F.sum("__t").over(w), F.lit(0)).cast(loc_type).alias(_OFF),
+        F.coalesce(F.sum("__tn").over(w), F.lit(0)).cast("long").alias(_OFFNN))
     if not keys:
         # exactly n rows: a proven bound, so broadcasting is safe.
         offsets = F.broadcast(offsets)
@@ -151,6 +160,7 @@ def running_sum(df: DataFrame, value: str, order: str, out: str,
         res_type = T.DecimalType(min(38, vtype.precision + 10), scale)
         unit = Decimal(1).scaleb(-scale)
         total = (total.cast("decimal(38,0)") * F.lit(unit)).cast(res_type)
+    total = F.when(F.col(_LNN) + F.col(_OFFNN) > 0, total)
     jalias = {c: f"__j{i}" for i, c in enumerate(keys + [order])}
     cum = cum.select(*[F.col(c).alias(a) for c, a in jalias.items()], total.alias(out))
     join_cond = [F.col(c).eqNullSafe(F.col(a)) for c, a in jalias.items()]
