@@ -133,3 +133,12 @@ def test_running_sum_null_values_and_empty_input(spark):
     b = running_sum_window(dm, "v", "o", "cum", partition_by=["k"])
     assert sorted((r.id, r.cum) for r in a.collect()) == sorted((r.id, r.cum) for r in b.collect())
     assert running_sum(df.where("id < 0"), "v", "o", "cum").count() == 0
+
+
+def test_running_sum_nan_propagates_like_sql(spark):
+    rows = [(1, 1, 1.0), (2, 2, float("nan")), (3, 3, 2.0), (4, 1, None)]
+    df = spark.createDataFrame(rows, "id long, o int, v double")
+    a = running_sum(df, "v", "o", "cum", num_partitions=2)
+    b = running_sum_window(df, "v", "o", "cum")
+    norm = lambda rs: sorted((r.id, "nan" if r.cum != r.cum else r.cum) for r in rs)
+    assert norm(a.collect()) == norm(b.collect())

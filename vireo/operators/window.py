@@ -82,14 +82,14 @@ def _local_prefix(keys: list[str]):
                     change |= (a != b) & ~(a.isna() & b.isna())
                 change.iloc[0] = True
                 gid = change.cumsum()
-                local, lnn = vals.groupby(gid).cumsum(), nns.groupby(gid).cumsum()
+                local, lnn = vals.groupby(gid).cumsum(skipna=False), nns.groupby(gid).cumsum()
                 first = tuple(None if pd.isna(pdf[k].iloc[0]) else pdf[k].iloc[0] for k in keys)
                 if carry is not None and first == last_key:
                     local = local.where(gid != 1, local + carry[0])
                     lnn = lnn.where(gid != 1, lnn + carry[1])
                 last_key = tuple(None if pd.isna(pdf[k].iloc[-1]) else pdf[k].iloc[-1] for k in keys)
             else:
-                local, lnn = vals.cumsum(), nns.cumsum()
+                local, lnn = vals.cumsum(skipna=False), nns.cumsum()   # NaN propagates, as in SQL
                 if carry is not None:
                     local, lnn = local + carry[0], lnn + carry[1]
             carry = (local.iloc[-1], lnn.iloc[-1])
