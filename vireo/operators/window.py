@@ -13,7 +13,7 @@ picks between them from an exact row count of a materialised input):
    hot tie value collapses to one row before any shuffle);
 2. range-partition the peer table on ``(keys, order)`` into ``n`` partitions
    and sort within partitions — a hot key is spread over several partitions;
-3. per partition, a vectorised prefix sum per key (``mapInPandas``; the only
+3. per partition, a vectorised prefix sum per key (``mapInArrow``; the only
    imperative step, a per-partition scan Spark has no operator for);
 4. per ``(partition id, key)`` totals, turned into offsets by a window over
    that small table (at most ``n + #keys`` rows; without keys exactly ``n``
@@ -64,36 +64,47 @@ _OFFNN = "__vireo_offnn"
 
 
 def _local_prefix(keys: list[str]):
-    """mapInPandas body: per key, prefix sums of ``_TIE`` and ``_NN`` over
-    (keys, order)-sorted batches, carrying across batch boundaries."""
-
-    def run(batches: Iterable[pd.DataFrame]):
+    """mapInArrow body: per key, prefix sums of ``_TIE`` and ``_NN`` over
+    (keys, order)-sorted batches, carrying across batch boundaries.  Arrow
+    in and out, so a NaN value stays NaN (it propagates, as in SQL) and is
+    never mistaken for NULL."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
         carry = None          # (sum, count) of the group that ended the last batch
         last_key = None       # that group's key tuple (None-safe)
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(**{_LOC: pdf[_TIE], _LNN: pdf[_NN]})
+        for rb in batches:
+            if rb.num_rows == 0:
+                yield pa.RecordBatch.from_arrays(
+                    rb.columns + [rb.column(_TIE), rb.column(_NN)], rb.schema.names + [_LOC, _LNN])
                 continue
-            vals, nns = pdf[_TIE], pdf[_NN].astype("int64")
+            vals = rb.column(_TIE).to_numpy(zero_copy_only=False)
+            nns = rb.column(_NN).to_numpy(zero_copy_only=False).astype("int64")
             if keys:
-                change = pd.Series(False, index=pdf.index)
+                kdf = pa.Table.from_batches([rb.select(keys)]).to_pandas()
+                change = pd.Series(False, index=kdf.index)
                 for k in keys:
-                    a, b = pdf[k], pdf[k].shift()
-                    change |= (a != b) & ~(a.isna() & b.isna())
+                    x, y = kdf[k], kdf[k].shift()
+                    change |= (x != y) & ~(x.isna() & y.isna())
                 change.iloc[0] = True
-                gid = change.cumsum()
-                local, lnn = vals.groupby(gid).cumsum(skipna=False), nns.groupby(gid).cumsum()
-                first = tuple(None if pd.isna(pdf[k].iloc[0]) else pdf[k].iloc[0] for k in keys)
+                gid = change.cumsum().to_numpy()
+                local = pd.Series(vals).groupby(gid).cumsum(skipna=False).to_numpy()
+                lnn = pd.Series(nns).groupby(gid).cumsum().to_numpy()
+                first = tuple(None if pd.isna(kdf[k].iloc[0]) else kdf[k].iloc[0] for k in keys)
                 if carry is not None and first == last_key:
-                    local = local.where(gid != 1, local + carry[0])
-                    lnn = lnn.where(gid != 1, lnn + carry[1])
-                last_key = tuple(None if pd.isna(pdf[k].iloc[-1]) else pdf[k].iloc[-1] for k in keys)
+                    head = gid == 1
+                    local = np.where(head, local + carry[0], local)
+                    lnn = np.where(head, lnn + carry[1], lnn)
+                last_key = tuple(None if pd.isna(kdf[k].iloc[-1]) else kdf[k].iloc[-1] for k in keys)
             else:
-                local, lnn = vals.cumsum(skipna=False), nns.cumsum()   # NaN propagates, as in SQL
+                local, lnn = np.cumsum(vals), np.cumsum(nns)      # NaN propagates
                 if carry is not None:
                     local, lnn = local + carry[0], lnn + carry[1]
-            carry = (local.iloc[-1], lnn.iloc[-1])
-            yield pdf.assign(**{_LOC: local, _LNN: lnn})
+            carry = (local[-1], lnn[-1])
+            yield pa.RecordBatch.from_arrays(
+                rb.columns + [pa.array(local, type=rb.schema.field(_TIE).type), pa.array(lnn, type=pa.int64())],
+                rb.schema.names + [_LOC, _LNN])
 
     return run
 
@@ -136,7 +147,7 @@ def running_sum(df: DataFrame, value: str, order: str, out: str,
     # 3. local prefix sums.
     schema = T.StructType(list(ranged.schema.fields) + [T.StructField(_LOC, loc_type),
                                                          T.StructField(_LNN, T.LongType())])
-    local = ranged.mapInPandas(_local_prefix(keys), schema)
+    local = ranged.mapInArrow(_local_prefix(keys), schema)
 
     # 4. offsets from per-(partition, key) totals.  Derived sides get fresh
     #    column names so the joins are never ambiguous self-joins.
