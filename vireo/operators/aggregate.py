@@ -187,20 +187,26 @@ def salted_sum(df: DataFrame, key: str, value: str, salts: int = 10, out: str =
 
 # A25 (exact, scalable) -------------------------------------------------------
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    partition_by: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
+                    partition_by: Sequence[str] = (), names: Sequence[str] | None = None,
+                    counts: str | None = None) -> DataFrame:
     """``percentile_cont`` per group, exact, without a per-group value buffer.
 
     ``F.percentile`` keeps every distinct value of a group in one aggregation
     buffer — a hot group would sit in one task.  Here the values are counted
     per (group, value), a distributed running count gives each value's rank,
     and the values at the two ranks around ``(n-1)·p`` are picked with
-    algebraic ``min`` aggregates, then interpolated linearly.
+    algebraic ``min`` aggregates, then interpolated linearly.  With
+    ``counts``, ``df`` is already one row per (group, value) with its count
+    in that column (e.g. a frequency table shared with a mode).
     """
     from vireo.operators.window import running_sum
 
     keys = list(partition_by)
     names = list(names) if names else [f"p{int(round(p * 100))}" for p in probs]
-    freq = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    if counts:
+        freq = df.where(F.col(value).isNotNull()).select(*keys, value, F.col(counts).alias("__n"))
+    else:
+        freq = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     cum = running_sum(freq, "__n", value, "__cum", partition_by=keys)
     tot = freq.groupBy(*keys).agg(F.sum("__n").alias("__total_n"))
     if keys:

@@ -23,8 +23,9 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     stats = long.groupBy("column").agg(
         F.count(F.lit(1)).alias("rows"), F.count("v").alias("non_null"),
         F.avg("v").alias("mean"), F.stddev("v").alias("stddev"))
-    median = exact_quantiles(long, "v", [0.5], partition_by=["column"], names=["median"])
+    # one frequency table per (column, value) feeds both the median and the mode
     freq = long.where(F.col("v").isNotNull()).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    median = exact_quantiles(freq, "v", [0.5], partition_by=["column"], names=["median"], counts="n")
     # most frequent value, smallest on ties: max of (n, -v)
     mode = freq.groupBy("column").agg(F.max(F.struct(F.col("n"), (-F.col("v")).alias("neg"))).alias("m")) \
         .select("column", (-F.col("m.neg")).alias("mode"))
