@@ -50,3 +50,28 @@ def jdbc_batch_writer(url: str, table: str, props: Mapping[str, str] | None = No
             .write.mode("append").jdbc(url, table, properties=props)
 
     return write
+
+
+def kafka_write_options(bootstrap: str, topic: str, checkpoint: str | None = None) -> dict[str, str]:
+    """S25 sink side: options for ``write``/``writeStream.format("kafka")``.
+    The frame must carry ``key`` and ``value`` (and optionally ``partition``,
+    e.g. from :func:`vireo.operators.partitioning.letter_bucket` — S26)."""
+    opts = {"kafka.bootstrap.servers": bootstrap, "topic": topic}
+    if checkpoint:
+        opts["checkpointLocation"] = checkpoint
+    return opts
+
+
+def publish(df: DataFrame, options: Mapping[str, str], trigger: dict | None = None):
+    """Write keyed records to a topic: a batch write for a batch frame, a
+    started query for a streaming one (throttled upstream with
+    ``maxFilesPerTrigger``).  Needs the Kafka connector on the classpath."""
+    cols = [c for c in ("key", "value", "partition") if c in df.columns]
+    out = df.select(*cols)
+    if not df.isStreaming:
+        out.write.format("kafka").options(**options).save()
+        return None
+    w = out.writeStream.format("kafka").options(**options)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
