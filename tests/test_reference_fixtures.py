@@ -129,7 +129,6 @@ def test_movies_json_explodes(spark):
 
 
 def test_eoq_worked_example(spark):
-    from vireo.plans.supply import holding_cost  # noqa: F401  (formula shares the expression below)
     d, c, q, s, h = 2000, 10, 500, 2000, 1
     row = spark.range(1).select((F.lit(d) / q * s + F.lit(q) / 2 * h + F.lit(d) * c).alias("tlc")).first()
     assert row.tlc == 28250

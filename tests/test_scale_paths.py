@@ -4,7 +4,6 @@ task / single buffer) forms, on data with ties, NULLs and a hot key."""
 import random
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vireo.operators import aggregate as agg

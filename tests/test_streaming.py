@@ -5,7 +5,6 @@ order, one file per micro-batch."""
 import os
 import time
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL

@@ -8,7 +8,7 @@ from vireo.operators import aggregate as agg
 from vireo.operators.window import running_share, running_sum, running_sum_checked
 from vireo.plans.quotes import quote_stats, quotes
 from vireo.plans.registry import query
-from vireo.plans.standins import money, retail_lines, revenue_by_item
+from vireo.plans.standins import money, money_total, retail_lines, revenue_by_item
 from vireo.session import checkpoint_dir
 from vireo.sources.tables import table
 
@@ -189,7 +189,7 @@ def group_mean(spark, sf):
     r = retail_lines(spark, sf)
     return r.groupBy("country").agg(
         F.avg("quantity").alias("avg_quantity"),
-        (F.sum(money("price")).cast("double") / F.count("price")).alias("avg_price"))
+        (money_total("price") / F.count("price")).alias("avg_price"))
 
 
 @query("group_sum_product", sql=_RETAIL_SQL + """
@@ -225,7 +225,7 @@ WITH d AS (SELECT o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTE
 
 
 def _aggs():
-    return [F.count(F.lit(1)).alias("n"), F.sum(money("o_totalprice")).cast("double").alias("total")]
+    return [F.count(F.lit(1)).alias("n"), money_total("o_totalprice").alias("total")]
 
 
 @query("cube", sql=_DIMS_SQL + f"""

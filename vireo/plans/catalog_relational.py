@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from vireo.operators import joins, ordering, project, setops
 from vireo.plans.registry import query
-from vireo.plans.standins import money
+from vireo.plans.standins import money_total
 from vireo.sources.tables import table
 
 
@@ -292,7 +292,7 @@ WITH pv AS (
 
 def _pivoted(spark, sf):
     o = _t(spark, sf, "orders")
-    pv = project.pivot(o, ["o_custkey"], "o_orderstatus", ["F", "O", "P"], F.sum(money("o_totalprice")))
+    pv = project.pivot(o, ["o_custkey"], "o_orderstatus", ["F", "O", "P"], money_total("o_totalprice"))
     return pv.select("o_custkey", *[F.col(s).cast("double").alias(s) for s in ("F", "O", "P")])
 
 

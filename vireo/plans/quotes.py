@@ -7,7 +7,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.plans.standins import money
+from vireo.plans.standins import money_total
 from vireo.operators.partitioning import spread
 from vireo.sources.tables import table
 
@@ -23,8 +23,8 @@ def quotes(spark: SparkSession, sf: str) -> DataFrame:
 
 def quote_stats(df: DataFrame, keys: Sequence[str | Column] = ("symbol",)) -> DataFrame:
     """Per key: avg / sum of quantity and value, min / max close.  Money is
-    summed as exact decimals."""
-    sumval = F.sum(money("value")).cast("double")
+    summed exactly (integer cents)."""
+    sumval = money_total("value")
     return df.groupBy(*keys).agg(
         F.avg("qty").alias("avgqty"), (sumval / F.count("value")).alias("avgval"),
         F.sum("qty").alias("totqty"), sumval.alias("sumval"),
