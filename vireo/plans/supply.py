@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vireo.plans.standins import money
 from vireo.operators.partitioning import spread
 from vireo.sources.tables import table
 
@@ -14,7 +13,12 @@ from vireo.sources.tables import table
 def shipments(spark: SparkSession, sf: str) -> DataFrame:
     """vendor = supplier, country = customer nation, moleculetesttype = part
     type; weight = quantity, value = extended price, freight = value × tax,
-    insurance = value × discount (money as exact decimals)."""
+    insurance = value × discount.
+
+    Money is exact integers: the value in cents, the freight and insurance
+    products in units of 10^-4 (cents × hundredths).  Sums stay exact and
+    order-independent in a compact long buffer; each report divides once.
+    """
     li = spread(table(spark, sf, "lineitem")).select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
                                              "l_extendedprice", "l_tax", "l_discount")
     s = table(spark, sf, "supplier").select("s_suppkey", "s_name")
@@ -25,13 +29,18 @@ def shipments(spark: SparkSession, sf: str) -> DataFrame:
     j = (li.join(s, li.l_suppkey == s.s_suppkey).join(o, F.col("l_orderkey") == o.o_orderkey)
          .join(c, F.col("o_custkey") == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
          .join(p, F.col("l_partkey") == p.p_partkey))
+    value = cents("l_extendedprice")
     return j.select(F.col("s_suppkey").alias("vendorkey"), F.col("s_name").alias("vendor"),
                     F.col("n_name").alias("country"), F.col("p_type").alias("moleculetesttype"),
                     F.col("l_quantity").alias("weightkilograms"),
                     F.col("l_quantity").alias("lineitemquantity"),
-                    money("l_extendedprice").alias("lineitemvalue"),
-                    (money("l_extendedprice") * money("l_tax")).alias("freightcostusd"),
-                    (money("l_extendedprice") * money("l_discount")).alias("lineiteminsuranceusd"))
+                    value.alias("lineitemvalue_cents"),
+                    (value * cents("l_tax")).alias("freightcost_e4"),
+                    (value * cents("l_discount")).alias("insurance_e4"))
+
+
+def cents(c: str) -> Column:
+    return F.round(F.col(c) * 100).cast("long")
 
 
 def vendor_cost(df: DataFrame) -> DataFrame:
@@ -39,9 +48,9 @@ def vendor_cost(df: DataFrame) -> DataFrame:
     plain sum (units and money added together, as in the reference)."""
     g = df.groupBy("moleculetesttype", "vendor").agg(
         F.sum("lineitemquantity").alias("totqty"),
-        F.sum("lineitemvalue").cast("double").alias("totvalue"),
-        F.sum("freightcostusd").cast("double").alias("totshippingcost"),
-        F.sum("lineiteminsuranceusd").cast("double").alias("insurcost"))
+        (F.sum("lineitemvalue_cents") / 100.0).alias("totvalue"),
+        (F.sum("freightcost_e4") / 10000.0).alias("totshippingcost"),
+        (F.sum("insurance_e4") / 10000.0).alias("insurcost"))
     return g.withColumn("totalcost", F.col("totqty") + F.col("totvalue") + F.col("totshippingcost") + F.col("insurcost"))
 
 
@@ -71,8 +80,8 @@ def eoq_tlc(df: DataFrame, formula: str = "reference") -> DataFrame:
     the shipment join runs once, not once per aggregate.
     """
     wkg = F.col("weightkilograms").try_cast("double")
-    clean = (wkg.isNotNull() & F.col("lineitemvalue").isNotNull() & F.col("freightcostusd").isNotNull()
-             & F.col("lineiteminsuranceusd").isNotNull())
+    clean = (wkg.isNotNull() & F.col("lineitemvalue_cents").isNotNull() & F.col("freightcost_e4").isNotNull()
+             & F.col("insurance_e4").isNotNull())
 
     def when_clean(c):
         return F.when(clean, c)
@@ -80,9 +89,9 @@ def eoq_tlc(df: DataFrame, formula: str = "reference") -> DataFrame:
     per = df.groupBy("vendorkey", "vendor", "country", "moleculetesttype").agg(
         F.sum(wkg).alias("__all_w"),
         F.count(when_clean(F.lit(1))).alias("noorders"), F.sum(when_clean(wkg)).alias("vsupply"),
-        F.sum(when_clean(F.col("lineitemvalue"))).cast("double").alias("itemcost"),
-        (F.sum(when_clean(F.col("freightcostusd"))) + F.sum(when_clean(F.col("lineiteminsuranceusd"))))
-        .cast("double").alias("tordercost"))
+        (F.sum(when_clean(F.col("lineitemvalue_cents"))) / 100.0).alias("itemcost"),
+        ((F.sum(when_clean(F.col("freightcost_e4"))) + F.sum(when_clean(F.col("insurance_e4"))))
+         / 10000.0).alias("tordercost"))
     demand = F.sum("__all_w").over(Window.partitionBy("country", "moleculetesttype"))
     costs = per.withColumn("demand", demand).where(F.col("noorders") > 0).withColumns({
         "batchsize": F.col("vsupply") / F.col("noorders"),
