@@ -203,10 +203,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
 
     keys = list(partition_by)
     names = list(names) if names else [f"p{int(round(p * 100))}" for p in probs]
+    # A NULL value keeps its row with count 0: a group whose values are all
+    # NULL still yields a (NULL) result, and such a row never moves a rank.
     if counts:
-        freq = df.where(F.col(value).isNotNull()).select(*keys, value, F.col(counts).alias("__n"))
+        freq = df.select(*keys, value, F.when(F.col(value).isNotNull(), F.col(counts))
+                         .otherwise(F.lit(0)).cast("long").alias("__n"))
     else:
-        freq = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+        freq = df.groupBy(*keys, value).agg(F.count(value).alias("__n"))
     cum = running_sum(freq, "__n", value, "__cum", partition_by=keys)
     tot = freq.groupBy(*keys).agg(F.sum("__n").alias("__total_n"))
     if keys:
