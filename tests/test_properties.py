@@ -29,7 +29,8 @@ def test_running_sum_equals_window(spark, rows, parts, desc, keyed):
     keys = ["k"] if keyed else []
     a = running_sum(df, "v", "o", "cum", partition_by=keys, descending=desc, num_partitions=parts)
     b = running_sum_window(df, "v", "o", "cum", partition_by=keys, descending=desc)
-    assert sorted((r.id, r.cum) for r in a.collect()) == sorted((r.id, r.cum) for r in b.collect())
+    assert sorted(((r.id, r.cum) for r in a.collect()), key=repr) == \
+        sorted(((r.id, r.cum) for r in b.collect()), key=repr)
 
 
 @SETTINGS
@@ -44,3 +45,21 @@ def test_exact_quantile_equals_percentile(spark, rows, p):
             assert ref[k] is None and ours[k] is None
         else:
             assert abs(ours[k] - ref[k]) <= 1e-9 * max(1.0, abs(ref[k]))
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", None]),
+                               st.one_of(st.none(), st.integers(0, 240)),      # minutes; ties likely
+                               st.integers(0, 50)), min_size=0, max_size=60),
+       parts=st.integers(1, 6), gap=st.sampled_from([5, 10, 30]))
+def test_sessions_equal_session_window(spark, rows, parts, gap):
+    import datetime as dt
+    from vireo.operators.sessions import sessions
+    from vireo.streaming.windows import session_summary
+    base = dt.datetime(2024, 1, 1)
+    data = [(k, None if m is None else base + dt.timedelta(minutes=m), float(v)) for k, m, v in rows]
+    df = spark.createDataFrame(data, "k string, ts timestamp, value double")
+    g = f"{gap} minutes"
+    a = sessions(df, "ts", g, ["k"], "value", num_partitions=parts)
+    b = session_summary(df, "ts", g, ["k"], "value")
+    assert sorted((tuple(r) for r in a.collect()), key=repr) == sorted((tuple(r) for r in b.collect()), key=repr)
