@@ -129,9 +129,24 @@ def test_movies_json_explodes(spark):
 
 
 def test_eoq_worked_example(spark):
+    import math
+    from vireo.plans.supply import eoq_tlc
+    # the reference's worked total logistics cost: D=2000, c=10, q=500, s=2000, h=1
     d, c, q, s, h = 2000, 10, 500, 2000, 1
-    row = spark.range(1).select((F.lit(d) / q * s + F.lit(q) / 2 * h + F.lit(d) * c).alias("tlc")).first()
-    assert row.tlc == 28250
+    assert d / q * s + q / 2 * h + d * c == 28250
+    # our operator on four shipments of 500 kg: demand 2000, 4 orders, batch 500,
+    # freight + insurance 8000 → order cost 2000, item cost 20000, holding 0.1
+    rows = [(0, "v0", "X", "M", 500.0, 500.0, 500000, 10000000, 10000000) for _ in range(4)]
+    sh = spark.createDataFrame(rows, "vendorkey long, vendor string, country string, moleculetesttype string, "
+                                     "weightkilograms double, lineitemquantity double, lineitemvalue_cents long, "
+                                     "freightcost_e4 long, insurance_e4 long")
+    r = eoq_tlc(sh).first()
+    assert (r.demand, r.ordercost, r.batchsize, r.rhc) == (2000.0, 2000.0, 500.0, 0.1)
+    eoq = 2 * math.sqrt(2000 * 2000 / (0.1 * 500))
+    assert math.isclose(r.eoq, eoq)
+    assert math.isclose(r.tlc, 2000 / eoq * 2000 + eoq / 2 * 0.1 * 500 + 20000 / 2000 * 2000)
+    t = eoq_tlc(sh, formula="textbook").first()
+    assert math.isclose(t.eoq, math.sqrt(2 * 2000 * 2000 / (0.1 * 500)))
 
 
 def test_salted_equals_direct(spark):
