@@ -249,3 +249,23 @@ def test_parse_csv_record(spark):
     out = sources.parse_csv_record(df, "value", [(0, "symbol", "string"), (2, "close", "double"),
                                                  (3, "qty", "int")]).collect()
     assert [(r.symbol, r.close, r.qty) for r in out] == [("INFY", 2000.5, 7), ("SBIN", None, 9)]
+
+
+def test_stateful_session_updates_expire_like_session_window(spark, tmp_path):
+    from vireo.streaming.stateful import session_updates
+    e, parts = _events_parts(spark, str(tmp_path / "ev"), ["2024-01-10", "2024-01-20"])
+    src = str(tmp_path / "src")
+    _stage(parts, src)
+    s = sources.file_table_stream(spark, src, e.schema)
+    q = sq.start(session_updates(s, "user_id", "ts", 30 * 60 * 1000, "10 minutes"), "append", "memory",
+                 name="sess_updates", checkpoint=str(tmp_path / "ck"), trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    out = spark.sql("select * from sess_updates")
+    expired = {(int(r.key), r.session_start, r.session_end, r.events)
+               for r in out.where("expired").collect()}
+    twin = {(r.user_id, r.session_start, r.session_end, r.events)
+            for r in session_summary(e, "ts", "30 minutes", ["user_id"]).collect()}
+    assert expired and expired <= twin              # every closed session is exact
+    assert len(expired) >= len(twin) - 200          # only the last open ones remain
+    # open-session updates never claim more events than the final session has
+    assert out.where("not expired").count() > 0
