@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vireo.plans import abc
+from vireo.functions import text as _text
+from vireo.functions.logs import parse_access_log
+from vireo.operators import aggregate as _agg
+from vireo.plans import abc, accesslog, supply
+from vireo.plans import profile as _profile
 from vireo.plans.registry import query
 from vireo.plans.standins import revenue_by_item
+from vireo.sources.tables import table
 
 _ABC_ITEMS = """
 WITH agg AS (
@@ -76,11 +81,6 @@ def abc_summary_q(spark, sf):
 
 
 # ----------------------------------------------------------------- K01 / J16
-from vireo.functions import text as _text  # noqa: E402
-from vireo.functions.logs import parse_access_log  # noqa: E402
-from vireo.operators import aggregate as _agg  # noqa: E402
-from vireo.plans import accesslog, profile as _profile, supply  # noqa: E402
-from vireo.sources.tables import table  # noqa: E402
 
 _WORDS_SQL = r"""
 WITH w AS (SELECT unnest(regexp_split_to_array(lower(text), '\s+')) AS word FROM documents)
