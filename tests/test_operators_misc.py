@@ -157,3 +157,24 @@ def test_random_holding_cost_range(spark):
     from vireo.plans.supply import random_holding_cost
     vals = {r.h for r in spark.range(2000).select(random_holding_cost(3).alias("h")).collect()}
     assert vals <= {round(i / 10, 1) for i in range(1, 10)} and len(vals) == 9
+
+
+def test_log_report_over_one_persisted_parse(spark):
+    from vireo.plans import accesslog
+    lines = accesslog.lines_from_events(spark, SF_SMALL)
+    with partitioning.persisted(parse_access_log(lines)) as logs:
+        rep = accesslog.report(logs)
+        assert len(rep) == 11
+        assert rep["bad_count"].first().bad == logs.where("responseCode = '404'").count()
+        assert rep["unique_hosts"].first().hosts == logs.select("ipAddress").distinct().count()
+
+
+def test_sizing_and_shuffle_width(spark):
+    from vireo.session import sizing
+    conf = sizing(100 * 1024 ** 4)
+    assert conf["spark.sql.shuffle.partitions"] == "200000"
+    assert int(sizing(10 * 1024 ** 3)["spark.sql.shuffle.partitions"]) == 40
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    partitioning.shuffle_width(spark, 5)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "5"
+    partitioning.shuffle_width(spark, int(before))

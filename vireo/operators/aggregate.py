@@ -84,9 +84,10 @@ def histogram(df: DataFrame, col: str, buckets: int) -> DataFrame:
     counts = (df.where(F.col(col).isNotNull()).crossJoin(F.broadcast(bounds))
               .groupBy(idx.cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("__c")))
     grid = spark.range(buckets).select(F.col("id").cast("int").alias("bucket")).crossJoin(F.broadcast(bounds))
-    lo = F.col("__mn") + width * F.col("bucket") / buckets
+    step = width / buckets                  # edges min + i·step, as RDD.histogram reports them
+    lo = F.col("__mn") + F.col("bucket") * step
     hi = F.when(F.col("bucket") == buckets - 1, F.col("__mx")).otherwise(
-        F.col("__mn") + width * (F.col("bucket") + 1) / buckets)
+        F.col("__mn") + (F.col("bucket") + 1) * step)
     return (grid.join(counts, "bucket", "left")
             .select("bucket", lo.alias("lower"), hi.alias("upper"),
                     F.coalesce(F.col("__c"), F.lit(0)).cast("long").alias("count")))

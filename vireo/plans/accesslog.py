@@ -100,3 +100,18 @@ def bad_hosts(logs: DataFrame, k: int = 5, code: str = "404") -> DataFrame:
 
 def bad_endpoints(logs: DataFrame, k: int = 5, code: str = "404") -> DataFrame:
     return _counts(bad_records(logs, code), "endPoint").orderBy(F.desc("count"), F.asc("endPoint")).limit(k)
+
+
+def report(lines: DataFrame, threshold: int = 10) -> dict[str, DataFrame]:
+    """All eleven sub-reports over one parse of the lines.  Wrap the call in
+    ``vireo.operators.partitioning.persisted(parse_access_log(lines))`` to
+    scan and parse once for all of them, as the reference's cached job does."""
+    from vireo.functions.logs import parse_access_log
+    logs = parse_access_log(lines) if "contentSize" not in lines.columns else lines
+    return {
+        "size_stats": size_stats(logs), "status_counts": status_counts(logs),
+        "hosts_over": hosts_over(logs, threshold), "top_endpoints": top_endpoints(logs),
+        "unique_hosts": unique_hosts(logs), "daily_hosts": daily_hosts(logs),
+        "daily_requests": daily_requests(logs), "avg_requests": avg_requests_per_host(logs),
+        "bad_count": bad_count(logs), "bad_hosts": bad_hosts(logs), "bad_endpoints": bad_endpoints(logs),
+    }

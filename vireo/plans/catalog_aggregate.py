@@ -104,8 +104,8 @@ WITH b AS (SELECT min(l_quantity) AS mn, max(l_quantity) AS mx FROM lineitem),
 c AS (SELECT CAST(least(floor((l_quantity - mn) / (mx - mn) * 10), 9) AS INTEGER) AS bucket, count(*) AS n
       FROM lineitem, b WHERE l_quantity IS NOT NULL GROUP BY 1),
 g AS (SELECT CAST(range AS INTEGER) AS bucket FROM range(10))
-SELECT g.bucket, mn + (mx - mn) * g.bucket / 10 AS lower,
-       CASE WHEN g.bucket = 9 THEN mx ELSE mn + (mx - mn) * (g.bucket + 1) / 10 END AS upper,
+SELECT g.bucket, mn + g.bucket * ((mx - mn) / 10) AS lower,
+       CASE WHEN g.bucket = 9 THEN mx ELSE mn + (g.bucket + 1) * ((mx - mn) / 10) END AS upper,
        coalesce(n, 0) AS count
 FROM g CROSS JOIN b LEFT JOIN c ON g.bucket = c.bucket""")
 def histogram(spark, sf):
