@@ -63,3 +63,18 @@ def test_sessions_equal_session_window(spark, rows, parts, gap):
     a = sessions(df, "ts", g, ["k"], "value", num_partitions=parts)
     b = session_summary(df, "ts", g, ["k"], "value")
     assert sorted((tuple(r) for r in a.collect()), key=repr) == sorted((tuple(r) for r in b.collect()), key=repr)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-50, 50))),
+                     min_size=0, max_size=60),
+       parts=st.integers(1, 7), keyed=st.booleans(), desc=st.booleans())
+def test_unique_order_running_sum_equals_window(spark, rows, parts, keyed, desc):
+    data = [(i, k, v) for i, (k, v) in enumerate(rows)]          # id is unique
+    df = spark.createDataFrame(data, "id long, k string, v long")
+    keys = ["k"] if keyed else []
+    a = running_sum(df, "v", "id", "cum", partition_by=keys, descending=desc, num_partitions=parts,
+                    unique_order=True)
+    b = running_sum_window(df, "v", "id", "cum", partition_by=keys, descending=desc)
+    assert sorted(((r.id, r.k, r.v, r.cum) for r in a.collect()), key=repr) == \
+        sorted(((r.id, r.k, r.v, r.cum) for r in b.collect()), key=repr)

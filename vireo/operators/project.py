@@ -74,7 +74,7 @@ def dense_index(df: DataFrame, order: str, out: str = "idx") -> DataFrame:
     ``row_number()`` window.
     """
     one = df.withColumn("__one", F.lit(1).cast("long"))
-    return running_sum(one, "__one", order, out).drop("__one")
+    return running_sum(one, "__one", order, out, unique_order=True).drop("__one")
 
 
 def zip_positional(a: DataFrame, a_order: str, b: DataFrame, b_order: str,

@@ -111,9 +111,14 @@ def _local_prefix(keys: list[str]):
 
 def running_sum(df: DataFrame, value: str, order: str, out: str,
                 partition_by: Sequence[str] = (), descending: bool = False,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, unique_order: bool = False) -> DataFrame:
     """Scalable RANGE-frame running sum (see module docstring).  Like SQL,
-    the result is NULL until the first non-NULL value of the key."""
+    the result is NULL until the first non-NULL value of the key.
+
+    ``unique_order=True`` declares that (keys, order) is unique (no peers):
+    the rows themselves then go through the range partition with their
+    columns, and both the peer pre-aggregation and the join back are skipped.
+    """
     spark = df.sparkSession
     keys = list(partition_by)
     n = range_partitions(spark, num_partitions)
@@ -133,8 +138,15 @@ def running_sum(df: DataFrame, value: str, order: str, out: str,
         tie_expr = F.sum(F.col(value).cast("double"))
         loc_type = T.DoubleType()
     zero = F.lit(0).cast(loc_type)
-    ties = df.groupBy(*keys, order).agg(F.coalesce(tie_expr, zero).alias(_TIE),
-                                        F.count(value).alias(_NN))
+    if unique_order:
+        row_expr = {"decimal": (F.col(value) * F.lit(10 ** scale)).cast("long"),
+                    "long": F.col(value).cast("long"),
+                    "double": F.col(value).cast("double")}[kind]
+        ties = df.select("*", F.coalesce(row_expr, zero).alias(_TIE),
+                         F.col(value).isNotNull().cast("long").alias(_NN))
+    else:
+        ties = df.groupBy(*keys, order).agg(F.coalesce(tie_expr, zero).alias(_TIE),
+                                            F.count(value).alias(_NN))
 
     # 2. range partition on (keys, order); explicit n keeps AQE from
     #    coalescing it, so partition ids are stable between the two branches.
@@ -172,6 +184,8 @@ def running_sum(df: DataFrame, value: str, order: str, out: str,
         unit = Decimal(1).scaleb(-scale)
         total = (total.cast("decimal(38,0)") * F.lit(unit)).cast(res_type)
     total = F.when(F.col(_LNN) + F.col(_OFFNN) > 0, total)
+    if unique_order:
+        return cum.select(*df.columns, total.alias(out))
     jalias = {c: f"__j{i}" for i, c in enumerate(keys + [order])}
     cum = cum.select(*[F.col(c).alias(a) for c, a in jalias.items()], total.alias(out))
     join_cond = [F.col(c).eqNullSafe(F.col(a)) for c, a in jalias.items()]
