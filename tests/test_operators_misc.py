@@ -178,3 +178,21 @@ def test_sizing_and_shuffle_width(spark):
     partitioning.shuffle_width(spark, 5)
     assert spark.conf.get("spark.sql.shuffle.partitions") == "5"
     partitioning.shuffle_width(spark, int(before))
+
+
+def test_count_within_time_limit(spark):
+    li = table(spark, SF_SMALL, "lineitem")
+    mean, low, high = agg.count_within(li, 10000, 0.999)
+    n = li.count()
+    assert low <= n <= high and abs(mean - n) <= max(1.0, 0.5 * n)
+
+
+def test_spread_only_single_split_inputs(spark):
+    from vireo.operators.partitioning import spread
+    cores = spark.sparkContext.defaultParallelism
+    big = table(spark, "/root/testdata/sf0.1", "documents").coalesce(1)   # ~15 MB in one split
+    assert spread(big).rdd.getNumPartitions() == cores
+    small = table(spark, SF_SMALL, "nation")                           # tiny: left alone
+    assert spread(small).rdd.getNumPartitions() == small.rdd.getNumPartitions()
+    wide = spark.range(0, 1000, 1, cores * 2)
+    assert spread(wide).rdd.getNumPartitions() == cores * 2
