@@ -141,3 +141,11 @@ def test_running_sum_nan_propagates_like_sql(spark):
     b = running_sum_window(df, "v", "o", "cum")
     norm = lambda rs: sorted((r.id, "nan" if r.cum != r.cum else r.cum) for r in rs)
     assert norm(a.collect()) == norm(b.collect())
+
+
+def test_spread_keeps_column_pruning(spark):
+    from vireo.functions.text import token_counts
+    from vireo.sources.tables import table
+    df = token_counts(table(spark, "/root/testdata/sf0.1", "documents").coalesce(1), "text")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<text:string>" in plan

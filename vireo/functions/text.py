@@ -18,7 +18,9 @@ def tokens(df: DataFrame, text_col: str, unit: str = "word", pattern: str = r"\s
            lower: bool = True, out: str = "word", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per non-empty token of every text (whole texts, no prefix)."""
     pat = "" if unit == "char" else pattern
-    ex = spread(df).select(*keep, F.explode(split_tokens(F.col(text_col), pat, lower)).alias(out))
+    # project first: the spread hashes only the columns that flow on
+    src = spread(df.select(*keep, text_col))
+    ex = src.select(*keep, F.explode(split_tokens(F.col(text_col), pat, lower)).alias(out))
     return ex.where(F.col(out) != "")
 
 

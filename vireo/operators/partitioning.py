@@ -73,6 +73,8 @@ SPREAD_MIN_BYTES = 1 << 20
 
 
 def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Spread a single-split input over the cluster's cores.  Call it on the
+    projected frame: the row hash covers every column it is given."""
     if df.isStreaming:              # a stream's batches are planned per trigger
         return df
     try:

@@ -29,7 +29,7 @@ def money_total(c: str) -> "F.Column":
 
 
 def retail_lines(spark: SparkSession, sf: str) -> DataFrame:
-    li = spread(table(spark, sf, "lineitem")).select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    li = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"))
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf, "nation").select("n_nationkey", "n_name")

@@ -19,8 +19,8 @@ def shipments(spark: SparkSession, sf: str) -> DataFrame:
     products in units of 10^-4 (cents × hundredths).  Sums stay exact and
     order-independent in a compact long buffer; each report divides once.
     """
-    li = spread(table(spark, sf, "lineitem")).select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
-                                             "l_extendedprice", "l_tax", "l_discount")
+    li = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
+                                                    "l_extendedprice", "l_tax", "l_discount"))
     s = table(spark, sf, "supplier").select("s_suppkey", "s_name")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
