@@ -196,3 +196,20 @@ def test_spread_only_single_split_inputs(spark):
     assert spread(small).rdd.getNumPartitions() == small.rdd.getNumPartitions()
     wide = spark.range(0, 1000, 1, cores * 2)
     assert spread(wide).rdd.getNumPartitions() == cores * 2
+
+
+def test_retail_exploration_invariants(spark):
+    from vireo.plans.retail import explore
+    from vireo.plans.standins import retail_lines
+    lines = retail_lines(spark, SF_SMALL)
+    years = [r.y for r in lines.select(F.year("invoicedate").alias("y")).distinct().collect()]
+    ex = explore(lines, sorted(years))
+    assert ex["dedup"].count() == lines.dropDuplicates().count()
+    total = ex["country_revenue"].agg(F.sum("revenue")).first()[0]
+    assert ex["cube"].where("gid = 7").first().revenue == total            # grand total of the cube
+    assert ex["rollup"].where("gid = 7").first().revenue == total
+    q = ex["unpivot_year_quantity"].agg(F.sum("quantity")).first()[0]
+    assert q == lines.dropDuplicates().agg(F.sum("quantity")).first()[0]   # pivot then unpivot keeps totals
+    last = ex["running_by_country"].groupBy("country").agg(F.max("cumrevenue").alias("c"))
+    per = ex["country_revenue"].join(last, "country").where("c != revenue").count()
+    assert per == 0                                                       # running sum ends at the total
