@@ -83,5 +83,7 @@ def sizing(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: i
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        # coalesce to the advisory size, not to the default parallelism
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
     }
