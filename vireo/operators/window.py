@@ -19,7 +19,11 @@ picks between them from an exact row count of a materialised input):
    that small table (at most ``n + #keys`` rows; without keys exactly ``n``
    rows, so it is broadcast);
 5. cumulative = local prefix + offset; joined back to the input rows on
-   ``(keys, order)`` (null-safe).
+   ``(keys, order)`` (null-safe).  With a unique order key steps 1 and 5's
+   join are skipped: the rows themselves are range-partitioned.
+
+As in SQL, a key's sum is NULL until its first non-NULL value (a running
+non-NULL count travels with the sum) and a NaN propagates.
 """
 
 from __future__ import annotations
@@ -33,6 +37,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _PID = "__vireo_pid"
+_TIE = "__vireo_tie"
+_LOC = "__vireo_local"
+_OFF = "__vireo_offset"
+
 # Upper bound on the range partitions of the distributed paths: the peer
 # table is often far smaller than the input, and an explicit partition count
 # is not coalesced by AQE.  8192 partitions hold ~10^10 distinct peers at
@@ -43,9 +51,6 @@ RANGE_PARTITIONS_MAX = 8192
 def range_partitions(spark, num_partitions: int | None = None) -> int:
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(1, min(n, RANGE_PARTITIONS_MAX))
-_TIE = "__vireo_tie"
-_LOC = "__vireo_local"
-_OFF = "__vireo_offset"
 
 
 def running_sum_window(df: DataFrame, value: str, order: str, out: str,
