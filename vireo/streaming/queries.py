@@ -43,14 +43,20 @@ def per_batch(df: DataFrame, fn: Callable[[DataFrame], DataFrame], path: str, ch
     """Apply a batch function to every micro-batch and append its result,
     tagged with the batch id, to a parquet folder.  Replays of a batch id
     overwrite that batch's partition, so the output is idempotent."""
+    w = df.writeStream.foreachBatch(batch_writer(fn, path)).option("checkpointLocation", checkpoint)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
+def batch_writer(fn: Callable[[DataFrame], DataFrame], path: str):
+    """The ``foreachBatch`` body of :func:`per_batch`: the batch's result goes
+    to the ``batch_id=<id>`` partition, replacing what a replay left there."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         (fn(batch).withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(path))
-    w = df.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    if trigger:
-        w = w.trigger(**trigger)
-    return w.start()
+    return sink
 
 
 def batch_word_counts(batch: DataFrame, text_col: str = "value") -> DataFrame:
