@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vireo.operators.window import range_partitions
+from vireo.operators.window import materialize, range_partitions
 
 _PID = "__s_pid"
 
@@ -95,7 +95,9 @@ def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str], value: str |
     ts_type = ranged.schema[ts].dataType
     schema = T.StructType(list(ranged.schema.fields) + [T.StructField("__lstart", ts_type),
                                                          T.StructField("__first", T.BooleanType())])
-    local = ranged.mapInPandas(_scan(keys, ts, _gap_seconds(gap)), schema)
+    # checkpointed once: the summary and the rows must see the same partition
+    # ids, and range boundaries are sampled per exchange
+    local = materialize(ranged.mapInPandas(_scan(keys, ts, _gap_seconds(gap)), schema))
 
     # per-partition summary: first row, last row (rows are unique per (key, ts))
     kstruct = [F.col(k) for k in keys]

@@ -14,7 +14,9 @@ picks between them from an exact row count of a materialised input):
 2. range-partition the peer table on ``(keys, order)`` into ``n`` partitions
    and sort within partitions — a hot key is spread over several partitions;
 3. per partition, a vectorised prefix sum per key (``mapInArrow``; the only
-   imperative step, a per-partition scan Spark has no operator for);
+   imperative step, a per-partition scan Spark has no operator for), whose
+   result is checkpointed once so every later branch sees the same
+   partition ids (range boundaries are sampled per exchange);
 4. per ``(partition id, key)`` totals, turned into offsets by a window over
    that small table (at most ``n + #keys`` rows; without keys exactly ``n``
    rows, so it is broadcast);
@@ -53,6 +55,13 @@ def range_partitions(spark, num_partitions: int | None = None) -> int:
     return max(1, min(n, RANGE_PARTITIONS_MAX))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Eager reliable checkpoint into the session's checkpoint directory."""
+    from vireo.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def running_sum_window(df: DataFrame, value: str, order: str, out: str,
                        partition_by: Sequence[str] = (), descending: bool = False) -> DataFrame:
     """The built-in window form (single task when ``partition_by`` is empty)."""
@@ -164,11 +173,16 @@ def running_sum(df: DataFrame, value: str, order: str, out: str,
     # 3. local prefix sums.
     schema = T.StructType(list(ranged.schema.fields) + [T.StructField(_LOC, loc_type),
                                                          T.StructField(_LNN, T.LongType())])
-    local = ranged.mapInArrow(_local_prefix(keys), schema)
+    # The range partitioner samples with a seed derived from its RDD id, so
+    # two separately planned exchanges may cut different boundaries.  Both
+    # consumers below (totals and rows) must see the same partition ids:
+    # the scanned result is checkpointed once (reliable storage, lineage cut)
+    # instead of trusting exchange reuse.
+    local = materialize(ranged.mapInArrow(_local_prefix(keys), schema))
 
     # 4. offsets from per-(partition, key) totals.  Derived sides get fresh
     #    column names so the joins are never ambiguous self-joins.
-    totals = ranged.groupBy(_PID, *keys).agg(F.sum(_TIE).alias("__t"), F.sum(_NN).alias("__tn"))
+    totals = local.groupBy(_PID, *keys).agg(F.sum(_TIE).alias("__t"), F.sum(_NN).alias("__tn"))
     w = (Window.partitionBy(*keys) if keys else Window).orderBy(_PID).rowsBetween(
         Window.unboundedPreceding, -1)
     kalias = {k: f"__k{i}" for i, k in enumerate(keys)}
