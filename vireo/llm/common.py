@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +61,7 @@ def fresh(base: str, taken: list[str]) -> str:
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut an Arrow batch so that each part holds about ``limit`` bytes of ``column`` (one row at least)."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
     start = total = 0
     for i, n in enumerate(sizes.to_numpy(zero_copy_only=False)):
         if total and total + n > limit:

@@ -5,13 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.llm import preference, url_filter, warc
+from vireo.llm import decontaminate, preference, url_filter, warc
 from vireo.llm.common import Scratch, read
 
 RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
          url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_windows(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    ids = F.concat_ws(",", F.array_sort(F.transform("items", lambda i: i.cast("string"))))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP2_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[CAST(s AS BIGINT):CAST(s + least(len(w), 10) - 1 AS BIGINT)], ' ') AS g
+       FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+dw AS (SELECT r, k, s, array_to_string(w[CAST(s AS BIGINT):CAST(s + k - 1 AS BIGINT)], ' ') AS g
+       FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, (SELECT DISTINCT k FROM iw) WHERE len(w) >= k)),
+hit AS (SELECT r, s, dw.k, item_id FROM dw JOIN iw ON dw.k = iw.k AND dw.g = iw.g),
+pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + k)) AS p FROM hit) GROUP BY r),
+its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (r) LEFT JOIN its USING (r)
+"""
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Scratch(spark).path("archives")
     warc.write_warc(read(spark, sf_dir, "pages"), path)
@@ -83,5 +105,5 @@ SELECT page_id, host, path, rule, coalesce(said, CASE WHEN canonical IN (SELECT
 """
 
 
-QUERIES = {"op6_warc": op6_warc, "op7_preference": op7_preference, "op9_url_filter": op9_url_filter}
-ORACLE_SQL = {"op6_warc": OP6_SQL, "op7_preference": OP7_SQL, "op9_url_filter": OP9_SQL}
+QUERIES = {"op2_decontaminate": op2_decontaminate, "op6_warc": op6_warc, "op7_preference": op7_preference, "op9_url_filter": op9_url_filter}
+ORACLE_SQL = {"op2_decontaminate": OP2_SQL, "op6_warc": OP6_SQL, "op7_preference": OP7_SQL, "op9_url_filter": OP9_SQL}
