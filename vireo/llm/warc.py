@@ -7,6 +7,7 @@ like those of any other job and need no local disk.
 
 from __future__ import annotations
 
+import gzip
 import re
 from collections.abc import Iterator
 
@@ -71,7 +72,7 @@ def write_warc(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "202
     Headers are resolved first (see :func:`resolve`) and joined to the
     payloads by record, so a digest with many pages does not gather payloads.
     A revisit keeps its HTTP head and drops the payload.  Files hold about
-    ``file_bytes`` (one record at least).  A null url is left out of the
+    ``file_bytes`` before gzip (one record at least).  A null url is left out of the
     header.  An empty table writes no record.
     """
     heads = resolve(pages, min_bytes).dropDuplicates(["page_id", "payload_digest"])
@@ -99,14 +100,15 @@ def write_warc(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "202
         ("Content-Type", F.lit("application/http; msgtype=response")),
         ("Content-Length", block_bytes.cast("string")))
     record = F.concat(F.lit(f"{VERSION}\r\n"), head, F.lit(END), http, body)
-    joined.select(record.alias("value")).write.option("lineSep", END).text(path)
+    joined.select(record.alias("value")).write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
 _FIELD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
 
 
 def parse_records(data: bytes) -> Iterator[dict]:
-    """The records of one uncompressed archive, in order; lengths come from the headers."""
+    """The records of one archive (gzip or plain), in order; lengths come from the headers."""
+    data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
     at, view = 0, memoryview(data)
     while (at := data.find(b"WARC/1.", at)) >= 0:
         head_end = data.index(b"\r\n\r\n", at)
