@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.llm import decontaminate, preference, url_filter, warc
+from vireo.llm import decontaminate, ngram_join, preference, url_filter, warc
 from vireo.llm.common import Scratch, read
 
 RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
@@ -34,6 +34,10 @@ FROM d LEFT JOIN pos USING (r) LEFT JOIN its USING (r)
 """
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Scratch(spark).path("archives")
     warc.write_warc(read(spark, sf_dir, "pages"), path)
@@ -105,5 +109,5 @@ SELECT page_id, host, path, rule, coalesce(said, CASE WHEN canonical IN (SELECT
 """
 
 
-QUERIES = {"op2_decontaminate": op2_decontaminate, "op6_warc": op6_warc, "op7_preference": op7_preference, "op9_url_filter": op9_url_filter}
+QUERIES = {"op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op6_warc": op6_warc, "op7_preference": op7_preference, "op9_url_filter": op9_url_filter}
 ORACLE_SQL = {"op2_decontaminate": OP2_SQL, "op6_warc": OP6_SQL, "op7_preference": OP7_SQL, "op9_url_filter": OP9_SQL}
