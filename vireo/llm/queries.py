@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.llm import decontaminate, ngram_join, preference, url_filter, warc
+from vireo.llm import bit_sliced, decontaminate, ngram_join, preference, url_filter, warc
 from vireo.llm.common import Scratch, read
 
 RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
@@ -38,6 +38,22 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(read(spark, sf_dir, "documents"))
 
 
+def op5_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return bit_sliced.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+OP5_SQL = """
+WITH v AS (SELECT CAST(vec_id AS BIGINT) AS vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Scratch(spark).path("archives")
     warc.write_warc(read(spark, sf_dir, "pages"), path)
@@ -109,5 +125,5 @@ SELECT page_id, host, path, rule, coalesce(said, CASE WHEN canonical IN (SELECT
 """
 
 
-QUERIES = {"op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op6_warc": op6_warc, "op7_preference": op7_preference, "op9_url_filter": op9_url_filter}
-ORACLE_SQL = {"op2_decontaminate": OP2_SQL, "op6_warc": OP6_SQL, "op7_preference": OP7_SQL, "op9_url_filter": OP9_SQL}
+QUERIES = {"op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op5_bit_sliced": op5_bit_sliced, "op6_warc": op6_warc, "op7_preference": op7_preference, "op9_url_filter": op9_url_filter}
+ORACLE_SQL = {"op2_decontaminate": OP2_SQL, "op5_bit_sliced": OP5_SQL, "op6_warc": OP6_SQL, "op7_preference": OP7_SQL, "op9_url_filter": OP9_SQL}
