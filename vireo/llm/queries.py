@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.llm import bit_sliced, decontaminate, ngram_join, preference, url_filter, warc
+from vireo.llm import bit_sliced, decontaminate, language_id, ngram_join, preference, url_filter, warc
 from vireo.llm.common import Scratch, read
 
 RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
@@ -125,5 +125,16 @@ SELECT page_id, host, path, rule, coalesce(said, CASE WHEN canonical IN (SELECT
 """
 
 
-QUERIES = {"op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op5_bit_sliced": op5_bit_sliced, "op6_warc": op6_warc, "op7_preference": op7_preference, "op9_url_filter": op9_url_filter}
+def fold(ident: str, parts: int):
+    """crc32 of the id as text, modulo ``parts``."""
+    return F.crc32(F.col(ident).cast("string").cast("binary")) % parts
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter((fold("doc_id", 3) != 1) & F.col("lang").isNotNull()).select("text", "lang"))
+    return language_id.predict(docs, model).select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+QUERIES = {"op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op5_bit_sliced": op5_bit_sliced, "op6_warc": op6_warc, "op7_preference": op7_preference, "op9_url_filter": op9_url_filter, "op10_language_id": op10_language_id}
 ORACLE_SQL = {"op2_decontaminate": OP2_SQL, "op5_bit_sliced": OP5_SQL, "op6_warc": OP6_SQL, "op7_preference": OP7_SQL, "op9_url_filter": OP9_SQL}
