@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.llm import bit_sliced, decontaminate, language_id, ngram_join, preference, url_filter, warc
+from vireo.llm import bit_sliced, crf_quality, decontaminate, language_id, ngram_join, preference, url_filter, warc
 from vireo.llm.common import Scratch, read
 
 RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
@@ -130,11 +130,26 @@ def fold(ident: str, parts: int):
     return F.crc32(F.col(ident).cast("string").cast("binary")) % parts
 
 
+#: Score from which a document counts as good.
+GOOD = 0.3
+
+
+def quality_model(docs: DataFrame, spark: SparkSession, sf_dir: str) -> crf_quality.Model:
+    """Learned from the labelled rows outside fold 0 of 5."""
+    return crf_quality.fit(docs, read(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0))
+
+
+def op1_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = crf_quality.score(docs, quality_model(docs, spark, sf_dir))
+    return scored.select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = language_id.fit(docs.filter((fold("doc_id", 3) != 1) & F.col("lang").isNotNull()).select("text", "lang"))
     return language_id.predict(docs, model).select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
-QUERIES = {"op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op5_bit_sliced": op5_bit_sliced, "op6_warc": op6_warc, "op7_preference": op7_preference, "op9_url_filter": op9_url_filter, "op10_language_id": op10_language_id}
+QUERIES = {"op1_crf_quality": op1_crf_quality, "op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op5_bit_sliced": op5_bit_sliced, "op6_warc": op6_warc, "op7_preference": op7_preference, "op9_url_filter": op9_url_filter, "op10_language_id": op10_language_id}
 ORACLE_SQL = {"op2_decontaminate": OP2_SQL, "op5_bit_sliced": OP5_SQL, "op6_warc": OP6_SQL, "op7_preference": OP7_SQL, "op9_url_filter": OP9_SQL}
