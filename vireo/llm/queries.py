@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.llm import bit_sliced, crf_quality, decontaminate, language_id, ngram_join, preference, url_filter, warc
+from vireo.llm import bit_sliced, byte_bpe, crf_quality, decontaminate, language_id, ngram_join, preference, url_filter, warc
 from vireo.llm.common import Scratch, read
 
 RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
@@ -38,6 +39,19 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(read(spark, sf_dir, "documents"))
 
 
+#: Rank file and pattern of the byte-level vocabulary.
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
+    encoded = byte_bpe.encode(docs, RANKS, PATTERN)
+    return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(read(spark, sf_dir, "documents"))
+
+
 def op5_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     return bit_sliced.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
@@ -151,5 +165,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
-QUERIES = {"op1_crf_quality": op1_crf_quality, "op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op5_bit_sliced": op5_bit_sliced, "op6_warc": op6_warc, "op7_preference": op7_preference, "op9_url_filter": op9_url_filter, "op10_language_id": op10_language_id}
+QUERIES = {"op1_crf_quality": op1_crf_quality, "op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op4_byte_bpe": op4_byte_bpe, "op5_bit_sliced": op5_bit_sliced, "op6_warc": op6_warc, "op7_preference": op7_preference, "op9_url_filter": op9_url_filter, "op10_language_id": op10_language_id}
 ORACLE_SQL = {"op2_decontaminate": OP2_SQL, "op5_bit_sliced": OP5_SQL, "op6_warc": OP6_SQL, "op7_preference": OP7_SQL, "op9_url_filter": OP9_SQL}
