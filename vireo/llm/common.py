@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -44,6 +45,11 @@ class Scratch:
         for name in names:
             self._fs.delete(self._path(self.path(name)), True)
 
+    def release(self) -> None:
+        """Collect finished plans, so that Spark removes the shuffle files of steps that were cut."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
 
 def row_key() -> Column:
     """Unique per row of one written table: call it only in a frame that ``cut`` writes."""
