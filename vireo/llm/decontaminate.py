@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vireo.llm.common import Scratch, row_key, slices
+from vireo.llm.common import Scratch, fresh, row_key, slices
 from vireo.llm.words import WORD_PATTERN, Words
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -178,7 +178,12 @@ def _verified(marks: DataFrame, known: DataFrame, window: int) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
-    """``docs`` without the rows that hold a word of an occurring item window; columns unchanged."""
-    bad = find_windows(docs, items, window).filter("n_hit > 0").select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_bad_hash"))
+    """``docs`` without the rows that hold a word of an occurring item window; columns unchanged.
+
+    A row goes by its doc_id and text, so of two rows with one doc_id only the
+    contaminated text goes.
+    """
+    bad_id, bad_hash = fresh("bad_id", docs.columns), fresh("bad_hash", docs.columns)
+    bad = find_windows(docs, items, window).filter("n_hit > 0").select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col(bad_id)) & (F.xxhash64(docs["text"].cast("string")) == F.col(bad_hash))
     return docs.join(bad, same, "left_anti")

@@ -62,7 +62,8 @@ def format_pairs(df: DataFrame, chosen: str = "chosen", rejected: str = "rejecte
     completions are the rest.  If one side is a prefix of the other (or both
     are equal), its completion is empty.  A null side has no turns.  Columns
     added: prompt_turns, prompt, chosen_text, chosen_spans, rejected_text,
-    rejected_spans; the two input arrays are dropped and other columns kept.
+    rejected_spans (replacing columns of these names); the two input arrays are
+    dropped and other columns kept.
     """
     turns = "array<struct<turn:bigint,role:string,text:string>>"
     sides = {s: F.coalesce(F.col(s), F.array().cast(turns)) for s in (chosen, rejected)}
