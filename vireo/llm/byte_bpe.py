@@ -6,6 +6,10 @@ higher-order functions then fold the ranked merges over the byte ids of every
 distinct word; the rank map travels with the block as literal data.  Nothing
 is shuffled and no vocabulary of the corpus is built.
 
+The most frequent words of a bounded sample of documents are folded first and
+shared, so that blocks need not fold them again.  That only saves work: a word
+that is not among them is folded in its block.
+
 Spark looks a map's key up by walking the map, so the rank map is dealt into
 many small maps by the key's remainder.
 """
@@ -14,31 +18,45 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections import defaultdict
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text in a block (one document at least).
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
+#: Documents sampled for the shared words, the longest of them, and the words shared.
+SAMPLE_ROWS, SAMPLE_BYTES, SHARED_WORDS = 16384, 1 << 20, 300_000
 #: Words of more bytes are merged with a heap in the task: a fold over arrays costs the square of their length.
 LONG_WORD = 512
-#: Maps that the rank map is dealt into (a prime), and the factor of the left id in a key.
-MAPS, SHIFT = 200003, 1 << 21
+#: Maps that the rank map is dealt into (a prime), bits of an id, and the rank of a pair that does not merge.
+MAPS, BITS = 65537, 21
 NONE = (1 << 31) - 1
-#: White space as Unicode's White_Space has it; the regex module's own \s also takes U+001C to U+001F.
+#: White space as Unicode's White_Space has it; Python's own \s also takes U+001C to U+001F.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Characters of which the standard library's letter and digit classes say the same as Unicode's L and N.
+PLAIN = re.compile("[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\u024f\u2018-\u201f]*")
+
 
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """A function that splits a text by ``pattern``, white space as in SPACE.
 
-def splitter(pattern: str) -> regex.Pattern:
-    """``pattern`` with its white-space classes spelled out."""
-    inside = pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]")
-    return regex.compile(inside)
+    Plain texts take the standard library's matcher, which is faster; its
+    classes for letters and digits are those of the pattern there.
+    """
+    spaced = pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]")
+    exact = regex.compile(spaced).findall
+    if pattern.count(r"\p") != 4 or r"[^\s\p{L}\p{N}]" not in pattern:
+        return exact
+    plain = spaced.replace(rf"[^{SPACE}\p{{L}}\p{{N}}]", rf"(?:[^{SPACE}\w]|_)").replace(r"\p{L}", r"[^\W\d_]").replace(r"\p{N}", r"\d")
+    quick = re.compile(plain).findall
+    return lambda text: quick(text) if PLAIN.fullmatch(text) else exact(text)
 
 
 @dataclass(frozen=True)
@@ -70,7 +88,7 @@ class Ranks:
         """The pair ranks as one array of MAPS small maps."""
         dealt: list[list[tuple[int, int]]] = [[] for _ in range(MAPS)]
         for (left, right), rank in self.pairs.items():
-            key = left * SHIFT + right
+            key = (left << BITS) + right
             dealt[key % MAPS].append((key, rank))
         return pa.array([dealt], pa.list_(pa.map_(pa.int64(), pa.int32())))
 
@@ -97,41 +115,43 @@ class Ranks:
 def merge_fold(word: Column, maps: Column) -> Column:
     """The ids that ranked merges make of ``word`` (array of byte ids): one merge a step, least rank first, then the leftmost.
 
-    The fold's state is the ids and the rank of each neighbouring pair; a
-    merge replaces two ids and looks up the two pairs beside it.  The rank of
-    a pair is the id that it becomes.
+    The fold's state has a number per token: the rank of the pair that it
+    makes with the next, above its id.  The least number is then the next pair
+    to merge; its rank is the id that the pair becomes.  A merge puts one
+    number for two and renews the one before.
     """
     def rank(left: Column, right: Column) -> Column:
-        key = left.cast("long") * F.lit(SHIFT) + right.cast("long")
-        return F.coalesce(F.try_element_at(F.get(maps, F.pmod(key, F.lit(MAPS)).cast("int")), key), F.lit(NONE))
+        key = F.shiftleft(left, BITS) + right
+        return F.coalesce(F.try_element_at(F.get(maps, F.pmod(key, F.lit(MAPS)).cast("int")), key), F.lit(NONE)).cast("long")
 
-    def state(ids: Column, ranks: Column) -> Column:
-        return F.struct(ids.alias("ids"), ranks.alias("ranks"))
+    def number(ident: Column, after: Column) -> Column:
+        """``after`` is the next token's id, or null at the end."""
+        return F.shiftleft(F.when(after.isNull(), F.lit(NONE).cast("long")).otherwise(rank(ident, after)), BITS) + ident
+
+    def ident(state: Column, at: Column) -> Column:
+        return F.get(state, at).bitwiseAND(F.lit((1 << BITS) - 1))
 
     def let(value: Column, body) -> Column:
         """``body(value)`` with the value computed once."""
         return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    def merged(acc: Column, low: Column) -> Column:
-        ids, ranks = acc["ids"], acc["ranks"]
+    def merged(state: Column, low: Column) -> Column:
+        new = F.shiftright(low, BITS)
 
         def at(p: Column) -> Column:
-            n = F.size(ids)
-            new_ids = F.concat(F.slice(ids, F.lit(1), p - 1), F.array(low), F.slice(ids, p + 2, n))
-            one = lambda cond, value: F.when(cond, F.array(value)).otherwise(F.array().cast("array<int>"))
-            new_ranks = F.concat(F.slice(ranks, F.lit(1), F.greatest(p - 2, F.lit(0))), one(p > 1, rank(F.get(ids, p - 2), low)),
-                                 one(p + 1 < n, rank(low, F.get(ids, p + 1))), F.slice(ranks, p + 2, n))
-            return state(new_ids, new_ranks)
+            own = number(new, ident(state, p + 1))
+            before = ident(state, p - 2)
+            pair = F.when(p == 1, F.array(own)).otherwise(F.array(number(before, new), own))
+            return F.concat(F.slice(state, F.lit(1), F.greatest(p - 2, F.lit(0))), pair, F.slice(state, p + 2, F.size(state)))
 
-        return let(F.array_position(ranks, low).cast("int"), at)
+        return let(F.array_position(state, low).cast("int"), at)
 
-    def step(acc: Column, _: Column) -> Column:
-        return let(F.array_min(acc["ranks"]), lambda low: F.when(low < NONE, merged(acc, low)).otherwise(acc))
+    def step(state: Column, _: Column) -> Column:
+        return let(F.array_min(state), lambda low: F.when(low < F.lit(NONE << BITS), merged(state, low)).otherwise(state))
 
-    n = F.size(word)
-    ranks = F.transform(F.sequence(F.lit(0), n - 2), lambda i: rank(F.get(word, i), F.get(word, i + 1)))
-    folded = F.aggregate(F.sequence(F.lit(2), n), state(word, ranks), step, lambda acc: acc["ids"])
-    return F.when(n >= 2, folded).otherwise(word)
+    start = F.transform(word, lambda x, i: number(x.cast("long"), F.get(word, i + 1).cast("long")))
+    folded = F.aggregate(F.slice(word, 2, F.greatest(F.size(word), F.lit(1))), start, step)
+    return F.transform(folded, lambda x: x.bitwiseAND(F.lit((1 << BITS) - 1)).cast("int"))
 
 
 def decode_pieces(ids: Column, pieces: Column) -> Column:
@@ -139,51 +159,71 @@ def decode_pieces(ids: Column, pieces: Column) -> Column:
     return F.array_join(F.transform(ids, lambda i: F.get(pieces, i).cast("string")), "").cast("binary")
 
 
-def encode(docs: DataFrame, path: str, pattern: str, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """(<ident>, ids, decoded) of every row: the token ids as little-endian unsigned 32-bit integers, and the bytes they decode to.
+class _WordIds(dict):
+    """Word to number; a new word gets the next."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+@dataclass(frozen=True)
+class Shared:
+    """Words already encoded: their ids and bytes end to end, and where each begins."""
+
+    words: list[str]
+    ids: np.ndarray
+    id_ends: np.ndarray
+    data: np.ndarray
+    data_ends: np.ndarray
 
-    ``path`` is a rank file and ``pattern`` splits texts into words, each
-    encoded by itself; strings of special tokens are ordinary text.  Null is
-    the empty text, which has no ids.  Repeated rows give repeated rows, and
-    other columns are not read.  The driver reads the rank file; tasks get it
-    with the function that they run.
-    """
-    ranks = Ranks.load(path)
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
-    id_type = docs.schema[ident].dataType.simpleString()
-    source = docs.select(F.col(ident).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+
+NO_WORDS = Shared([], np.empty(0, "<u4"), np.zeros(1, np.int64), np.empty(0, np.uint8), np.zeros(1, np.int64))
+
+
+def _picked(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The runs ``at`` of ``values``, end to end; run k has sizes[k] values from starts[k] on."""
+    n = sizes[at]
+    return values[np.repeat(starts[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+
+
+def _encode(source: DataFrame, ranks: Ranks, pattern: str, shared: Shared) -> DataFrame:
+    """(id, ids, decoded) of ``source`` (id, text without nulls)."""
+    context = source.sparkSession.sparkContext
+    id_type = source.schema["id"].dataType.simpleString()
+    light = context.broadcast((ranks.maps(), pa.array([ranks.pieces], pa.list_(pa.binary())), np.array(ranks.byte_ids, np.int32), shared.words))
+    heavy, known = context.broadcast(ranks), context.broadcast(shared)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r, p = shared.value
-        find, maps = splitter(p).findall, r.maps()
-        pieces = pa.array([r.pieces], pa.list_(pa.binary()))
-        byte_ids = np.array(r.byte_ids, np.int32)
-        words: defaultdict[str, int] = defaultdict()
-        words.default_factory = words.__len__
+        maps, pieces, byte_ids, common = light.value
+        find, first = splitter(pattern), len(common)
+        words = _WordIds(zip(common, range(first)))
         idents, tokens, held = [], [], 0
+        kind = pa.null()
 
         def block() -> pa.RecordBatch:
-            raw = [w.encode() for w in words]
-            long = {i: r.merge_long(w) for i, w in enumerate(raw) if len(w) > LONG_WORD}
+            new = []
+            while len(words) > first:
+                new.append(words.popitem()[0])  # the last word first
+            raw = [w.encode() for w in reversed(new)]
+            long = {i: heavy.value.merge_long(w) for i, w in enumerate(raw) if len(w) > LONG_WORD}
             short = [b"" if i in long else w for i, w in enumerate(raw)] if long else raw
             ends = np.cumsum([0, *map(len, short)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(byte_ids[np.frombuffer(b"".join(short), np.uint8)]))
-            one = pa.array([0, len(lists)], pa.int32())
             apart = pa.array([[{"at": i, "ids": ids} for i, ids in long.items()]], pa.list_(pa.struct([("at", pa.int32()), ("ids", pa.list_(pa.int32()))])))
-            return pa.RecordBatch.from_arrays([pa.array([idents], pa.list_(kind)), pa.array([tokens], pa.list_(pa.binary())), pa.ListArray.from_arrays(one, lists), apart, maps, pieces],
+            return pa.RecordBatch.from_arrays([pa.array([idents], pa.list_(kind)), pa.array([tokens], pa.list_(pa.binary())), pa.ListArray.from_arrays(pa.array([0, len(lists)], pa.int32()), lists), apart, maps, pieces],
                                               ["idents", "tokens", "words", "long", "maps", "pieces"])
 
-        kind = pa.null()
         for batch in batches:
             kind = batch.schema.types[0]
             for key, value in zip(batch.column(0), batch.column(1)):
                 value = value.as_py()
                 idents.append(key.as_py())
-                tokens.append(np.fromiter(map(words.__getitem__, find(value)), np.int32).tobytes())
+                found = find(value)
+                tokens.append(np.fromiter(map(words.__getitem__, found), np.int32, len(found)).tobytes())
                 held += len(value)
                 if held >= BLOCK_BYTES:
                     yield block()
-                    words.clear()
                     idents, tokens, held = [], [], 0
         if idents:
             yield block()
@@ -196,28 +236,79 @@ def encode(docs: DataFrame, path: str, pattern: str, ident: str = "doc_id", text
                             F.transform("long", lambda x: F.struct(x["at"].alias("at"), x["ids"].alias("ids"), decode_pieces(x["ids"], F.col("pieces")).alias("decoded"))).alias("long"))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = known.value
         for batch in batches:
             for row in range(batch.num_rows):
-                idents, tokens, encoded, decoded, long = (batch.column(i).slice(row, 1).flatten() for i in range(5))
-                ends = encoded.offsets.to_numpy().astype(np.int64)
-                values = encoded.values.to_numpy().astype("<u4")
-                pieces = decoded.to_pylist()
-                apart = {x["at"]: x for x in long.to_pylist()}
-                for at, x in apart.items():
-                    pieces[at] = x["decoded"]
-                out_ids, out_bytes, start, size = [], [], 0, 0
+                idents, tokens, encoded, pieces, long = (batch.column(i).slice(row, 1).flatten() for i in range(5))
+                new_ids, new_data = encoded.flatten().to_numpy().astype("<u4"), np.frombuffer(b"".join(pieces.to_pylist()), np.uint8)
+                sizes = np.asarray(pc.list_value_length(encoded), np.int64), np.asarray(pc.binary_length(pieces), np.int64)
+                apart = long.to_pylist()
+                ids, data = [base.ids, new_ids], [base.data, new_data]
+                n_ids, n_data = np.concatenate([np.diff(base.id_ends), sizes[0]]), np.concatenate([np.diff(base.data_ends), sizes[1]])
+                at_ids, at_data = np.cumsum(n_ids) - n_ids, np.cumsum(n_data) - n_data
+                for x in apart:  # a long word's ids and bytes lie behind those of all others
+                    at = len(base.words) + x["at"]
+                    at_ids[at], n_ids[at] = sum(map(len, ids)), len(x["ids"])
+                    at_data[at], n_data[at] = sum(map(len, data)), len(x["decoded"])
+                    ids.append(np.array(x["ids"], "<u4"))
+                    data.append(np.frombuffer(x["decoded"], np.uint8))
+                ids, data = np.concatenate(ids), np.concatenate(data)
+                out_ids, out_data, start, size = [], [], 0, 0
                 for d, words in enumerate(tokens):
                     at = np.frombuffer(words.as_py(), np.int32)
-                    if apart and any(k in apart for k in np.unique(at).tolist()):
-                        ids = np.concatenate([np.array(apart[k]["ids"], "<u4") if k in apart else values[ends[k]:ends[k + 1]] for k in at.tolist()])
-                    else:
-                        n = ends[at + 1] - ends[at]
-                        ids = values[np.repeat(ends[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
-                    out_ids.append(ids.tobytes())
-                    out_bytes.append(b"".join([pieces[k] for k in at.tolist()]))
-                    size += len(out_ids[-1]) + len(out_bytes[-1])
-                    if size > 8 << 20 or d + 1 == len(tokens):
-                        yield pa.RecordBatch.from_arrays([idents.slice(start, d + 1 - start), pa.array(out_ids, pa.binary()), pa.array(out_bytes, pa.binary())], ["id", "ids", "decoded"])
-                        out_ids, out_bytes, start, size = [], [], d + 1, 0
-
-    return decoded.mapInArrow(spread, f"id {id_type}, ids binary, decoded binary").withColumnRenamed("id", ident)
+                    out_ids.append(_picked(ids, at_ids, n_ids, at).tobytes())
+                    out_data.append(_picked(data, at_data, n_data, at).tobytes())
+                    size += len(out_ids[-1]) + len(out_data[-1])
+                    if size > 4 << 20 or d + 1 == len(tokens):
+                        yield pa.RecordBatch.from_arrays([idents.slice(start, d + 1 - start), pa.array(out_ids, pa.binary()), pa.array(out_data, pa.binary())], ["id", "ids", "decoded"])
+                        out_ids, out_data, start, size = [], [], d + 1, 0
+
+    return decoded.mapInArrow(spread, f"id {id_type}, ids binary, decoded binary")
+
+
+def shared_words(source: DataFrame, ranks: Ranks, pattern: str) -> Shared:
+    """The SHARED_WORDS most frequent words (ties by text) of about SAMPLE_ROWS documents, encoded.
+
+    Rows are drawn by hash of id and text; texts over SAMPLE_BYTES are left out.
+    """
+    total = source.count()
+    buckets = 1 << 30
+    share = min(1.0, SAMPLE_ROWS / max(total, 1))
+    drawn = source.filter((F.pmod(F.xxhash64("id", "text"), F.lit(buckets)) < int(share * buckets)) & (F.octet_length("text") <= SAMPLE_BYTES)).select("text").limit(2 * SAMPLE_ROWS)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = splitter(pattern)
+        for batch in batches:
+            counts: dict[str, int] = {}
+            for text in batch.column(0):
+                for word in find(text.as_py()):
+                    counts[word] = counts.get(word, 0) + 1
+            yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["text", "n"])
+
+    counted = drawn.mapInArrow(split, "text string, n long").groupBy("text").agg(F.sum("n").alias("n"))
+    top = counted.filter(F.octet_length("text") <= LONG_WORD).orderBy(F.desc("n"), "text").limit(SHARED_WORDS)
+    words = top.select(F.col("text").alias("id"), "text").repartition(24, "text")
+    found = _encode(words, ranks, pattern, NO_WORDS).toArrow().combine_chunks()
+    if not found.num_rows:
+        return NO_WORDS
+
+    def joined(name: str, kind: str) -> tuple[np.ndarray, np.ndarray]:
+        values = found[name].to_pylist()
+        return np.frombuffer(b"".join(values), kind), np.cumsum([0, *(len(x) // np.dtype(kind).itemsize for x in values)])
+
+    return Shared(found["id"].to_pylist(), *joined("ids", "<u4"), *joined("decoded", "u1"))
+
+
+def encode(docs: DataFrame, path: str, pattern: str, ident: str = "doc_id", text: str = "text") -> DataFrame:
+    """(<ident>, ids, decoded) of every row: the token ids as little-endian unsigned 32-bit integers, and the bytes they decode to.
+
+    ``path`` is a rank file and ``pattern`` splits texts into words, each
+    encoded by itself; strings of special tokens are ordinary text.  Null is
+    the empty text, which has no ids.  Repeated rows give repeated rows, and
+    other columns are not read.  The driver reads the rank file; tasks get it
+    with the function that they run.  A job that encodes the shared words runs
+    when it is called.
+    """
+    ranks = Ranks.load(path)
+    source = docs.select(F.col(ident).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    return _encode(source, ranks, pattern, shared_words(source, ranks, pattern)).withColumnRenamed("id", ident)
