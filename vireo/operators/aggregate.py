@@ -185,10 +185,12 @@ def salted_sum(df: DataFrame, key: str, value: str, salts: int = 10, out: str =
     over ``salts`` reducers — and stage 2 sums the partials per key.
     ``hot`` defaults to :func:`hot_keys`.
     """
-    hot = hot if hot is not None else hot_keys(df, key)
-    hot_flag = hot.select(F.col(key).alias("__hk"), F.lit(True).alias("__hot"))
+    found = hot if hot is not None else hot_keys(df, key)
+    hot_flag = found.select(F.col(key).alias("__hk"), F.lit(True).alias("__hot")).distinct()
+    if hot is None:
+        hot_flag = F.broadcast(hot_flag)     # at most 1/share keys; a caller's list has no such bound
     cols = list(salt_by) if salt_by else df.columns
-    salted = (df.join(F.broadcast(hot_flag), F.col(key).eqNullSafe(F.col("__hk")), "left")
+    salted = (df.join(hot_flag, F.col(key).eqNullSafe(F.col("__hk")), "left")
               .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*cols), F.lit(salts)))
                           .otherwise(F.lit(0))))
     stage1 = salted.groupBy(key, "__salt").agg(F.sum(value).alias("__part"))
@@ -220,14 +222,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                          .otherwise(F.lit(0)).cast("long").alias("__n"))
     else:
         freq = df.groupBy(*keys, value).agg(F.count(value).alias("__n"))
-    cum = running_sum(freq, "__n", value, "__cum", partition_by=keys)
-    tot = freq.groupBy(*keys).agg(F.sum("__n").alias("__total_n"))
-    if keys:
-        ka = {k: f"__q{i}" for i, k in enumerate(keys)}
-        tot = tot.select(*[F.col(k).alias(a) for k, a in ka.items()], "__total_n")
-        j = cum.join(tot, [F.col(k).eqNullSafe(F.col(a)) for k, a in ka.items()]).drop(*ka.values())
-    else:
-        j = cum.crossJoin(F.broadcast(tot))  # one row
+    # one row per (group, value): the rows themselves travel, and the scan gives the group's total
+    j = running_sum(freq, "__n", value, "__cum", partition_by=keys, unique_order=True, total="__total_n")
     aggs, finals = [], []
     v = F.col(value).cast("double")
     for i, p in enumerate(probs):

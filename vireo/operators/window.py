@@ -4,10 +4,9 @@ Semantics are those of ``sum(v) OVER ([PARTITION BY k] ORDER BY o)`` with the
 default frame ``RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW``: rows with
 equal order values (peers) share one cumulative value.
 
-``running_sum_window`` is the plain Spark window.  Without a partition key it
-runs in a single task, and with a hot key one task gets that key's rows, so
-``running_sum`` is the path meant for large inputs (``running_sum_checked``
-picks between them from an exact row count of a materialised input):
+The built-in window runs in a single task without a partition key, and with a
+hot key one task gets that key's rows.  ``running_sum`` is one path for inputs
+of every size:
 
 1. pre-aggregate peers: ``groupBy(keys, order).sum(v)`` (map-side combine, so a
    hot tie value collapses to one row before any shuffle);
@@ -30,7 +29,6 @@ non-NULL count travels with the sum) and a NaN propagates.
 
 from __future__ import annotations
 
-from decimal import Decimal
 from typing import Sequence
 
 import pandas as pd
@@ -43,16 +41,9 @@ _TIE = "__vireo_tie"
 _LOC = "__vireo_local"
 _OFF = "__vireo_offset"
 
-# Upper bound on the range partitions of the distributed paths: the peer
-# table is often far smaller than the input, and an explicit partition count
-# is not coalesced by AQE.  8192 partitions hold ~10^10 distinct peers at
-# ~40 MB each, and keep the offsets table at most 8192 rows.
-RANGE_PARTITIONS_MAX = 8192
-
-
 def range_partitions(spark, num_partitions: int | None = None) -> int:
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(n, RANGE_PARTITIONS_MAX))
+    """Partitions of a range exchange: the caller's number or the shuffle width, which grows with the input."""
+    return max(1, num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -75,6 +66,24 @@ def running_sum_window(df: DataFrame, value: str, order: str, out: str,
 _NN = "__vireo_nn"      # non-NULL values among the peers
 _LNN = "__vireo_lnn"    # running count of non-NULL values
 _OFFNN = "__vireo_offnn"
+_ALL = "__vireo_all"
+
+
+def _cumulate(vals, gid):
+    """Prefix sums, restarting where ``gid`` changes (None: never).  Decimals
+    arrive as Python objects and are added exactly at 76 digits."""
+    import decimal
+
+    import numpy as np
+    if vals.dtype == object:
+        out, total, last = np.empty(len(vals), object), None, None
+        with decimal.localcontext(decimal.Context(prec=76)):
+            for i, v in enumerate(vals):
+                g = None if gid is None else gid[i]
+                total = v if total is None or g != last else total + v
+                out[i], last = total, g
+        return out
+    return np.cumsum(vals) if gid is None else pd.Series(vals).groupby(gid).cumsum(skipna=False).to_numpy()
 
 
 def _local_prefix(keys: list[str]):
@@ -103,7 +112,7 @@ def _local_prefix(keys: list[str]):
                     change |= (x != y) & ~(x.isna() & y.isna())
                 change.iloc[0] = True
                 gid = change.cumsum().to_numpy()
-                local = pd.Series(vals).groupby(gid).cumsum(skipna=False).to_numpy()
+                local = _cumulate(vals, gid)
                 lnn = pd.Series(nns).groupby(gid).cumsum().to_numpy()
                 first = tuple(None if pd.isna(kdf[k].iloc[0]) else kdf[k].iloc[0] for k in keys)
                 if carry is not None and first == last_key:
@@ -112,7 +121,8 @@ def _local_prefix(keys: list[str]):
                     lnn = np.where(head, lnn + carry[1], lnn)
                 last_key = tuple(None if pd.isna(kdf[k].iloc[-1]) else kdf[k].iloc[-1] for k in keys)
             else:
-                local, lnn = np.cumsum(vals), np.cumsum(nns)      # NaN propagates
+                gid = None
+                local, lnn = _cumulate(vals, None), np.cumsum(nns)      # NaN propagates
                 if carry is not None:
                     local, lnn = local + carry[0], lnn + carry[1]
             carry = (local[-1], lnn[-1])
@@ -125,41 +135,35 @@ def _local_prefix(keys: list[str]):
 
 def running_sum(df: DataFrame, value: str, order: str, out: str,
                 partition_by: Sequence[str] = (), descending: bool = False,
-                num_partitions: int | None = None, unique_order: bool = False) -> DataFrame:
+                num_partitions: int | None = None, unique_order: bool = False,
+                total: str | None = None) -> DataFrame:
     """Scalable RANGE-frame running sum (see module docstring).  Like SQL,
     the result is NULL until the first non-NULL value of the key.
 
     ``unique_order=True`` declares that (keys, order) is unique (no peers):
     the rows themselves then go through the range partition with their
     columns, and both the peer pre-aggregation and the join back are skipped.
+    ``total`` names a column for the key's whole sum, taken from the same scan.
+    The scan is checkpointed, so jobs run when it is called.
     """
     spark = df.sparkSession
     keys = list(partition_by)
     n = range_partitions(spark, num_partitions)
     vtype = df.schema[value].dataType
 
-    # 1. peers pre-aggregated; decimals travel as exact unscaled longs.
+    # 1. peers pre-aggregated; decimals stay decimals of 38 digits.
     if isinstance(vtype, T.DecimalType):
-        kind, scale = "decimal", vtype.scale
-        tie_expr = (F.sum(value) * F.lit(10 ** scale)).cast("long")
-        loc_type = T.LongType()
+        loc_type = T.DecimalType(38, vtype.scale)
     elif isinstance(vtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        kind, scale = "long", 0
-        tie_expr = F.sum(value).cast("long")
         loc_type = T.LongType()
     else:
-        kind, scale = "double", 0
-        tie_expr = F.sum(F.col(value).cast("double"))
         loc_type = T.DoubleType()
     zero = F.lit(0).cast(loc_type)
     if unique_order:
-        row_expr = {"decimal": (F.col(value) * F.lit(10 ** scale)).cast("long"),
-                    "long": F.col(value).cast("long"),
-                    "double": F.col(value).cast("double")}[kind]
-        ties = df.select("*", F.coalesce(row_expr, zero).alias(_TIE),
+        ties = df.select("*", F.coalesce(F.col(value).cast(loc_type), zero).alias(_TIE),
                          F.col(value).isNotNull().cast("long").alias(_NN))
     else:
-        ties = df.groupBy(*keys, order).agg(F.coalesce(tie_expr, zero).alias(_TIE),
+        ties = df.groupBy(*keys, order).agg(F.coalesce(F.sum(F.col(value).cast(loc_type)), zero).alias(_TIE),
                                             F.count(value).alias(_NN))
 
     # 2. range partition on (keys, order); explicit n keeps AQE from
@@ -185,11 +189,13 @@ def running_sum(df: DataFrame, value: str, order: str, out: str,
     totals = local.groupBy(_PID, *keys).agg(F.sum(_TIE).alias("__t"), F.sum(_NN).alias("__tn"))
     w = (Window.partitionBy(*keys) if keys else Window).orderBy(_PID).rowsBetween(
         Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys) if keys else Window.partitionBy()
     kalias = {k: f"__k{i}" for i, k in enumerate(keys)}
     offsets = totals.select(
         F.col(_PID).alias("__opid"), *[F.col(k).alias(a) for k, a in kalias.items()],
         F.coalesce(F.sum("__t").over(w), F.lit(0)).cast(loc_type).alias(_OFF),
-        F.coalesce(F.sum("__tn").over(w), F.lit(0)).cast("long").alias(_OFFNN))
+        F.coalesce(F.sum("__tn").over(w), F.lit(0)).cast("long").alias(_OFFNN),
+        F.when(F.sum("__tn").over(whole) > 0, F.sum("__t").over(whole)).cast(loc_type).alias(_ALL))
     if not keys:
         # exactly n rows: a proven bound, so broadcasting is safe.
         offsets = F.broadcast(offsets)
@@ -197,62 +203,33 @@ def running_sum(df: DataFrame, value: str, order: str, out: str,
     cum = local.join(offsets, cond, "inner")
 
     # 5. back to the value type, then to the input rows.
-    total = F.col(_LOC) + F.col(_OFF)
-    if kind == "decimal":
-        res_type = T.DecimalType(min(38, vtype.precision + 10), scale)
-        unit = Decimal(1).scaleb(-scale)
-        total = (total.cast("decimal(38,0)") * F.lit(unit)).cast(res_type)
-    total = F.when(F.col(_LNN) + F.col(_OFFNN) > 0, total)
+    if isinstance(vtype, T.DecimalType):
+        # 37 + 37 digits add up to 38 without giving up scale
+        part, res_type = T.DecimalType(37, vtype.scale), T.DecimalType(min(38, vtype.precision + 10), vtype.scale)
+        cumulated = (F.col(_LOC).cast(part) + F.col(_OFF).cast(part)).cast(res_type)
+    else:
+        cumulated, res_type = F.col(_LOC) + F.col(_OFF), loc_type
+    cumulated = F.when(F.col(_LNN) + F.col(_OFFNN) > 0, cumulated).alias(out)
+    outs = [cumulated] + ([F.col(_ALL).cast(res_type).alias(total)] if total else [])
     if unique_order:
-        return cum.select(*df.columns, total.alias(out))
+        return cum.select(*df.columns, *outs)
     jalias = {c: f"__j{i}" for i, c in enumerate(keys + [order])}
-    cum = cum.select(*[F.col(c).alias(a) for c, a in jalias.items()], total.alias(out))
+    cum = cum.select(*[F.col(c).alias(a) for c, a in jalias.items()], *outs)
     join_cond = [F.col(c).eqNullSafe(F.col(a)) for c, a in jalias.items()]
     return df.join(cum, join_cond, "inner").drop(*jalias.values())
 
 
-# Inputs with at most this many rows (an exact count, not an estimate) may
-# use the built-in window, whose unpartitioned form runs in one task.
-SINGLE_TASK_MAX_ROWS = 1_000_000
-
-
-def running_sum_checked(df: DataFrame, value: str, order: str, out: str,
-                        partition_by: Sequence[str] = (), descending: bool = False,
-                        max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
-    """Size-checked strategy: count the input (one job — meant for inputs
-    that are materialised, e.g. checkpointed aggregates) and use the
-    single-task window only under ``max_rows``; otherwise the distributed
-    path.  The same rule as a broadcast behind a size check."""
-    if df.count() <= max_rows:
-        return running_sum_window(df, value, order, out, partition_by, descending)
-    return running_sum(df, value, order, out, partition_by, descending)
-
-
 def running_share(df: DataFrame, value: str, order: str, cum_col: str, share_col: str,
                   partition_by: Sequence[str] = (), descending: bool = False,
-                  total_col: str | None = None, checked: bool = False) -> DataFrame:
+                  total_col: str | None = None) -> DataFrame:
     """Running sum and its share of the (per-key) total — W02.
 
-    The total is a one-row (or one-row-per-key) aggregate joined lazily, not a
-    number collected to the driver and pasted into SQL text.  ``total_col``
-    keeps the total as a column.
+    The total comes from the running sum's own scan.  ``total_col`` keeps it
+    as a column.
     """
-    keys = list(partition_by)
-    if checked:
-        with_cum = running_sum_checked(df, value, order, cum_col, keys, descending)
-    else:
-        with_cum = running_sum(df, value, order, cum_col, keys, descending)
     tname = total_col or "__total"
-    kalias = {k: f"__t{i}" for i, k in enumerate(keys)}
-    tot = df.groupBy(*keys).agg(F.sum(value).alias(tname))
-    tot = tot.select(*[F.col(k).alias(a) for k, a in kalias.items()], tname)
-    if not keys:
-        joined = with_cum.crossJoin(F.broadcast(tot))  # exactly one row
-    else:
-        joined = with_cum.join(tot, [F.col(k).eqNullSafe(F.col(a)) for k, a in kalias.items()])
-        joined = joined.drop(*kalias.values())
-    out = joined.withColumn(
-        share_col, F.col(cum_col).cast("double") / F.col(tname).cast("double"))
+    out = running_sum(df, value, order, cum_col, partition_by, descending, total=tname)
+    out = out.withColumn(share_col, F.col(cum_col).cast("double") / F.col(tname).cast("double"))
     return out if total_col else out.drop(tname)
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vireo.operators.window import band, running_share
@@ -24,18 +24,14 @@ def abc_classify(df: DataFrame, basis: str, cum_col: str, cat_col: str,
                  pct_col: str = "cumper", materialize: bool = True) -> DataFrame:
     """Add running total ``cum_col``, its percentage and the class column.
 
-    The running sum reads its input in several branches (peer totals, the
-    join back, the grand total) that column pruning makes different, so they
-    would each recompute it.  With ``materialize`` the input (an aggregate:
-    one row per item) is checkpointed once to the session's checkpoint
-    directory, which also cuts its lineage, and its exact row count picks
-    the running-sum strategy (single task only under a proven bound).
+    The running sum reads its input twice (peer totals and the join back), so
+    with ``materialize`` the input (an aggregate: one row per item) is
+    checkpointed first to the session's checkpoint directory.
     """
     if materialize:
         checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
-    shared = running_share(df, basis, basis, cum_col, "__share",
-                           descending=descending, total_col="__tot", checked=materialize)
+    shared = running_share(df, basis, basis, cum_col, "__share", descending=descending, total_col="__tot")
     cum_d = F.col(cum_col).cast("double")
     tot_d = F.col("__tot").cast("double")
     return (shared
@@ -45,11 +41,13 @@ def abc_classify(df: DataFrame, basis: str, cum_col: str, cat_col: str,
 
 
 def abc_summary(classified: DataFrame, basis: str, cat_col: str) -> DataFrame:
-    """Per class: item count, basis total, share of the basis, share of items."""
-    totals = classified.agg(F.sum(basis).alias("__tot"), F.count(F.lit(1)).alias("__n"))
-    per = classified.groupBy(cat_col).agg(F.count(F.lit(1)).alias("catcount"),
-                                          F.sum(basis).alias("catrev"))
-    joined = per.crossJoin(F.broadcast(totals))  # one-row totals
+    """Per class: item count, basis total, share of the basis, share of items.
+
+    One pass over the items; the grand totals are sums over the classes' rows.
+    """
+    per = classified.groupBy(cat_col).agg(F.count(F.lit(1)).alias("catcount"), F.sum(basis).alias("catrev"))
+    classes = Window.partitionBy()  # one row per class: three
+    joined = per.withColumns({"__tot": F.sum("catrev").over(classes), "__n": F.sum("catcount").over(classes)})
     catrevper = F.col("catrev").cast("double") / F.col("__tot").cast("double")
     return joined.select(
         F.col(cat_col).alias("category"),

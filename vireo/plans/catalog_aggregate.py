@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vireo.operators import aggregate as agg
-from vireo.operators.window import running_share, running_sum, running_sum_checked
+from vireo.operators.window import running_share, running_sum
 from vireo.plans.quotes import quote_stats, quotes
 from vireo.plans.registry import query
 from vireo.plans.standins import money, money_total, retail_lines, revenue_by_item
@@ -112,14 +112,19 @@ def histogram(spark, sf):
     return agg.histogram(_l(spark, sf), "l_quantity", 10)
 
 
-@query("count_approx")
+@query("count_approx", sql="SELECT true AS inside FROM (SELECT count(*) FROM lineitem)")
 def count_approx(spark, sf):
-    return agg.count_approx(_l(spark, sf), fraction=0.1, confidence=0.999)
+    """Whether the exact count lies in the interval of the estimate."""
+    est = agg.count_approx(_l(spark, sf), fraction=0.1, confidence=0.999)
+    exact = _l(spark, sf).agg(F.count(F.lit(1)).alias("n"))  # one row
+    return est.join(F.broadcast(exact)).select(((F.col("low") <= F.col("n")) & (F.col("n") <= F.col("high"))).alias("inside"))
 
 
-@query("approx_distinct")
+@query("approx_distinct", sql="SELECT count(DISTINCT l_partkey) AS n, true AS close FROM lineitem")
 def approx_distinct(spark, sf):
-    return agg.approx_distinct(_l(spark, sf), "l_partkey", 0.05)
+    """The exact number, and whether the estimate is within four standard deviations of it."""
+    both = _l(spark, sf).agg(F.approx_count_distinct("l_partkey", 0.05).alias("est"), F.count_distinct("l_partkey").alias("n"))
+    return both.select("n", (F.abs(F.col("est") - F.col("n")) <= 0.2 * F.col("n")).alias("close"))
 
 
 # ----------------------------------------------------------------- A16–A21
@@ -192,6 +197,17 @@ def group_mean(spark, sf):
         (money_total("price") / F.count("price")).alias("avg_price"))
 
 
+@query("group_mean_item", sql=_RETAIL_SQL + """
+SELECT country, description, avg(quantity) AS avg_quantity,
+       CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) AS avg_price
+FROM r GROUP BY country, description""")
+def group_mean_item(spark, sf):
+    r = retail_lines(spark, sf)
+    return r.groupBy("country", "description").agg(
+        F.avg("quantity").alias("avg_quantity"),
+        (money_total("price") / F.count("price")).alias("avg_price"))
+
+
 @query("group_sum_product", sql=_RETAIL_SQL + """
 SELECT country, CAST(sum(CAST(quantity AS DECIMAL(18,2)) * CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS revenue
 FROM r GROUP BY country""")
@@ -270,10 +286,21 @@ def quantiles_exact(spark, sf):
     return agg.exact_quantiles(_l(spark, sf), "l_quantity", [0.1, 0.5, 0.9])
 
 
-@query("quantiles_approx")
+@query("quantiles_approx", sql="""
+SELECT c AS column, CAST(i AS INTEGER) AS decile, true AS close
+FROM (VALUES ('l_quantity'), ('l_discount')) AS t(c), range(1, 10) AS r(i)""")
 def quantiles_approx(spark, sf):
+    """Per column and decile, whether the value's rank is within the relative error (0.02) of the decile."""
     probs = [i / 10 for i in range(1, 10)]
-    return agg.quantiles(_l(spark, sf), ["l_quantity", "l_discount"], probs, exact=False, accuracy=50)
+    li = _l(spark, sf).select("l_quantity", "l_discount")
+    est = agg.quantiles(li, ["l_quantity", "l_discount"], probs, exact=False, accuracy=50)  # one row
+    checks = [F.struct(F.lit(c).alias("column"), F.lit(i + 1).alias("decile"),
+                       (F.sum((F.col(c) < F.col(f"{c}_q")[i]).cast("long")) / F.count(c)).alias("below"),
+                       (F.sum((F.col(c) <= F.col(f"{c}_q")[i]).cast("long")) / F.count(c)).alias("upto"))
+              for c in li.columns for i in range(9)]
+    ranked = li.join(F.broadcast(est.select(*[F.col(c).alias(f"{c}_q") for c in li.columns]))).agg(F.array(*checks).alias("a"))
+    p = F.col("decile") / 10
+    return ranked.select(F.inline("a")).select("column", "decile", ((F.col("below") <= p + 0.02) & (F.col("upto") >= p - 0.02)).alias("close"))
 
 
 @query("mean_stddev", sql="""
@@ -339,6 +366,6 @@ def running_sum_partitioned(spark, sf):
     rev = r.groupBy("country", "stockcode").agg(F.sum(money("amount")).alias("total_revenue"))
     checkpoint_dir(spark)
     rev = rev.checkpoint(eager=True)   # read by several branches of the running sum
-    out = running_sum_checked(rev, "total_revenue", "total_revenue", "cumrevenue", partition_by=["country"])
+    out = running_sum(rev, "total_revenue", "total_revenue", "cumrevenue", partition_by=["country"])
     return out.select("country", "stockcode", F.col("total_revenue").cast("double").alias("total_revenue"),
                       F.col("cumrevenue").cast("double").alias("cumrevenue"))

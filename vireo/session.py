@@ -69,7 +69,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def sizing(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict:
+def sizing(input_bytes: int, partition_bytes: int = 256 << 20) -> dict:
     """Shuffle and scan settings for an input of ``input_bytes``.
 
     Partitions are sized to ``partition_bytes`` (they must fit an executor
@@ -77,7 +77,7 @@ def sizing(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: i
     many shuffle partitions and coalesces the small ones.  Pass the result as
     ``extra`` to :func:`build_session` or as ``--conf`` on submit.
     """
-    n = max(1, min(max_partitions, -(-input_bytes // partition_bytes)))
+    n = max(1, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(n),
