@@ -1,7 +1,7 @@
 """Partitioning, caching and driver-side metrics — X04–X08, S26.
 
 ``coalesce`` narrows partitions without a shuffle; a custom "partitioner" is a
-bucket-id column plus a range exchange on it; metrics are collected with
+bucket-id expression that names the partition; metrics are collected with
 ``DataFrame.observe`` (filled once by the action that runs the plan, and not
 double-counted on task retries the way an accumulator updated inside a
 transformation can be).
@@ -28,11 +28,14 @@ def letter_bucket(col: Column, upper_bounds: Sequence[str]) -> Column:
 
 
 def partition_by_letter(df: DataFrame, col: str, upper_bounds: Sequence[str]) -> DataFrame:
-    """Rows placed by a first-letter range rule (range exchange on the
-    bucket id, one partition per bucket)."""
-    n = len(upper_bounds) + 1
-    b = df.withColumn("__bucket", letter_bucket(F.col(col), upper_bounds))
-    return b.repartitionByRange(n, "__bucket").drop("__bucket")
+    """Rows placed by a first-letter range rule: bucket b goes to partition b."""
+    return df.repartitionById(len(upper_bounds) + 1, letter_bucket(F.col(col), upper_bounds))
+
+
+def coalesce_share(df: DataFrame, share: float) -> DataFrame:
+    """Fewer partitions without a shuffle, as a share of what there are
+    (at least one), so that the width still grows with the input."""
+    return df.coalesce(max(1, int(df.rdd.getNumPartitions() * share)))
 
 
 def with_pid(df: DataFrame, out: str = "pid") -> DataFrame:
@@ -61,29 +64,3 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
 def shuffle_width(spark, partitions: int) -> None:
     """The static shuffle width (AQE still coalesces small partitions)."""
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-
-
-# A scan stored as fewer splits than the cluster has cores (one parquet file
-# with a single row group, a gzip text file) runs its narrow stages in that
-# many tasks.  Before CPU-heavy per-row work (tokenising whole texts, a chain
-# of joins) such an input is spread once — measured: it does not pay for a
-# single join plus aggregate; at scale an input has thousands of splits and
-# this never triggers.  Filters and column pruning still reach the scan.
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Spread a single-split input over the cluster's cores.  Call it on the
-    projected frame: the row hash covers every column it is given."""
-    if df.isStreaming:              # a stream's batches are planned per trigger
-        return df
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a Connect session): leave the layout alone
-        return df
-    # hash of the whole row: deterministic on task retry without the local
-    # sort a round-robin repartition needs, and even for any key layout
-    return df.repartition(cores, F.xxhash64(*df.columns)) if size >= min_bytes else df

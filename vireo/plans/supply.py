@@ -3,35 +3,36 @@ and K06 vendor cost roll-up, over the shipments stand-in."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.operators.partitioning import spread
 from vireo.sources.tables import table
 
 
-def shipments(spark: SparkSession, sf: str) -> DataFrame:
+def shipments(spark: SparkSession, sf: str, with_country: bool = True) -> DataFrame:
     """vendor = supplier, country = customer nation, moleculetesttype = part
     type; weight = quantity, value = extended price, freight = value × tax,
-    insurance = value × discount.
+    insurance = value × discount.  ``with_country=False`` leaves out the
+    country and the three joins that only it needs.
 
     Money is exact integers: the value in cents, the freight and insurance
     products in units of 10^-4 (cents × hundredths).  Sums stay exact and
     order-independent in a compact long buffer; each report divides once.
     """
-    li = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
-                                                    "l_extendedprice", "l_tax", "l_discount"))
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
+                                             "l_extendedprice", "l_tax", "l_discount")
     s = table(spark, sf, "supplier").select("s_suppkey", "s_name")
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    n = table(spark, sf, "nation").select("n_nationkey", "n_name")
     p = table(spark, sf, "part").select("p_partkey", "p_type")
-    j = (li.join(s, li.l_suppkey == s.s_suppkey).join(o, F.col("l_orderkey") == o.o_orderkey)
-         .join(c, F.col("o_custkey") == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
-         .join(p, F.col("l_partkey") == p.p_partkey))
+    j = li.join(s, li.l_suppkey == s.s_suppkey).join(p, F.col("l_partkey") == p.p_partkey)
+    if with_country:
+        o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+        c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+        n = table(spark, sf, "nation").select("n_nationkey", "n_name")
+        j = (j.join(o, F.col("l_orderkey") == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+             .join(n, F.col("c_nationkey") == n.n_nationkey))
     value = cents("l_extendedprice")
     return j.select(F.col("s_suppkey").alias("vendorkey"), F.col("s_name").alias("vendor"),
-                    F.col("n_name").alias("country"), F.col("p_type").alias("moleculetesttype"),
+                    *([F.col("n_name").alias("country")] if with_country else []), F.col("p_type").alias("moleculetesttype"),
                     F.col("l_quantity").alias("weightkilograms"),
                     F.col("l_quantity").alias("lineitemquantity"),
                     value.alias("lineitemvalue_cents"),
@@ -74,10 +75,9 @@ def eoq_tlc(df: DataFrame, formula: str = "reference") -> DataFrame:
     ``sqrt(2·D·S/(h·batch))``) and
     ``tlc = D/eoq·S + eoq/2·h·batch + itemcost/vsupply·D``.
 
-    One pass over the shipments: demand and costs come from the same
-    per-(vendor, country, item) aggregate (conditional sums for the clean
-    rows), and demand is summed over vendors by a window on that small table —
-    the shipment join runs once, not once per aggregate.
+    Demand and costs come from the same per-(vendor, country, item) aggregate
+    (conditional sums for the clean rows); demand is summed over vendors from
+    that aggregate and joined back.
     """
     wkg = F.col("weightkilograms").try_cast("double")
     clean = (wkg.isNotNull() & F.col("lineitemvalue_cents").isNotNull() & F.col("freightcost_e4").isNotNull()
@@ -92,8 +92,11 @@ def eoq_tlc(df: DataFrame, formula: str = "reference") -> DataFrame:
         (F.sum(when_clean(F.col("lineitemvalue_cents"))) / 100.0).alias("itemcost"),
         ((F.sum(when_clean(F.col("freightcost_e4"))) + F.sum(when_clean(F.col("insurance_e4"))))
          / 10000.0).alias("tordercost"))
-    demand = F.sum("__all_w").over(Window.partitionBy("country", "moleculetesttype"))
-    costs = per.withColumn("demand", demand).where(F.col("noorders") > 0).withColumns({
+    # demand over all vendors: summed before any shuffle, so a hot item is one row per task
+    demand = (per.groupBy(F.col("country").alias("__c"), F.col("moleculetesttype").alias("__m"))
+              .agg(F.sum("__all_w").alias("demand")))
+    per = per.join(demand, F.col("country").eqNullSafe(F.col("__c")) & F.col("moleculetesttype").eqNullSafe(F.col("__m"))).drop("__c", "__m")
+    costs = per.where(F.col("noorders") > 0).withColumns({
         "batchsize": F.col("vsupply") / F.col("noorders"),
         "ordercost": F.col("tordercost") / F.col("noorders"),
         "rhc": holding_cost(F.col("vendorkey"))})
