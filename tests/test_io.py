@@ -50,7 +50,8 @@ def test_json_infer_and_schema(spark, tmp_path):
 def test_sequence_file_roundtrip(spark, tmp_path):
     df = spark.range(0, 50).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).cast("int").alias("v"))
     files.save_kv_file(df, "k", "v", str(tmp_path / "kv"))
-    back = files.load_kv_file(spark, str(tmp_path / "kv"), "k", "v")
+    back = files.load_kv_file(spark, str(tmp_path / "kv"), schema="k int, v int")
+    assert back.schema == df.schema or back.dtypes == df.dtypes
     assert sorted(tuple(r) for r in back.collect()) == [(i, 2 * i) for i in range(50)]
 
 
@@ -100,3 +101,27 @@ def test_temp_view_fail_if_exists(spark):
     df.createOrReplaceTempView("vireo_region_v")
     with pytest.raises(Exception):
         df.createTempView("vireo_region_v")
+
+
+def test_empty_sequence_file_reads_as_an_empty_frame(spark, tmp_path):
+    files.save_kv_file(spark.createDataFrame([], "k string, v string"), "k", "v", str(tmp_path / "none"))
+    assert files.load_kv_file(spark, str(tmp_path / "none"), "k", "v").collect() == []
+
+
+def test_json_schema_has_the_fields_of_all_values(spark):
+    docs = spark.createDataFrame([('{"a":1}',), ('{"a":2,"b":"x"}',), (None,), ('{"c":{"d":[1.5]}}',)], "j string")
+    ddl = files.json_column_schema(docs, "j")
+    row = docs.select(F.from_json("j", ddl).alias("r")).select("r.a", "r.b", "r.c.d").collect()
+    assert [tuple(r) for r in row] == [(1, None, None), (2, "x", None), (None, None, None), (None, None, [1.5])]
+
+
+def test_object_store_settings_leave_the_default_providers(monkeypatch):
+    monkeypatch.delenv("AWS_ACCESS_KEY_ID", raising=False)
+    assert "fs.s3a.aws.credentials.provider" not in files.s3a_settings()
+
+
+def test_a_rewritten_table_is_read_with_its_new_schema(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t.parquet"))
+    assert table(spark, str(tmp_path), "t").columns == ["id"]
+    spark.range(3).withColumn("x", F.lit("a")).write.mode("overwrite").parquet(str(tmp_path / "t.parquet"))
+    assert table(spark, str(tmp_path), "t").columns == ["id", "x"]

@@ -5,6 +5,7 @@ order, one file per micro-batch."""
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -103,7 +104,7 @@ def test_watermark_append_emits_closed_windows_and_drops_late_rows(spark, tmp_pa
     e.where(F.col("ts") < F.lit("2024-01-02").cast("timestamp")).coalesce(1).write.parquet(late)
     src = str(tmp_path / "src")
     _stage(parts + [late], src)
-    stream = sources.file_table_stream(spark, src, e.schema)
+    stream = sources.file_table_stream(spark, src, e.schema, max_files_per_trigger=1)
     w = stream.withWatermark("ts", "5 minutes")
     agg = sliding_counts(w, "ts", "20 minutes", "10 minutes", ["event_type"])
     q = sq.start(agg, "append", "memory", name="wm_append", checkpoint=str(tmp_path / "ck"), trigger=AVAILABLE_NOW)
@@ -281,3 +282,72 @@ def test_per_batch_sink_replay_is_idempotent(spark, tmp_path):
     res = spark.read.parquet(out)
     assert res.where("batch_id = 1").agg(F.sum("count")).first()[0] == e.count()
     assert res.agg(F.sum("count")).first()[0] == 2 * e.count()
+
+
+def test_half_written_batch_is_taken_away_and_written_again(spark):
+    """A store whose writes commit row by row: the first attempt dies half-way."""
+    stored, marks, fail = [], set(), [True]
+
+    def append(rows, batch_id):
+        for i, r in enumerate(rows.collect()):
+            if fail and i == 2:
+                fail.clear()
+                raise RuntimeError("connection lost")
+            stored.append((r.batch_id, r.id))
+
+    write = sinks.batch_writer(lambda b, i: i in marks, lambda b, i: stored.__setitem__(slice(None), [x for x in stored if x[0] != i]), append, lambda b, i: marks.add(i))
+    batch = spark.range(5)
+    with pytest.raises(RuntimeError):
+        write(batch, 7)
+    assert len(stored) == 2
+    write(batch, 7)
+    write(batch, 7)
+    assert sorted(stored) == [(7, i) for i in range(5)]
+
+
+def test_out_of_order_events_make_the_sessions_of_the_batch_operator():
+    import pandas as pd
+    from vireo.streaming.stateful import merge_sessions
+    gap = pd.Timedelta(minutes=30)
+    t = lambda h, m=0: pd.Timestamp(2024, 1, 1, h, m)
+    one = lambda *ts: pd.DataFrame({"start": list(ts), "last": list(ts), "n": 1, "total": 2.0})
+    held = merge_sessions(one(t(10)), gap)
+    held = merge_sessions(pd.concat([held, one(t(8), t(9, 50))]), gap)
+    assert [tuple(r) for r in held.itertuples(index=False)] == [(t(8), t(8), 1, 2.0), (t(9, 50), t(10), 2, 4.0)]
+    joined = merge_sessions(pd.concat([held, one(t(9, 20), t(8, 30), t(9))]), gap)
+    assert [tuple(r) for r in joined.itertuples(index=False)] == [(t(8), t(10), 6, 12.0)]
+
+
+def test_recorder_keeps_every_event_and_gives_restart_offsets(spark):
+    from vireo.streaming.listener import ProgressRecorder
+    rec = ProgressRecorder()
+    for b in range(12000):
+        rec._add({"event": "progress", "id": "q", "name": None, "batch_id": b, "source": "s", "start_offset": None, "end_offset": {"quotes": {"0": b, "1": 2 * b}}, "rows": 1})
+    assert len(rec.events) == 12000
+    rows = rec.drain(spark)
+    assert rows.count() == 12000 and rec.events == []
+    assert sources.restart_offsets(rows, "q") == '{"quotes": {"0": 11999, "1": 23998}}'
+
+
+def test_await_all_waits_for_every_query_and_raises_errors(spark, tmp_path):
+    e, parts = _events_parts(spark, str(tmp_path / "ev"), ["2024-01-10", "2024-01-20"])
+    src = str(tmp_path / "src")
+    _stage(parts, src)
+    stream = sources.file_table_stream(spark, src, e.schema, max_files_per_trigger=1)
+    ok = [sq.start(stream.groupBy("event_type").count(), "complete", name=f"all{i}", checkpoint=str(tmp_path / f"c{i}"), trigger=AVAILABLE_NOW) for i in range(2)]
+    assert sq.await_all(spark, ok) and not any(x.isActive for x in ok)
+
+    def boom(batch, batch_id):
+        raise RuntimeError("boom")
+    bad = stream.writeStream.foreachBatch(boom).option("checkpointLocation", str(tmp_path / "bad")).trigger(processingTime="1 second").start()
+    with pytest.raises(Exception, match="boom"):
+        sq.await_all(spark, [bad], timeout=60)
+
+
+def test_replay_without_rows_replaces_the_batch(spark, tmp_path):
+    write = sq.batch_writer(lambda b: b, str(tmp_path / "out"))
+    write(spark.range(3), 0)
+    write(spark.range(3).where("id > 5"), 0)
+    write(spark.range(2), 1)
+    assert spark.read.parquet(str(tmp_path / "out")).where("batch_id = 0").count() == 0
+    assert spark.read.parquet(str(tmp_path / "out")).where("batch_id = 1").count() == 2

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vireo.operators.window import running_sum
+from vireo.operators.window import materialize, running_sum
 
 
 # P01 / P14 -----------------------------------------------------------------
@@ -97,7 +97,11 @@ def zip_positional(a: DataFrame, a_order: str, b: DataFrame, b_order: str,
 
 def zip_partitions(a: DataFrame, b: DataFrame, a_col: str, b_col: str) -> DataFrame:
     """Per partition, pair rows by their position inside the partition;
-    pairs stop at the shorter partition (inner join on (pid, position))."""
+    pairs stop at the shorter partition (inner join on (pid, position)).
+    Unequal numbers of partitions are an error."""
+    if a.rdd.getNumPartitions() != b.rdd.getNumPartitions():
+        raise ValueError("zip_partitions: datasets have different numbers of partitions")
+
     def pos(df, c):
         # monotonically_increasing_id = (partition id << 33) + row number in
         # the partition, so the position needs no window.
@@ -201,21 +205,24 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int, with_replacement:
 
 
 def sample_n(df: DataFrame, n: int, seed: int, with_replacement: bool = False) -> DataFrame:
-    """Fixed-size sample of (at most) ``n`` rows.
+    """Fixed-size sample of ``n`` rows.
 
     Without replacement: the n smallest seeded random keys
-    (TakeOrderedAndProject keeps only n rows per task).  With replacement:
-    a Poisson sample whose expected size is comfortably above n (one count
-    to size the fraction, as ``takeSample`` does), then the first n of it
-    under a seeded random order.
+    (TakeOrderedAndProject keeps only n rows per task); fewer than n rows are
+    all taken.  With replacement: exactly n draws (none from an empty frame),
+    each the row at a seeded random position; the positions are a frame of n
+    rows, joined to the rows' dense positions.
     """
     if not with_replacement:
         return df.orderBy(F.rand(seed)).limit(n)
-    total = df.count()
+    spark = df.sparkSession
+    keyed = materialize(df.withColumn("__key", F.monotonically_increasing_id()))
+    indexed = dense_index(keyed, "__key", "__at").drop("__key")
+    total = indexed.count()
     if total == 0:
         return df.limit(0)
-    frac = (n + 5 * (n ** 0.5) + 10) / total       # mean + ~5 sd of the sample size
-    return df.sample(True, frac, seed).orderBy(F.rand(seed + 1)).limit(n)
+    draws = materialize(spark.range(n).select((F.floor(F.rand(seed) * total) + 1).alias("__draw")))
+    return indexed.join(draws, F.col("__at") == F.col("__draw")).select(*df.columns)
 
 
 # P32 -------------------------------------------------------------------------

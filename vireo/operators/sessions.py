@@ -81,13 +81,14 @@ def _scan(keys: list[str], ts: str, gap_s: float):
 def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str], value: str | None = None,
              num_partitions: int | None = None) -> DataFrame:
     """Per key and gap-separated session: start, end (last event + gap),
-    event count and value total (exact, two-decimal money)."""
+    event count and the sum of ``value`` in that column's own sum type (pass a
+    decimal or integer column for a total that does not depend on the order of addition)."""
     spark = df.sparkSession
     keys = list(keys)
     n = range_partitions(spark, num_partitions)
     aggs = [F.count(F.lit(1)).alias("__n")]
     if value:
-        aggs.append(F.sum(F.round(F.col(value) * 100).cast("long")).alias("__v"))   # exact cents
+        aggs.append(F.sum(value).alias("__v"))
     ties = df.where(F.col(ts).isNotNull()).groupBy(*keys, ts).agg(*aggs)
     order = [F.col(k).asc_nulls_first() for k in keys] + [F.col(ts).asc()]
     ranged = (ties.repartitionByRange(n, *order).sortWithinPartitions(*order)
@@ -121,7 +122,7 @@ def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str], value: str |
     start = F.when(F.col("__first") & F.col("__carry").isNotNull(), F.col("__carry")).otherwise(F.col("__lstart"))
     out_aggs = [F.max(ts).alias("__last"), F.sum("__n").alias("events")]
     if value:
-        out_aggs.append((F.sum("__v") / 100.0).alias("total"))
+        out_aggs.append(F.sum("__v").alias("total"))
     g = joined.withColumn("session_start", start).groupBy(*keys, "session_start").agg(*out_aggs)
     return g.select(*keys, "session_start", (F.col("__last") + gap_expr).alias("session_end"), "events",
                     *(["total"] if value else []))

@@ -72,11 +72,16 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None
 
 
 def json_column_schema(df: DataFrame, col: str) -> str:
-    """DDL of a JSON string column, inferred from one sample value."""
-    sample = df.select(col).where(F.col(col).isNotNull()).limit(1).collect()
-    if not sample:
+    """DDL of a JSON string column: the fields of all its values, merged.
+
+    Values are grouped first (equal documents are read once); every distinct
+    one is read, as the JSON source does when it infers a file's schema.
+    """
+    values = df.select(F.col(col).cast("string").alias("value")).where(F.col(col).isNotNull()).distinct()
+    schema = df.sparkSession.read.json(values.rdd.map(lambda r: r[0])).schema
+    if not schema.fields:
         raise ValueError("no JSON value to infer a schema from")
-    return df.sparkSession.range(1).select(F.schema_of_json(F.lit(sample[0][0]))).first()[0]
+    return schema.toDDL()
 
 
 # S08 / S10 -----------------------------------------------------------------
@@ -88,12 +93,23 @@ def parquet_roundtrip(df: DataFrame, path: str) -> DataFrame:
 
 # S11 ---------------------------------------------------------------------
 def save_kv_file(df: DataFrame, key: str, value: str, path: str) -> None:
-    """(key, value) pairs as a Hadoop sequence file."""
-    df.select(key, value).rdd.map(lambda r: (r[0], r[1])).saveAsSequenceFile(path)
+    """(key, value) pairs as a Hadoop sequence file (only the RDD API writes that format)."""
+    pairs = df.select(key, value).rdd.map(tuple)
+    if df.isEmpty():                # the writer takes the types from the first pair: name them
+        pairs.saveAsHadoopFile(path, "org.apache.hadoop.mapred.SequenceFileOutputFormat",
+                               keyClass="org.apache.hadoop.io.Text", valueClass="org.apache.hadoop.io.Text")
+    else:
+        pairs.saveAsSequenceFile(path)
 
 
-def load_kv_file(spark: SparkSession, path: str, key: str = "key", value: str = "value") -> DataFrame:
-    return spark.sparkContext.sequenceFile(path).toDF([key, value])
+def load_kv_file(spark: SparkSession, path: str, key: str = "key", value: str = "value",
+                 schema: T.StructType | str | None = None) -> DataFrame:
+    """``schema`` names and types the two columns; without it they are strings
+    (no sampling, so an empty file reads as an empty frame)."""
+    rows = spark.sparkContext.sequenceFile(path)
+    if schema is None:
+        return spark.createDataFrame(rows.map(lambda kv: (str(kv[0]), str(kv[1]))), f"`{key}` string, `{value}` string")
+    return spark.createDataFrame(rows, schema)
 
 
 # S12–S15 -----------------------------------------------------------------
@@ -126,9 +142,7 @@ def s3a_settings(endpoint: str | None = None, access_key_env: str = "AWS_ACCESS_
     if ak and sk:
         conf["fs.s3a.access.key"] = ak
         conf["fs.s3a.secret.key"] = sk
-    else:
-        conf["fs.s3a.aws.credentials.provider"] = \
-            "com.amazonaws.auth.DefaultAWSCredentialsProviderChain"
+    # otherwise the connector's own default provider chain applies
     return conf
 
 

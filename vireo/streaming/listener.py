@@ -11,19 +11,24 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 
 class ProgressRecorder(StreamingQueryListener):
-    """Keeps one small row per event (bounded by the number of micro-batches
-    observed, not by data volume)."""
+    """Keeps one small row per event: bounded by the number of micro-batches
+    observed, not by data volume.  Nothing is dropped: a long-running job
+    takes the rows away with :meth:`drain` (say once an hour) and appends them
+    to a table, from which R15 restarts."""
 
-    def __init__(self, max_events: int = 10000):
+    def __init__(self):
         self.events: list[dict] = []
-        self.max_events = max_events
         self._lock = threading.Lock()
 
     def _add(self, row: dict) -> None:
         with self._lock:
             self.events.append(row)
-            if len(self.events) > self.max_events:
-                del self.events[: len(self.events) - self.max_events]
+
+    def drain(self, spark: SparkSession) -> DataFrame:
+        """The rows so far as a frame; they are no longer kept here."""
+        with self._lock:
+            rows, self.events = self.events, []
+        return _frame(spark, rows)
 
     def onQueryStarted(self, event):
         self._add({"event": "started", "id": str(event.id), "name": event.name, "batch_id": None,
@@ -45,11 +50,14 @@ class ProgressRecorder(StreamingQueryListener):
 
     def as_dataframe(self, spark: SparkSession) -> DataFrame:
         with self._lock:
-            rows = [dict(r, start_offset=_s(r["start_offset"]), end_offset=_s(r["end_offset"]))
-                    for r in self.events]
-        schema = ("event string, id string, name string, batch_id long, source string, "
-                  "start_offset string, end_offset string, rows long")
-        return spark.createDataFrame(rows, schema)
+            rows = list(self.events)
+        return _frame(spark, rows)
+
+
+def _frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    rows = [dict(r, start_offset=_s(r["start_offset"]), end_offset=_s(r["end_offset"])) for r in rows]
+    return spark.createDataFrame(rows, "event string, id string, name string, batch_id long, source string, "
+                                       "start_offset string, end_offset string, rows long")
 
 
 def _s(v):

@@ -7,6 +7,7 @@ aggregation code is the same function the batch twins use.
 
 from __future__ import annotations
 
+import time
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,11 +52,10 @@ def per_batch(df: DataFrame, fn: Callable[[DataFrame], DataFrame], path: str, ch
 
 def batch_writer(fn: Callable[[DataFrame], DataFrame], path: str):
     """The ``foreachBatch`` body of :func:`per_batch`: the batch's result goes
-    to the ``batch_id=<id>`` partition, replacing what a replay left there."""
+    to the ``batch_id=<id>`` folder, replacing what a replay left there, also
+    when the replay has no rows."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        (fn(batch).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(path))
+        fn(batch).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
     return sink
 
 
@@ -114,15 +114,27 @@ def sessions_stream(events: DataFrame, ts: str, gap: str, keys: Sequence[str], w
 # stream–static join ------------------------------------------------
 def stream_static_weighted(lines: DataFrame, freq: DataFrame, text_col: str = "value") -> DataFrame:
     from vireo.plans.catalog_analytics import weighted_counts
-    return weighted_counts(tokens(lines, text_col), freq, preaggregate=False)
+    return weighted_counts(tokens(lines, text_col), freq)
 
 
 # Several queries on one source ---------------------------------------
-def await_all(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
-    """Wait for any query to end (or the timeout); unlike consecutive
-    ``awaitTermination`` calls this never blocks later queries from starting,
-    because they are all started first."""
-    if timeout is None:
-        spark.streams.awaitAnyTermination()
-    else:
-        spark.streams.awaitAnyTermination(timeout)
+def await_all(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: float | None = None) -> bool:
+    """Wait until every query has ended; False if the timeout (seconds) passes
+    first.  All were started before, so none blocks another.  When one fails,
+    the others are stopped and its error is raised."""
+    until = None if timeout is None else time.monotonic() + timeout
+    while any(q.isActive for q in queries):
+        failed = next((q for q in queries if not q.isActive and q.exception() is not None), None)
+        if failed is not None:
+            for q in queries:
+                q.stop()
+            break
+        if until is not None and time.monotonic() >= until:
+            return False
+        live = next((q for q in queries if q.isActive), None)
+        if live is not None:
+            live.awaitTermination(0.2)
+    for q in queries:
+        if (error := q.exception()) is not None:
+            raise error
+    return True

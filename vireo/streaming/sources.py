@@ -48,7 +48,23 @@ def starting_offsets_json(offsets: Mapping[str, Mapping[int, int]]) -> str:
     return json.dumps({t: {str(p): int(o) for p, o in parts.items()} for t, parts in offsets.items()})
 
 
-def file_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1,
+def restart_offsets(progress: DataFrame, query_id: str | None = None) -> str:
+    """The JSON for ``startingOffsets`` from the recorder's rows: the end
+    offsets of the last batch of every Kafka source (of one query if named)."""
+    rows = progress.where((F.col("event") == "progress") & F.col("end_offset").startswith("{"))
+    if query_id:
+        rows = rows.where(F.col("id") == query_id)
+    last = rows.groupBy("id", "source").agg(F.max_by("end_offset", "batch_id").alias("end")).collect()  # one per source
+    merged: dict[str, dict[int, int]] = {}
+    for row in last:
+        for topic, parts in json.loads(row["end"]).items():
+            at = merged.setdefault(topic, {})
+            for part, offset in parts.items():
+                at[int(part)] = min(int(offset), at.get(int(part), int(offset)))
+    return starting_offsets_json(merged)
+
+
+def file_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                arrival_col: str | None = "timestamp") -> DataFrame:
     """A line stream from files landing in ``path``, stamped with the
     arrival time (``current_timestamp``)."""
@@ -60,7 +76,7 @@ def file_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None
 
 
 def file_table_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
-                      max_files_per_trigger: int | None = 1) -> DataFrame:
+                      max_files_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -9,9 +9,10 @@ False``) and the final record once event time has passed the gap
 timeout.  State is one small row per key (the open session), removed when
 the session expires, so it stays bounded by the number of active keys.
 
-A key's events in one micro-batch may span several sessions: they are
-sorted, split where the gap is exceeded (> gap, as ``session_window``), and
-all but the last session are emitted as expired right away.
+Events may arrive out of order within the watermark: a key's state is the
+list of its open sessions (a late event may start one before the last, or
+join two), and a session is final only when the watermark has passed its end.
+``totals`` adds sums of two measures, as the reference's records carry.
 """
 
 from __future__ import annotations
@@ -20,57 +21,58 @@ from typing import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
 
 OUTPUT = ("key STRING, session_start TIMESTAMP, session_end TIMESTAMP, duration_ms LONG, "
-          "events LONG, expired BOOLEAN")
-STATE = "start TIMESTAMP, last TIMESTAMP, events LONG"
+          "events LONG, total DOUBLE, expired BOOLEAN")
+STATE = "starts ARRAY<TIMESTAMP>, lasts ARRAY<TIMESTAMP>, events ARRAY<LONG>, totals ARRAY<DOUBLE>"
+
+
+def merge_sessions(frame: pd.DataFrame, gap: pd.Timedelta) -> pd.DataFrame:
+    """Sessions (start, last, n, total) that intervals of the same columns make:
+    those at most ``gap`` apart are one.  Intervals in any order."""
+    frame = frame.sort_values("start", ignore_index=True)
+    reach = frame["last"].cummax().shift()
+    session = (frame["start"] - reach > gap).cumsum()
+    return frame.groupby(session).agg(start=("start", "min"), last=("last", "max"), n=("n", "sum"), total=("total", "sum")).reset_index(drop=True)
 
 
 def _updater(gap_ms: int, tz: str):
     gap = pd.Timedelta(milliseconds=gap_ms)
 
-    def emit(key, start, last, n, expired):
-        end = last + gap
-        return {"key": key, "session_start": start, "session_end": end,
-                "duration_ms": int((last - start) / pd.Timedelta(milliseconds=1)),
-                "events": int(n), "expired": expired}
-
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        k = key[0]
-        if state.hasTimedOut:
-            start, last, n = state.get
-            state.remove()
-            yield pd.DataFrame([emit(k, pd.Timestamp(start), pd.Timestamp(last), n, True)])
-            return
-        ts = pd.concat([b["ts"] for b in batches], ignore_index=True).sort_values(ignore_index=True)
-        out = []
+        held = pd.DataFrame({"start": pd.Series(dtype="datetime64[us]"), "last": pd.Series(dtype="datetime64[us]"), "n": pd.Series(dtype="int64"), "total": pd.Series(dtype="float64")})
         if state.exists:
-            start, last, n = state.get
-            start, last = pd.Timestamp(start), pd.Timestamp(last)
-        else:
-            start, last, n = None, None, 0
-        for t in ts:
-            if start is not None and t - last > gap:       # the gap was exceeded: close
-                out.append(emit(k, start, last, n, True))
-                start, n = None, 0
-            if start is None:
-                start, last, n = t, t, 0
-            last, n = max(last, t), n + 1
-        state.update((start.to_pydatetime(), last.to_pydatetime(), int(n)))
-        # pandas sees session-local wall time; the timeout is epoch milliseconds
-        state.setTimeoutTimestamp(int((last + gap).tz_localize(tz).timestamp() * 1000))
-        out.append(emit(k, start, last, n, False))
-        yield pd.DataFrame(out)
+            starts, lasts, n, total = state.get
+            held = pd.DataFrame({"start": pd.to_datetime(list(starts)), "last": pd.to_datetime(list(lasts)), "n": list(n), "total": list(total)})
+        for batch in batches:  # merged batch by batch: only open sessions are held
+            new = pd.DataFrame({"start": batch["ts"], "last": batch["ts"], "n": 1, "total": batch["value"]})
+            held = merge_sessions(pd.concat([held, new], ignore_index=True) if len(held) else new, gap)
+        watermark = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms", tz="UTC").tz_convert(tz).tz_localize(None)
+        out = held.assign(expired=held["last"] + gap < watermark)
+        still = out[~out["expired"]]
+        if len(still):
+            state.update((still["start"].dt.to_pydatetime().tolist(), still["last"].dt.to_pydatetime().tolist(), still["n"].astype(int).tolist(), still["total"].astype(float).tolist()))
+            # pandas sees session-local wall time; the timeout is epoch milliseconds, at least past the watermark
+            first = int((still["last"].min() + gap).tz_localize(tz).timestamp() * 1000)
+            state.setTimeoutTimestamp(max(first, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame({"key": key[0], "session_start": out["start"], "session_end": out["last"] + gap,
+                            "duration_ms": (out["last"] - out["start"]) // pd.Timedelta(milliseconds=1),
+                            "events": out["n"].astype("int64"), "total": out["total"].astype("float64"), "expired": out["expired"].astype(bool)})
 
     return update
 
 
-def session_updates(events: DataFrame, key: str, ts: str, gap_ms: int, watermark: str) -> DataFrame:
-    """Per key, the open session's running record on each trigger and the
-    final record (``expired``) once the watermark passes its end.  ``ts`` must
-    be a TIMESTAMP column; ``watermark`` bounds how late events may be."""
-    src = events.select(events[key].cast("string").alias("key"), events[ts].alias("ts")) \
+def session_updates(events: DataFrame, key: str, ts: str, gap_ms: int, watermark: str, value: str | None = None) -> DataFrame:
+    """Per key, its open sessions' running records on each trigger and the
+    final record (``expired``) once the watermark passes a session's end.
+    ``ts`` must be a TIMESTAMP column; ``watermark`` bounds how late events may
+    be; ``total`` sums ``value`` (0 without one)."""
+    measure = F.coalesce(events[value].cast("double"), F.lit(0.0)) if value else F.lit(0.0)
+    src = events.select(events[key].cast("string").alias("key"), events[ts].alias("ts"), measure.alias("value")) \
         .withWatermark("ts", watermark)
     tz = events.sparkSession.conf.get("spark.sql.session.timeZone")
     return src.groupBy("key").applyInPandasWithState(
