@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vireo.functions import text as _text
-from vireo.functions.logs import parse_access_log
+from vireo.functions.logs import parse_access_log, rejected_lines
 from vireo.operators import aggregate as _agg
-from vireo.plans import abc, accesslog, supply
+from vireo.plans import abc, accesslog, retail, supply
 from vireo.plans import profile as _profile
 from vireo.plans.registry import query
-from vireo.plans.standins import revenue_by_item
+from vireo.plans.standins import money, retail_lines, revenue_by_item
+from vireo.sources.files import parquet_roundtrip, scratch_path
 from vireo.sources.tables import table
 
 _ABC_ITEMS = """
@@ -110,23 +111,18 @@ def word_freq(spark, sf):
     return _text.token_counts(table(spark, sf, "benchmark"), "text").withColumnRenamed("count", "freq")
 
 
-def weighted_counts(words, freq, preaggregate: bool = True):
+def weighted_counts(words, freq):
     """Words ⟕ static frequencies, missing freq → 0, count per
     (word, freq), weighted by freq.
 
     ``freq`` has one row per word, so counting words first and joining the
     counts is the same result; the partial aggregate collapses a very common
     word before any shuffle, and the join then moves one row per distinct
-    word instead of one per occurrence.  A stream keeps the join-then-count
-    order (``preaggregate=False``), the shape Structured Streaming accepts.
+    word instead of one per occurrence.  On a stream it runs in complete mode.
     """
-    if preaggregate:
-        counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
-        j = counted.join(freq, "word", "left_outer").fillna(0, subset=["freq"])
-        return j.select("word", "freq", "count", (F.col("freq") * F.col("count")).alias("wtdfreq"))
-    j = words.join(freq, "word", "left_outer").fillna(0, subset=["freq"])
-    return (j.groupBy("word", "freq").agg(F.count(F.lit(1)).alias("count"))
-            .withColumn("wtdfreq", F.col("freq") * F.col("count")))
+    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    j = counted.join(freq, "word", "left_outer").fillna(0, subset=["freq"])
+    return j.select("word", "freq", "count", (F.col("freq") * F.col("count")).alias("wtdfreq"))
 
 
 @query("static_join_batch", sql=r"""
@@ -146,6 +142,8 @@ WITH ev AS (
   SELECT 'host' || CAST(user_id AS VARCHAR) AS host,
          '/' || event_type || '/item' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS endpoint,
          CASE WHEN event_type = 'error' THEN '404' ELSE '200' END AS status,
+         CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END AS method,
+         strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000' AS datetime,
          CASE WHEN event_type = 'signup' THEN 0 ELSE CAST(round(value * 100) AS BIGINT) END AS size,
          CAST(day(ts) AS INTEGER) AS day
   FROM events WHERE NOT (event_type = 'view' AND value < 2))
@@ -157,9 +155,24 @@ def _logs(spark, sf):
 
 
 @query("parse_access_log", sql=_LOG_SQL + """
-SELECT host AS ipAddress, endpoint AS endPoint, status AS responseCode, size AS contentSize FROM ev""")
+SELECT host AS ipAddress, '-' AS clientIdentity, '-' AS userId, datetime AS dateTime, method, endpoint AS endPoint,
+       'HTTP/1.0' AS protocol, status AS responseCode, size AS contentSize FROM ev""")
 def parse_access_log_q(spark, sf):
-    return _logs(spark, sf).select("ipAddress", "endPoint", "responseCode", "contentSize")
+    return _logs(spark, sf)
+
+
+@query("log_rejected", sql="SELECT count(*) AS rejected FROM events WHERE event_type = 'view' AND value < 2")
+def log_rejected(spark, sf):
+    return rejected_lines(accesslog.lines_from_events(spark, sf)).agg(F.count(F.lit(1)).alias("rejected"))
+
+
+@query("log_bad_records", sql=_LOG_SQL + """
+SELECT host AS ipAddress, datetime AS dateTime, method, endpoint AS endPoint, status AS responseCode, size AS contentSize
+FROM ev WHERE status = '404'""")
+def log_bad_records(spark, sf):
+    """The 404 lines, saved and read back."""
+    bad = accesslog.report(_logs(spark, sf))["bad_records"].select("ipAddress", "dateTime", "method", "endPoint", "responseCode", "contentSize")
+    return parquet_roundtrip(bad, scratch_path(spark, "log_bad_records"))
 
 
 @query("log_size_stats", sql=_LOG_SQL + """
@@ -259,7 +272,7 @@ WITH sh AS (
         FROM sh GROUP BY 1, 2)
 SELECT *, totqty + totvalue + totshippingcost + insurcost AS totalcost FROM g""")
 def vendor_cost(spark, sf):
-    return supply.vendor_cost(supply.shipments(spark, sf))
+    return supply.vendor_cost(supply.shipments(spark, sf, with_country=False))
 
 
 @query("join_aggregates", sql=_SHIP_SQL + """
@@ -267,10 +280,11 @@ def vendor_cost(spark, sf):
 , c AS (SELECT country, moleculetesttype, vendor, count(*) AS noorders FROM sh GROUP BY 1, 2, 3)
 SELECT country, moleculetesttype, demand, vendor, noorders FROM d JOIN c USING (country, moleculetesttype)""")
 def join_aggregates(spark, sf):
-    sh = supply.shipments(spark, sf)
-    d = sh.groupBy("country", "moleculetesttype").agg(F.sum("weightkilograms").alias("demand"))
-    c = sh.groupBy("country", "moleculetesttype", "vendor").agg(F.count(F.lit(1)).alias("noorders"))
-    return d.join(c, ["country", "moleculetesttype"]).select(
+    # one aggregate over the shipments; demand is summed from it
+    per = supply.shipments(spark, sf).groupBy("country", "moleculetesttype", "vendor").agg(
+        F.count(F.lit(1)).alias("noorders"), F.sum("weightkilograms").alias("w"))
+    d = per.groupBy("country", "moleculetesttype").agg(F.sum("w").alias("demand"))
+    return d.join(per, ["country", "moleculetesttype"]).select(
         "country", "moleculetesttype", "demand", "vendor", "noorders")
 
 
@@ -336,5 +350,88 @@ SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '30 minutes' AS ses
 FROM s GROUP BY user_id, sid""")
 def session_summary(spark, sf):
     from vireo.operators.sessions import sessions
-    e = table(spark, sf, "events")
-    return sessions(e, "ts", "30 minutes", ["user_id"], "value")
+    e = table(spark, sf, "events").select("user_id", "ts", money("value").alias("value"))
+    return sessions(e, "ts", "30 minutes", ["user_id"], "value").withColumn("total", F.col("total").cast("double"))
+
+
+# ----------------------------------------------------------------- K08
+_YEARS = tuple(range(1992, 1999))
+_RETAIL_SQL = """
+WITH r AS (
+  SELECT DISTINCT l_orderkey AS invoice, p_name AS description, p_type AS stockcode, l_quantity AS quantity, p_retailprice AS price,
+         l_extendedprice AS amount, o_orderdate AS invoicedate, n_name AS country
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey),
+d AS (SELECT *, CAST(year(invoicedate) AS INTEGER) AS yr, CAST(month(invoicedate) AS INTEGER) AS mnth,
+             CAST(quantity AS DECIMAL(18,2)) * CAST(price AS DECIMAL(18,2)) AS rev FROM r)
+"""
+
+
+def _retail(spark, sf, name):
+    return retail.explore(retail_lines(spark, sf), _YEARS)[name]
+
+
+def _as_double(df):
+    return df.withColumn("revenue", F.col("revenue").cast("double"))
+
+
+@query("retail_nulls", sql=_RETAIL_SQL + "SELECT count(*) AS nulls FROM d WHERE description IS NULL")
+def retail_nulls(spark, sf):
+    return _retail(spark, sf, "description_nulls")
+
+
+@query("retail_country_revenue", sql=_RETAIL_SQL + "SELECT country, CAST(sum(rev) AS DOUBLE) AS revenue FROM d GROUP BY 1")
+def retail_country_revenue(spark, sf):
+    return _as_double(_retail(spark, sf, "country_revenue"))
+
+
+@query("retail_country_means", sql=_RETAIL_SQL + """
+SELECT country, avg(quantity) AS avg_quantity, round(avg(price), 6) AS avg_price FROM d GROUP BY 1""")
+def retail_country_means(spark, sf):
+    return _retail(spark, sf, "country_means").withColumn("avg_price", F.round("avg_price", 6))
+
+
+@query("retail_country_items", sql=_RETAIL_SQL + "SELECT count(*) AS pairs FROM (SELECT DISTINCT country, description FROM d)")
+def retail_country_items(spark, sf):
+    return _retail(spark, sf, "country_item_pairs")
+
+
+_PIVOT = ", ".join(f'sum(quantity) FILTER (WHERE yr = {y}) AS "{y}"' for y in _YEARS)
+
+
+@query("retail_pivot", sql=_RETAIL_SQL + f"SELECT country, {_PIVOT} FROM d GROUP BY 1")
+def retail_pivot(spark, sf):
+    return _retail(spark, sf, "pivot_year_quantity")
+
+
+@query("retail_unpivot", sql=_RETAIL_SQL + f"""
+SELECT country, CAST(y AS VARCHAR) AS yr, (SELECT sum(quantity) FROM d WHERE d.country = c.country AND d.yr = y) AS quantity
+FROM (SELECT DISTINCT country FROM d) c, range({_YEARS[0]}, {_YEARS[-1] + 1}) AS t(y)""")
+def retail_unpivot(spark, sf):
+    return _retail(spark, sf, "unpivot_year_quantity")
+
+
+_BY_TIME = "CAST(sum(rev) AS DOUBLE) AS revenue, CAST(grouping(country, yr, mnth) AS BIGINT) AS gid FROM d GROUP BY"
+
+
+@query("retail_cube", sql=_RETAIL_SQL + f"SELECT country, yr, mnth, {_BY_TIME} CUBE (country, yr, mnth)")
+def retail_cube(spark, sf):
+    return _as_double(_retail(spark, sf, "cube"))
+
+
+@query("retail_rollup", sql=_RETAIL_SQL + f"SELECT country, yr, mnth, {_BY_TIME} ROLLUP (country, yr, mnth)")
+def retail_rollup(spark, sf):
+    return _as_double(_retail(spark, sf, "rollup"))
+
+
+@query("retail_grouping_sets", sql=_RETAIL_SQL + f"SELECT country, yr, mnth, {_BY_TIME} GROUPING SETS ((country, yr), (yr, mnth))")
+def retail_grouping_sets(spark, sf):
+    return _as_double(_retail(spark, sf, "grouping_sets"))
+
+
+@query("retail_running", sql=_RETAIL_SQL + """
+, g AS (SELECT country, description, sum(rev) AS revenue FROM d GROUP BY 1, 2)
+SELECT country, description, CAST(revenue AS DOUBLE) AS revenue,
+       CAST(sum(revenue) OVER (PARTITION BY country ORDER BY revenue) AS DOUBLE) AS cumrevenue FROM g""")
+def retail_running(spark, sf):
+    return _as_double(_retail(spark, sf, "running_by_country")).withColumn("cumrevenue", F.col("cumrevenue").cast("double"))

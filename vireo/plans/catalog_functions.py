@@ -140,23 +140,41 @@ def udf_df(spark, sf):
     return p.select("p_partkey", _times_ten(F.col("p_size").cast("long")).alias("tensize"))
 
 
-@query("observe_metrics", sql="SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+@query("observe_metrics", sql="SELECT sum(l_quantity) AS qty, count(*) AS rows FROM lineitem")
 def observe_metrics(spark, sf):
+    """The metrics that were observed while the rows went through."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    observed, _obs = partitioning.observe_sums(li, {"qty": "l_quantity"})
-    return observed
+    observed, obs = partitioning.observe_sums(li, {"qty": "l_quantity"})
+    observed.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(obs.get["qty"], obs.get["rows"])], "qty double, rows long")
 
 
-@query("coalesce_parts", sql="SELECT l_orderkey FROM lineitem")
+@query("coalesce_parts", sql="SELECT l_orderkey, true AS fewer FROM lineitem")
 def coalesce_parts(spark, sf):
-    # fewer partitions without a shuffle; the rows themselves do not change
-    return table(spark, sf, "lineitem").select("l_orderkey").coalesce(2)
+    """Half the partitions without a shuffle (one at least); the rows do not change."""
+    li = table(spark, sf, "lineitem").select("l_orderkey").repartition(8, "l_orderkey")
+    half = partitioning.coalesce_share(li, 0.5)
+    return half.withColumn("fewer", F.spark_partition_id() < F.lit(max(1, li.rdd.getNumPartitions() // 2)))
 
 
-@query("custom_partition")
+@query("custom_partition", sql="SELECT p_partkey, p_name, true AS placed FROM part")
 def custom_partition(spark, sf):
-    c = table(spark, sf, "customer").select("c_custkey", "c_name")
-    return partitioning.with_pid(partitioning.partition_by_letter(c, "c_name", ["M"]))
+    """Whether every row lies in the partition that its letter names."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name")
+    at = partitioning.with_pid(partitioning.partition_by_letter(p, "p_name", ["F", "M", "S"]))
+    return at.select("p_partkey", "p_name", (F.col("pid") == partitioning.letter_bucket(F.col("p_name"), ["F", "M", "S"])).alias("placed"))
+
+
+@query("json_infer", sql="""
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+       CASE WHEN event_type = 'purchase' THEN event_type END AS extra FROM events""")
+def json_infer(spark, sf):
+    """A JSON column parsed with the schema of all its values; one field only some of them have."""
+    e = table(spark, sf, "events").select("event_id", "event_type", nested.json_path("props", "$.k").cast("long").alias("k"))
+    doc = F.to_json(F.struct("k", F.when(F.col("event_type") == "purchase", F.col("event_type")).alias("extra")))
+    docs = e.select("event_id", doc.alias("doc"))
+    schema = files.json_column_schema(docs, "doc")
+    return docs.select("event_id", F.from_json("doc", schema).alias("j")).select("event_id", F.col("j.k").cast("long").alias("k"), "j.extra")
 
 
 # ----------------------------------------------------------------- sources

@@ -45,11 +45,11 @@ def flatmap_array(spark, sf):
 
 
 @query("flatmap_sequence", sql="""
-SELECT p_partkey, unnest(generate_series(p_size, 5)) AS v FROM part WHERE p_size <= 5""")
+SELECT p_partkey, unnest(generate_series(p_size, 5)) AS v FROM part""")
 def flatmap_sequence(spark, sf):
     # Scala's ``x to 5`` is empty for x > 5; Spark's sequence would count down.
-    p = _t(spark, sf, "part").where(F.col("p_size") <= 5)
-    return project.flat_map(p, F.sequence("p_size", F.lit(5)), "v", keep=["p_partkey"])
+    upto = F.when(F.col("p_size") <= 5, F.sequence("p_size", F.lit(5))).otherwise(F.array().cast("array<int>"))
+    return project.flat_map(_t(spark, sf, "part"), upto, "v", keep=["p_partkey"])
 
 
 def _net_batches(batches):
@@ -65,21 +65,26 @@ def map_partitions(spark, sf):
     return project.map_partitions(li, _net_batches, "l_orderkey long, l_linenumber int, net double")
 
 
-@query("partition_index")
+@query("partition_index", sql="SELECT l_orderkey, l_linenumber, true AS numbered FROM lineitem")
 def partition_index(spark, sf):
-    return project.with_partition_index(_t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"))
+    """Every row with whether its partition's number is one of the scan's."""
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    n = li.rdd.getNumPartitions()
+    tagged = project.with_partition_index(li)
+    return tagged.select("l_orderkey", "l_linenumber", ((F.col("pid") >= 0) & (F.col("pid") < n)).alias("numbered"))
 
 
-@query("glom")
+@query("glom", sql="SELECT o_orderkey FROM orders")
 def glom(spark, sf):
-    return project.glom(_t(spark, sf, "orders"), "o_orderkey")
+    """The partitions' arrays, opened again."""
+    return project.glom(_t(spark, sf, "orders"), "o_orderkey").select(F.explode("items").alias("o_orderkey"))
 
 
 @query("key_by", sql="""
-SELECT upper(substring(c_name, 1, 1)) AS key, c_custkey, c_name FROM customer""")
+SELECT upper(substring(p_name, 1, 1)) AS key, p_partkey, p_name FROM part""")
 def key_by(spark, sf):
-    c = _t(spark, sf, "customer").select("c_custkey", "c_name")
-    return project.key_by(c, F.upper(F.substring("c_name", 1, 1)))
+    p = _t(spark, sf, "part").select("p_partkey", "p_name")
+    return project.key_by(p, F.upper(F.substring("p_name", 1, 1)))
 
 
 # ----------------------------------------------------------------- P08–P09
@@ -94,10 +99,10 @@ def zip_positional(spark, sf):
     return project.zip_positional(a, "c_custkey", b, "ord", ["c_custkey"], ["c_name"])
 
 
-@query("zip_partitions")
+@query("zip_partitions", sql="SELECT o_orderkey, o_custkey FROM orders")
 def zip_partitions(spark, sf):
-    o = _t(spark, sf, "orders")
-    return project.zip_partitions(o, o, "o_orderkey", "o_custkey")
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return project.zip_partitions(o, o, "o_orderkey", "o_custkey").select("o_orderkey", "o_custkey")
 
 
 # ----------------------------------------------------------------- P10–P17
@@ -317,14 +322,28 @@ def unpivot_stack(spark, sf):
     return _pivoted(spark, sf).selectExpr("o_custkey", "stack(3, 'F', F, 'O', O, 'P', P)")
 
 
-@query("sample_fraction")
+@query("sample_fraction", sql="SELECT true AS subset, true AS near FROM (SELECT count(*) FROM lineitem)")
 def sample_fraction(spark, sf):
-    return project.sample_fraction(_t(spark, sf, "lineitem"), 0.4, seed=5)
-
-
-@query("sample_n")
+    """Whether the sample's rows are rows of the table, and its size within five standard deviations."""
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    s = project.sample_fraction(li, 0.4, seed=5)
+    whole = li.agg(F.count(F.lit(1)).alias("n"))
+    known = s.join(li, ["l_orderkey", "l_linenumber"], "left_semi").agg(F.count(F.lit(1)).alias("known"))
+    size = s.agg(F.count(F.lit(1)).alias("s"))
+    one = whole.join(F.broadcast(size)).join(F.broadcast(known))   # one row each
+    return one.select((F.col("known") == F.col("s")).alias("subset"),
+                      (F.abs(F.col("s") - 0.4 * F.col("n")) <= 5 * F.sqrt(0.24 * F.col("n"))).alias("near"))
+
+
+@query("sample_n", sql="SELECT 2 AS drawn, 3 AS redrawn, true AS subset FROM (SELECT count(*) FROM orders)")
 def sample_n(spark, sf):
-    return project.sample_n(_t(spark, sf, "orders"), 2, seed=5)
+    """Sizes of a sample without and one with replacement, and whether their rows are the table's."""
+    o = _t(spark, sf, "orders").select("o_orderkey")
+    a = project.sample_n(o, 2, seed=5).withColumn("with", F.lit(0))
+    b = project.sample_n(o, 3, seed=6, with_replacement=True).withColumn("with", F.lit(1))
+    both = a.unionByName(b).join(o.withColumn("known", F.lit(1)), "o_orderkey", "left")
+    return both.agg(F.sum((F.col("with") == 0).cast("int")).cast("int").alias("drawn"), F.sum("with").cast("int").alias("redrawn"),
+                    (F.count("known") == F.count(F.lit(1))).alias("subset"))
 
 
 @query("row_fields", sql="SELECT c_custkey, c_acctbal FROM customer")
@@ -349,15 +368,16 @@ def join_inner(spark, sf):
 
 
 def _outer(spark, sf, how):
-    o = _o(spark, sf).where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_orderstatus")
-    li = _l(spark, sf).where(F.col("l_returnflag") == "R").select("l_orderkey", "l_linenumber")
-    return joins.join(o, li, o.o_orderkey == li.l_orderkey, how)
+    """Orders and lines counted per customer and per part: whole tables whose keys match only in part."""
+    o = _o(spark, sf).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"))
+    li = _l(spark, sf).groupBy("l_partkey").agg(F.count(F.lit(1)).alias("lines"))
+    return joins.join(o, li, o.o_custkey == li.l_partkey, how)
 
 
 _OUTER_SQL = """
-SELECT o_orderkey, o_orderstatus, l_orderkey, l_linenumber
-FROM (SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F') o
-{how} JOIN (SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R') l ON o_orderkey = l_orderkey"""
+SELECT o_custkey, orders, l_partkey, lines
+FROM (SELECT o_custkey, count(*) AS orders FROM orders GROUP BY 1) o
+{how} JOIN (SELECT l_partkey, count(*) AS lines FROM lineitem GROUP BY 1) l ON o_custkey = l_partkey"""
 
 
 @query("join_left", sql=_OUTER_SQL.format(how="LEFT"))
@@ -399,14 +419,16 @@ def join_using_one(spark, sf):
 
 
 @query("join_using_two", sql="""
-WITH a AS (SELECT l_partkey AS partkey, l_suppkey AS suppkey, l_orderkey FROM lineitem WHERE l_returnflag = 'R'),
-     b AS (SELECT l_partkey AS partkey, l_suppkey AS suppkey, l_linenumber FROM lineitem WHERE l_linestatus = 'O')
-SELECT partkey, suppkey, l_orderkey, l_linenumber FROM a JOIN b USING (partkey, suppkey)""")
+WITH b AS (SELECT l_partkey AS partkey, l_suppkey AS suppkey, count(*) AS n, sum(l_quantity) AS qty FROM lineitem GROUP BY 1, 2)
+SELECT partkey, suppkey, l_orderkey, l_linenumber, n, qty
+FROM (SELECT l_partkey AS partkey, l_suppkey AS suppkey, l_orderkey, l_linenumber FROM lineitem) a JOIN b USING (partkey, suppkey)""")
 def join_using_two(spark, sf):
+    """Every line with the size of its (part, supplier) group: one row on the right of each key."""
     li = _l(spark, sf)
-    a = li.where("l_returnflag = 'R'").select(F.col("l_partkey").alias("partkey"), F.col("l_suppkey").alias("suppkey"), "l_orderkey")
-    b = li.where("l_linestatus = 'O'").select(F.col("l_partkey").alias("partkey"), F.col("l_suppkey").alias("suppkey"), "l_linenumber")
-    return joins.join(a, b, ["partkey", "suppkey"], "inner").select("partkey", "suppkey", "l_orderkey", "l_linenumber")
+    keys = [F.col("l_partkey").alias("partkey"), F.col("l_suppkey").alias("suppkey")]
+    a = li.select(*keys, "l_orderkey", "l_linenumber")
+    b = li.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qty"))
+    return joins.join(a, b, ["partkey", "suppkey"], "inner").select("partkey", "suppkey", "l_orderkey", "l_linenumber", "n", "qty")
 
 
 @query("join_on_expr", sql="""
@@ -445,25 +467,22 @@ def join_left_nulls(spark, sf):
 
 
 @query("join_right_on", sql="""
-SELECT l_orderkey, l_linenumber, o_orderkey, o_orderstatus
-FROM (SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R') l
-RIGHT JOIN orders ON l_orderkey = o_orderkey""")
+SELECT l_orderkey, l_linenumber, o_orderkey, o_orderstatus FROM lineitem RIGHT JOIN orders ON l_orderkey = o_orderkey""")
 def join_right_on(spark, sf):
-    li = _l(spark, sf).where("l_returnflag = 'R'").select("l_orderkey", "l_linenumber")
+    li = _l(spark, sf).select("l_orderkey", "l_linenumber")
     o = _o(spark, sf).select("o_orderkey", "o_orderstatus")
     return joins.join(li, o, li.l_orderkey == o.o_orderkey, "right_outer")
 
 
 @query("join_full_on", sql="""
-SELECT a.l_orderkey AS a_order, a.l_linenumber AS a_line, b.l_orderkey AS b_order, b.l_linenumber AS b_line
-FROM (SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R') a
-FULL OUTER JOIN (SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_linestatus = 'O') b
-ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber""")
+SELECT a_cust, a_status, a_n, b_cust, b_status, b_n
+FROM (SELECT o_custkey AS a_cust, o_orderstatus AS a_status, count(*) AS a_n FROM orders GROUP BY 1, 2) a
+FULL OUTER JOIN (SELECT l_suppkey AS b_cust, l_linestatus AS b_status, count(*) AS b_n FROM lineitem GROUP BY 1, 2) b
+ON a_cust = b_cust AND a_status = b_status""")
 def join_full_on(spark, sf):
-    li = _l(spark, sf)
-    a = li.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("a_order"), F.col("l_linenumber").alias("a_line"))
-    b = li.where("l_linestatus = 'O'").select(F.col("l_orderkey").alias("b_order"), F.col("l_linenumber").alias("b_line"))
-    return joins.join(a, b, (F.col("a_order") == F.col("b_order")) & (F.col("a_line") == F.col("b_line")), "full_outer")
+    a = _o(spark, sf).groupBy(F.col("o_custkey").alias("a_cust"), F.col("o_orderstatus").alias("a_status")).agg(F.count(F.lit(1)).alias("a_n"))
+    b = _l(spark, sf).groupBy(F.col("l_suppkey").alias("b_cust"), F.col("l_linestatus").alias("b_status")).agg(F.count(F.lit(1)).alias("b_n"))
+    return joins.join(a, b, (F.col("a_cust") == F.col("b_cust")) & (F.col("a_status") == F.col("b_status")), "full_outer")
 
 
 @query("join_semi", sql="""
@@ -492,34 +511,28 @@ def join_self(spark, sf):
 
 
 @query("join_with_structs", sql="""
-SELECT c_custkey AS cust, s_suppkey AS supp, c_nationkey AS nation
-FROM customer JOIN supplier ON c_nationkey = s_nationkey""")
+SELECT c_custkey AS cust, o_orderkey AS ord, c_nationkey AS nation
+FROM customer JOIN orders ON c_custkey = o_custkey""")
 def join_with_structs(spark, sf):
     c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    s = _t(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    pairs = joins.join_with(c, s, lambda t, u: t["c_nationkey"] == u["s_nationkey"])
-    return pairs.select(F.col("_1.c_custkey").alias("cust"), F.col("_2.s_suppkey").alias("supp"),
+    o = _o(spark, sf).select("o_orderkey", "o_custkey")
+    pairs = joins.join_with(c, o, lambda t, u: t["c_custkey"] == u["o_custkey"])
+    return pairs.select(F.col("_1.c_custkey").alias("cust"), F.col("_2.o_orderkey").alias("ord"),
                         F.col("_1.c_nationkey").alias("nation"))
 
 
 # ----------------------------------------------------------------- U01–U03
 @query("union_all", sql="""
-SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem WHERE l_returnflag = 'R'
-UNION ALL SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem WHERE l_linestatus = 'O'""")
+SELECT o_custkey AS key, o_orderdate AS day FROM orders UNION ALL SELECT l_suppkey, l_shipdate FROM lineitem""")
 def union_all(spark, sf):
-    li = _l(spark, sf).select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    a = li.where("l_returnflag = 'R'").drop("l_linestatus")
-    b = li.where("l_linestatus = 'O'").drop("l_linestatus")
+    a = _o(spark, sf).select(F.col("o_custkey").alias("key"), F.col("o_orderdate").alias("day"))
+    b = _l(spark, sf).select(F.col("l_suppkey").alias("key"), F.col("l_shipdate").alias("day"))
     return setops.union_all(a, b)
 
 
-@query("union_distinct", sql="""
-SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'R'
-UNION SELECT l_suppkey FROM lineitem WHERE l_linestatus = 'O'""")
+@query("union_distinct", sql="SELECT o_custkey AS key FROM orders UNION SELECT l_suppkey FROM lineitem")
 def union_distinct(spark, sf):
-    li = _l(spark, sf)
-    return setops.union_distinct(li.where("l_returnflag = 'R'").select("l_suppkey"),
-                                 li.where("l_linestatus = 'O'").select("l_suppkey"))
+    return setops.union_distinct(_o(spark, sf).select(F.col("o_custkey").alias("key")), _l(spark, sf).select(F.col("l_suppkey").alias("key")))
 
 
 @query("split_complement", sql="""
