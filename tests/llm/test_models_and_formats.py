@@ -186,7 +186,7 @@ def test_hosts_paths_and_rules(spark):
     assert url_filter.judge(df.limit(0), queries.RULES).collect() == []
 
 
-@pytest.mark.parametrize("blocks", [1, 64])
+@pytest.mark.parametrize("blocks", [1, 512])
 def test_bloom_filter_misses_nothing_and_the_join_is_exact(spark, monkeypatch, blocks):
     monkeypatch.setattr(bloom, "MAX_BLOCKS", blocks)
     monkeypatch.setattr(bloom, "blocks_for", lambda keys: blocks)
