@@ -188,3 +188,24 @@ def test_distributed_paths_do_not_rely_on_exchange_reuse(spark):
         assert sorted(map(tuple, s1.collect()), key=repr) == sorted(map(tuple, s2.collect()), key=repr)
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_checkpoints_go_when_their_result_is_released(spark):
+    import gc
+    import time
+    from pathlib import Path
+    from urllib.parse import urlparse
+    from vireo.session import checkpoint_dir
+    folder = Path(urlparse(checkpoint_dir(spark)).path)
+    rdds = lambda: {p.name for p in folder.glob("**/rdd-*")}
+    before = rdds()
+    out = running_sum(_data(spark, n=500, seed=3), "v", "o", "cum", num_partitions=3)
+    assert out.count() == 500 and rdds() - before
+    del out
+    for _ in range(30):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
+        if not rdds() - before:
+            break
+    assert not rdds() - before
