@@ -21,7 +21,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that another line stands for, n_chars with them; documents of which nothing is left go."""
     kept = line_dedup.dedup_lines(docs, drop_emptied=True)
-    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.withColumns({c: F.length("text").cast(kind) for c, kind in docs.dtypes if c == "n_chars"})
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
