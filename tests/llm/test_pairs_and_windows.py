@@ -186,3 +186,35 @@ def test_line_dedup_of_repeated_rows_and_no_rows(spark):
     assert sorted(str(r.text) for r in line_dedup.dedup_lines(docs).collect()) == ["", "None", "a line that is repeated"]
     assert line_dedup.dedup_lines(docs, drop_emptied=True).count() == 2
     assert line_dedup.dedup_lines(docs.limit(0), counts=True).collect() == []
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.6])
+def test_lines_of_few_shingles_share_a_key_with_every_similar_line(spark, threshold):
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    pairs = []
+    for n in [*range(8, 61)] * 8 + [90, 120, 134, 135, 150] * 12:
+        s = n - 7
+        base = word(n)
+        most = int(s / threshold + 1e-9) - s  # shingles that the other may have besides
+        head = rng.randrange(most + 1)
+        pairs += [(base, base + word(most)), (base, word(head) + base + word(most - head)), (base, base[int(s * (1 - threshold) + 1e-9):])]
+    pairs += [("y" * 900, "y" * 8), ("ab" * 30, "ab" * 200), ("abc", "abc")]
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "id long, a string, b string").repartition(4)
+    left, right = ({r.id: set(r.bands) for r in line_dedup.with_bands(frame.select("id", x), x, 8, threshold).select("id", "bands").collect()} for x in "ab")
+    apart = [i for i in left if not left[i] & right[i]]
+    # two lines of LONG shingles and more have bands only
+    assert not [(len(pairs[i][0]), len(pairs[i][1])) for i in apart if min(map(len, pairs[i])) - 7 < line_dedup.LONG]
+
+
+def test_short_lines_match_brute_force(spark):
+    rng = random.Random(13)
+    word = lambda n: "".join(rng.choices("abcdefgh ", k=n)).strip() or "a"
+    texts = []
+    for n in [*range(10, 61)] * 4:
+        base = word(n)
+        texts += [base, base + word(max(1, (n - 7) // 4)), base + word(max(1, (n - 7) // 8)), word(2) + base]
+    rng.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = line_dedup.dedup_lines(docs, drop_emptied=True).collect()
+    assert len(got) == len(brute.dedup_lines(texts)[0])
