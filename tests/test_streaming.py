@@ -351,3 +351,28 @@ def test_replay_without_rows_replaces_the_batch(spark, tmp_path):
     write(spark.range(2), 1)
     assert spark.read.parquet(str(tmp_path / "out")).where("batch_id = 0").count() == 0
     assert spark.read.parquet(str(tmp_path / "out")).where("batch_id = 1").count() == 2
+
+
+def test_last_update_of_a_key_stands_when_sums_fall(spark, tmp_path, monkeypatch):
+    """One file a batch, with negative addends: the result is the last running sum, not the largest."""
+    import datetime as dt
+    import os
+
+    import pandas as pd
+
+    from vireo.plans import catalog_streaming as c
+    at = pd.Timestamp("2024-05-01 10:00:00")
+    os.mkdir(tmp_path / "lineitem.parquet")
+    os.mkdir(tmp_path / "events.parquet")
+    for i, v in enumerate([10.0, -4.0, -3.0]):
+        frames = {"lineitem": pd.DataFrame({"l_partkey": [1], "l_quantity": [v], "l_shipdate": [dt.date(2024, 5, 1)]}),
+                  "events": pd.DataFrame({"user_id": [7], "ts": pd.Series([at + pd.Timedelta(minutes=i)]).astype("datetime64[us]"), "value": [v]})}
+        for name, frame in frames.items():
+            file = tmp_path / f"{name}.parquet" / f"part-{i}.parquet"
+            frame.to_parquet(file, index=False)
+            os.utime(file, (1700000000 + 10 * i, 1700000000 + 10 * i))
+    pd.DataFrame({"p_partkey": [1], "p_brand": ["Brand#1"], "p_retailprice": [2.0]}).to_parquet(tmp_path / "part.parquet", index=False)
+    whole = c.file_table_stream
+    monkeypatch.setattr(c, "file_table_stream", lambda spark, path, schema: whole(spark, path, schema, max_files_per_trigger=1))
+    assert [tuple(r) for r in c.stream_keyed_sums(spark, str(tmp_path)).collect()] == [("Brand#1", 3.0)]
+    assert [(r.key, r.events, r.total) for r in c.stream_sessions(spark, str(tmp_path)).collect()] == [("7", 3, 3.0)]

@@ -38,19 +38,29 @@ def _folder(spark) -> str:
     return scratch_path(spark, f"stream-{uuid.uuid4().hex}")
 
 
-def finished(df: DataFrame, mode: str) -> DataFrame:
-    """Rows that the stream wrote: those of all batches (append, update) or the last full result (complete)."""
+def finished(df: DataFrame, mode: str, batch_column: str | None = None) -> DataFrame:
+    """Rows that the stream wrote: those of all batches (append, update) or the last full result (complete).
+    ``batch_column`` adds the id of the batch that wrote a row."""
     spark, folder = df.sparkSession, _folder(df.sparkSession)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         # complete: one folder that each batch replaces; else one folder a batch, replaced by a replay
         name = "all" if mode == "complete" else f"batch={int(batch_id)}"
-        batch.write.mode("overwrite").parquet(f"{folder}/data/{name}")
+        out = batch.withColumn(batch_column, F.lit(int(batch_id)).cast("long")) if batch_column else batch
+        out.write.mode("overwrite").parquet(f"{folder}/data/{name}")
 
     run = (df.writeStream.foreachBatch(store).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint")
            .trigger(availableNow=True).start())
     q.await_all(spark, [run])
-    return spark.read.schema(df.schema).parquet(f"{folder}/data/*")
+    schema = df.withColumn(batch_column, F.lit(0).cast("long")).schema if batch_column else df.schema
+    return spark.read.schema(schema).parquet(f"{folder}/data/*")
+
+
+def last_values(out: DataFrame, keys: list[str], batch_column: str) -> DataFrame:
+    """The row that the last batch wrote for each key: running values may fall, so the largest need not be the last."""
+    values = [c for c in out.columns if c not in (*keys, batch_column)]
+    last = out.groupBy(*keys).agg(F.max_by(F.struct(*values), batch_column).alias("_last"))
+    return last.select(*keys, *[F.col("_last")[c].alias(c) for c in values])
 
 
 # ----------------------------------------------------------------- R01 / R02
@@ -120,8 +130,7 @@ def _quotes(spark, sf) -> DataFrame:
 SELECT p_brand AS symbol, sum(l_quantity) AS sum_qty FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""")
 def stream_keyed_sums(spark, sf):
     """Keyed sums, update mode; the key has no event time, so its state is one row per symbol."""
-    out = finished(q.keyed_sums(_quotes(spark, sf), "symbol", ["qty"]), "update")
-    return out.groupBy("symbol").agg(F.max("sum_qty").alias("sum_qty"))
+    return last_values(finished(q.keyed_sums(_quotes(spark, sf), "symbol", ["qty"]), "update", "_batch"), ["symbol"], "_batch")
 
 
 @query("stream_symbol_filter", sql="""
@@ -144,8 +153,8 @@ FROM s GROUP BY user_id, sid""")
 def stream_sessions(spark, sf):
     """The stateful records; the last one of each session."""
     e = _events(spark, sf).select("user_id", "ts", "value")
-    out = finished(session_updates(e, "user_id", "ts", 30 * 60 * 1000, "1 hour", "value"), "append")
-    last = out.groupBy("key", "session_start").agg(F.max("session_end").alias("session_end"), F.max("events").alias("events"), F.max("total").alias("total"))
+    out = finished(session_updates(e, "user_id", "ts", 30 * 60 * 1000, "1 hour", "value"), "append", "_batch")
+    last = last_values(out.select("key", "session_start", "session_end", "events", "total", "_batch"), ["key", "session_start"], "_batch")
     return _naive(last, "session_start", "session_end").withColumn("total", F.round("total", 2))
 
 
