@@ -376,3 +376,15 @@ def test_last_update_of_a_key_stands_when_sums_fall(spark, tmp_path, monkeypatch
     monkeypatch.setattr(c, "file_table_stream", lambda spark, path, schema: whole(spark, path, schema, max_files_per_trigger=1))
     assert [tuple(r) for r in c.stream_keyed_sums(spark, str(tmp_path)).collect()] == [("Brand#1", 3.0)]
     assert [(r.key, r.events, r.total) for r in c.stream_sessions(spark, str(tmp_path)).collect()] == [("7", 3, 3.0)]
+
+
+def test_quote_stats_streams_are_registered(spark):
+    """R08 and R09 run over the whole lineitem stream, as the batch twin."""
+    import __spark_entry__ as entry
+    from vireo.plans.quotes import quote_stats, quotes
+    twin = quote_stats(quotes(spark, SF_SMALL))
+    want = _rows(twin, twin.columns)
+    for name in ("stream_quote_stats", "stream_quote_stats_watermark"):
+        assert name in entry.oracle_sql()
+        got = entry.queries()[name](spark, SF_SMALL)
+        assert got.columns == twin.columns and _rows(got, twin.columns) == want

@@ -9,8 +9,9 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vireo.plans import catalog_aggregate  # noqa: F401 - registers the oracle of quote_stats
 from vireo.plans.catalog_analytics import _WORDS_SQL, word_freq
-from vireo.plans.registry import query
+from vireo.plans.registry import ORACLES, query
 from vireo.sources.files import scratch_path
 from vireo.sources.tables import table
 from vireo.streaming import queries as q
@@ -126,10 +127,32 @@ def _quotes(spark, sf) -> DataFrame:
         F.col("p_brand").alias("symbol"), F.col("l_quantity").alias("qty"), F.col("l_shipdate").cast("timestamp").alias("ts"))
 
 
+def _full_quotes(spark, sf) -> DataFrame:
+    """The frame of ``plans.quotes.quotes`` over a stream of lineitem, with its time."""
+    li = stream(spark, sf, "lineitem")
+    part = table(spark, sf, "part").select("p_partkey", "p_brand", "p_retailprice")
+    return li.join(part, li.l_partkey == part.p_partkey).select(
+        F.col("p_brand").alias("symbol"), F.col("p_retailprice").alias("close"), F.col("l_quantity").alias("qty"),
+        F.col("l_extendedprice").alias("value"), F.col("l_shipdate").cast("timestamp").alias("ts"))
+
+
+@query("stream_quote_stats", sql=ORACLES["quote_stats"])
+def stream_quote_stats(spark, sf):
+    """Quote statistics, complete mode."""
+    return finished(q.quote_stats_stream(_full_quotes(spark, sf)), "complete")
+
+
+@query("stream_quote_stats_watermark", sql=ORACLES["quote_stats"])
+def stream_quote_stats_watermark(spark, sf):
+    """With a watermark, update mode; the key has no event time, so no row is late."""
+    out = finished(q.quote_stats_stream(_full_quotes(spark, sf), ts="ts", watermark="30 seconds"), "update", "_batch")
+    return last_values(out, ["symbol"], "_batch")
+
+
 @query("stream_keyed_sums", sql="""
 SELECT p_brand AS symbol, sum(l_quantity) AS sum_qty FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""")
 def stream_keyed_sums(spark, sf):
-    """Keyed sums, update mode; the key has no event time, so its state is one row per symbol."""
+    """Keyed sums, update mode; the key has no event time, so its state is one row per symbol."""
     return last_values(finished(q.keyed_sums(_quotes(spark, sf), "symbol", ["qty"]), "update", "_batch"), ["symbol"], "_batch")
 
 
