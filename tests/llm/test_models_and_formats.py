@@ -172,6 +172,16 @@ def test_conversations_with_nulls_ties_and_no_neighbour(spark):
     assert preference.swapped_replies(df.limit(0)).collect() == []
 
 
+def test_spliced_sides_part_at_any_turn_and_go_on_for_several(spark):
+    folder = "/root/testdata/sf0.01"
+    got = queries.preference_spliced(spark, folder).collect()
+    turns_of = {r.conv_id: r["count"] for r in queries.read(spark, folder, "conversations").groupBy("conv_id").count().collect()}
+    assert {r.conv_id for r in got} == {c for c in turns_of if c is not None}
+    assert any(r.prompt_turns == 0 for r in got) and any(0 < r.prompt_turns < turns_of[r.conv_id] - 1 for r in got)
+    for side in ("chosen", "rejected"):
+        assert any(r[f"{side}_text"].count("<|end|>") > 2 and "," in r[f"{side}_spans"] for r in got)
+
+
 # 9 URL filter
 
 def test_hosts_paths_and_rules(spark):

@@ -89,3 +89,19 @@ def swapped_replies(conversations: DataFrame) -> DataFrame:
     kept = F.slice(F.col("chosen"), F.lit(1), F.size("chosen") - 1)
     empty = F.array().cast("array<struct<turn:bigint,role:string,text:string>>")
     return convs.join(last, "conv_id", "left").select("conv_id", "chosen", F.concat(kept, F.coalesce("reply", empty)).alias("rejected"))
+
+
+def spliced_tails(conversations: DataFrame) -> DataFrame:
+    """(conv_id, chosen, rejected): a conversation of n turns against its first turns followed by its neighbour's turns from there on.
+
+    The number of turns kept, 0 to n, is the length of the first turn's text
+    modulo n + 1, so that sides part at any turn and go on for several.
+    Neighbours are those of :func:`swapped_replies`; without one the rejected
+    side ends at the cut.
+    """
+    convs = collect_turns(conversations, "chosen")
+    other = convs.select((F.col("conv_id").bitwiseXOR(F.lit(1))).alias("conv_id"), F.col("chosen").alias("other"))
+    empty = F.array().cast("array<struct<turn:bigint,role:string,text:string>>")
+    cut = F.length(F.get(F.col("chosen"), F.lit(0))["text"]) % (F.size("chosen") + 1)
+    tail = F.slice(F.coalesce("other", empty), cut + 1, F.greatest(F.size(F.coalesce("other", empty)), F.lit(1)))
+    return convs.join(other, "conv_id", "left").select("conv_id", "chosen", F.concat(F.slice(F.col("chosen"), F.lit(1), cut), tail).alias("rejected"))

@@ -92,13 +92,22 @@ FROM m
 """
 
 
-def op7_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = preference.format_pairs(preference.swapped_replies(read(spark, sf_dir, "conversations")))
+def _preference(sides: DataFrame) -> DataFrame:
+    pairs = preference.format_pairs(sides)
     text = lambda c: F.array_join(F.transform(F.col(c), lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
     return pairs.select("conv_id", F.col("prompt_turns").cast("long").alias("prompt_turns"), "prompt", "chosen_text", text("chosen_spans").alias("chosen_spans"),
                         "rejected_text", text("rejected_spans").alias("rejected_spans"))
 
 
+def op7_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _preference(preference.swapped_replies(read(spark, sf_dir, "conversations")))
+
+
+def preference_spliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7 on sides that part at any turn and go on for several."""
+    return _preference(preference.spliced_tails(read(spark, sf_dir, "conversations")))
+
+
 OP7_SQL = r"""
 WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
              row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
@@ -123,6 +132,14 @@ SELECT f.conv_id, CAST(prompt_turns AS BIGINT) AS prompt_turns, prompt, chosen_t
 """
 
 
+#: As OP7_SQL, with the rejected side (r) of ``preference.spliced_tails``.
+SPLICED_SQL = OP7_SQL[:OP7_SQL.index("r AS (")] + r"""
+cut AS (SELECT conv_id, length(text) % (n + 1) AS kept FROM t WHERE i = 1),
+r AS (SELECT t.conv_id, role, text, i FROM t JOIN cut USING (conv_id) WHERE i <= kept
+      UNION ALL SELECT cut.conv_id, b.role, b.text, b.i FROM cut JOIN t b ON b.conv_id = xor(cut.conv_id, 1) AND b.i > kept),
+""" + OP7_SQL[OP7_SQL.index("x AS ("):]
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
 
@@ -169,5 +186,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
-QUERIES = {"op1_crf_quality": op1_crf_quality, "op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op4_byte_bpe": op4_byte_bpe, "op5_bit_sliced": op5_bit_sliced, "op6_warc": op6_warc, "op7_preference": op7_preference, "op8_line_dedup": op8_line_dedup, "op9_url_filter": op9_url_filter, "op10_language_id": op10_language_id}
-ORACLE_SQL = {"op2_decontaminate": OP2_SQL, "op5_bit_sliced": OP5_SQL, "op6_warc": OP6_SQL, "op7_preference": OP7_SQL, "op9_url_filter": OP9_SQL}
+QUERIES = {"op1_crf_quality": op1_crf_quality, "op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op4_byte_bpe": op4_byte_bpe, "op5_bit_sliced": op5_bit_sliced, "op6_warc": op6_warc, "op7_preference": op7_preference, "op8_line_dedup": op8_line_dedup, "op9_url_filter": op9_url_filter, "op10_language_id": op10_language_id, "preference_spliced": preference_spliced}
+ORACLE_SQL = {"op2_decontaminate": OP2_SQL, "op5_bit_sliced": OP5_SQL, "op6_warc": OP6_SQL, "op7_preference": OP7_SQL, "op9_url_filter": OP9_SQL, "preference_spliced": SPLICED_SQL}
