@@ -207,6 +207,18 @@ def test_lines_of_few_shingles_share_a_key_with_every_similar_line(spark, thresh
     assert not [(len(pairs[i][0]), len(pairs[i][1])) for i in apart if min(map(len, pairs[i])) - 7 < line_dedup.LONG]
 
 
+def test_line_lengths_from_which_a_change_inside_links(spark):
+    """The lengths that docstring and README name: one character from 79 on, a word of six letters from 124 on."""
+    rng = random.Random(14)
+    texts = []
+    for n, changed in ((78, 1), (79, 1), (123, 6), (124, 6)):
+        base = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+        texts += [base, base[:n // 2] + "0123456"[:changed] + base[n // 2 + changed:]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = sorted(r.doc_id for r in line_dedup.dedup_lines(docs, drop_emptied=True).collect())
+    assert got == [0, 1, 2, 4, 5, 6]
+
+
 def test_short_lines_match_brute_force(spark):
     rng = random.Random(13)
     word = lambda n: "".join(rng.choices("abcdefgh ", k=n)).strip() or "a"
