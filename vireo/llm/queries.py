@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.llm import bit_sliced, byte_bpe, crf_quality, decontaminate, language_id, line_dedup, ngram_join, preference, url_filter, warc
+from vireo.llm import bit_sliced, byte_bpe, crf_quality, decontaminate, language_id, line_dedup, ngram_join, preference, suffix_dedup, url_filter, warc
 from vireo.llm.common import Scratch, read
 
 RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
@@ -186,5 +186,28 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
-QUERIES = {"op1_crf_quality": op1_crf_quality, "op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op4_byte_bpe": op4_byte_bpe, "op5_bit_sliced": op5_bit_sliced, "op6_warc": op6_warc, "op7_preference": op7_preference, "op8_line_dedup": op8_line_dedup, "op9_url_filter": op9_url_filter, "op10_language_id": op10_language_id, "preference_spliced": preference_spliced}
-ORACLE_SQL = {"op2_decontaminate": OP2_SQL, "op5_bit_sliced": OP5_SQL, "op6_warc": OP6_SQL, "op7_preference": OP7_SQL, "op9_url_filter": OP9_SQL, "preference_spliced": SPLICED_SQL}
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+                      F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP13_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+s AS (SELECT r, doc_id, i, b[i:i + 49] AS s FROM (SELECT r, doc_id, b, CAST(unnest(range(1, octet_length(b) - 48)) AS BIGINT) AS i FROM d)),
+f AS (SELECT s, min(doc_id) AS first FROM s GROUP BY s),
+hit AS (SELECT r, i FROM s JOIN f USING (s) WHERE first < doc_id),
+mark AS (SELECT r, i, CASE WHEN i > 50 + coalesce(lag(i) OVER (PARTITION BY r ORDER BY i), -100) THEN 1 ELSE 0 END AS new FROM hit),
+run AS (SELECT r, min(i) AS a, max(i) + 50 AS z FROM (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS g FROM mark) GROUP BY r, g),
+edge AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 1) AS since FROM run),
+kept AS (SELECT r, a AS o, hex(b[since:a - 1]) AS h, z - a AS n, 1 AS k FROM edge JOIN d USING (r)
+         UNION ALL SELECT r, 1 + octet_length(b), hex(b[coalesce(z, 1):octet_length(b)]), 0, 0 FROM d LEFT JOIN (SELECT r, max(z) AS z FROM run GROUP BY r) USING (r)),
+whole AS (SELECT r, sum(n) AS n_removed, sum(k) AS n_spans, string_agg(h, '' ORDER BY o, k DESC) AS h FROM kept GROUP BY r)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans, sha256(unhex(h)) AS kept_sha256
+FROM d JOIN whole USING (r)
+"""
+
+
+QUERIES = {"op1_crf_quality": op1_crf_quality, "op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op4_byte_bpe": op4_byte_bpe, "op5_bit_sliced": op5_bit_sliced, "op6_warc": op6_warc, "op7_preference": op7_preference, "op8_line_dedup": op8_line_dedup, "op9_url_filter": op9_url_filter, "op10_language_id": op10_language_id, "op13_suffix_dedup": op13_suffix_dedup, "preference_spliced": preference_spliced}
+ORACLE_SQL = {"op2_decontaminate": OP2_SQL, "op5_bit_sliced": OP5_SQL, "op6_warc": OP6_SQL, "op7_preference": OP7_SQL, "op9_url_filter": OP9_SQL, "op13_suffix_dedup": OP13_SQL, "preference_spliced": SPLICED_SQL}
