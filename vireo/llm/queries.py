@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.llm import bit_sliced, byte_bpe, crf_quality, decontaminate, language_id, line_dedup, ngram_join, preference, suffix_dedup, url_filter, warc
+from vireo.llm import bit_sliced, byte_bpe, collocations, crf_quality, decontaminate, language_id, line_dedup, ngram_join, preference, suffix_dedup, url_filter, warc
 from vireo.llm.common import Scratch, read
 
 RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
@@ -186,6 +186,30 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents").select("text", "lang"))
+
+
+OP11_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, array_to_string(w[CAST(i AS BIGINT):CAST(i + k - 1 AS BIGINT)], ' ') AS phrase
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS s(k))),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND f >= 10),
+cut AS (SELECT lang, phrase, a, i, array_to_string(w[1:CAST(i AS BIGINT)], ' ') AS x, array_to_string(w[CAST(i + 1 AS BIGINT):k], ' ') AS y
+        FROM (SELECT *, unnest(range(1, k)) AS i FROM c)),
+s AS (SELECT cut.lang, cut.phrase, a, i, u.f AS l, v.f AS r, CAST(1000000 AS HUGEINT) * a * a // (CAST(u.f AS HUGEINT) * v.f) AS score
+      FROM cut JOIN f u ON u.lang = cut.lang AND u.phrase = cut.x JOIN f v ON v.lang = cut.lang AND v.phrase = cut.y),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+longer AS (SELECT lang, phrase, max(a) AS a FROM (SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM c WHERE k = 3 UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM c WHERE k = 3) GROUP BY ALL),
+kept AS (SELECT b.* FROM b LEFT JOIN longer o USING (lang, phrase) WHERE o.a IS NULL OR 100 * o.a < 50 * b.a)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
@@ -209,5 +233,5 @@ FROM d JOIN whole USING (r)
 """
 
 
-QUERIES = {"op1_crf_quality": op1_crf_quality, "op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op4_byte_bpe": op4_byte_bpe, "op5_bit_sliced": op5_bit_sliced, "op6_warc": op6_warc, "op7_preference": op7_preference, "op8_line_dedup": op8_line_dedup, "op9_url_filter": op9_url_filter, "op10_language_id": op10_language_id, "op13_suffix_dedup": op13_suffix_dedup, "preference_spliced": preference_spliced}
-ORACLE_SQL = {"op2_decontaminate": OP2_SQL, "op5_bit_sliced": OP5_SQL, "op6_warc": OP6_SQL, "op7_preference": OP7_SQL, "op9_url_filter": OP9_SQL, "op13_suffix_dedup": OP13_SQL, "preference_spliced": SPLICED_SQL}
+QUERIES = {"op1_crf_quality": op1_crf_quality, "op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op4_byte_bpe": op4_byte_bpe, "op5_bit_sliced": op5_bit_sliced, "op6_warc": op6_warc, "op7_preference": op7_preference, "op8_line_dedup": op8_line_dedup, "op9_url_filter": op9_url_filter, "op10_language_id": op10_language_id, "op11_collocations": op11_collocations, "op13_suffix_dedup": op13_suffix_dedup, "preference_spliced": preference_spliced}
+ORACLE_SQL = {"op2_decontaminate": OP2_SQL, "op5_bit_sliced": OP5_SQL, "op6_warc": OP6_SQL, "op7_preference": OP7_SQL, "op9_url_filter": OP9_SQL, "op11_collocations": OP11_SQL, "op13_suffix_dedup": OP13_SQL, "preference_spliced": SPLICED_SQL}
