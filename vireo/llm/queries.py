@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.llm import bit_sliced, byte_bpe, collocations, crf_quality, decontaminate, language_id, line_dedup, ngram_join, preference, suffix_dedup, url_filter, warc
+from vireo.llm import bit_sliced, byte_bpe, collocations, crf_quality, decontaminate, language_id, line_dedup, ngram_join, preference, suffix_dedup, turn_repair, url_filter, warc
 from vireo.llm.common import Scratch, read
 
 RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
@@ -210,6 +210,58 @@ FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC
 """
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    edits, totals = turn_repair.repair(turn_repair.damage(conversations), Scratch(spark))
+    turn = F.when(F.col("edit") != "D", F.concat_ws(":", "role", "text"))
+    told = edits.groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("at", "edit", turn.alias("turn")))).alias("e"))
+    told = told.select("conv", F.array_join("e.edit", "").alias("audit"), F.array_join("e.turn", "\n").alias("repaired"))
+    ids = conversations.select("conv_id").distinct()
+    out = ids.join(totals, ids["conv_id"].eqNullSafe(totals["conv"]), "left").join(told, ids["conv_id"].eqNullSafe(told["conv"]), "left")
+    counts = [F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.sha2(F.coalesce("repaired", F.lit("")), 256).alias("repaired_sha256"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(CAST(3988292384 AS BIGINT), c // 2) ELSE c // 2 END)) AS t),
+k AS (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+h AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        xor(CAST(4294967295 AS BIGINT), list_reduce(list_transform(range(0, CAST(length(key) + 1 AS BIGINT)), lambda i: CASE WHEN i = 0 THEN CAST(4294967295 AS BIGINT) ELSE CAST(ascii(substr(key, i, 1)) AS BIGINT) END),
+          lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1]))) % 20 AS kind FROM k, tab),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+      FROM h, (VALUES (1), (2)) AS v(copy) WHERE kind <> 0 AND (copy = 1 OR kind = 3)),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, count(*) OVER (PARTITION BY conv_id) AS n,
+        rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed, substr(role, 1, 1) AS y FROM d),
+f AS (SELECT conv_id, turn, role, text, i, n, y,
+        CASE WHEN trimmed = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'ok' END AS fault,
+        i > 1 AND coalesce(lag(y) OVER (PARTITION BY conv_id ORDER BY i), '') || y NOT IN ('su', 'ua', 'au') AS illegal FROM n),
+s AS (SELECT *, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS t, fault NOT IN ('blank', 'duplicate') AS may FROM f),
+r AS (SELECT conv_id, max(n) + 1 AS i, {'c': 0, 's': ''} AS v0, {'c': 10, 's': 'II'} AS vs, {'c': 5, 's': 'I'} AS vu, {'c': 0, 's': ''} AS va FROM s GROUP BY conv_id
+      UNION ALL
+      SELECT conv_id, i, list_min([b0, {'c': 5 + u.c, 's': 'I' || u.s}]), list_min([bs, {'c': 5 + u.c, 's': 'I' || u.s}]), u, a
+      FROM (SELECT conv_id, i, b0, bs, list_min([bu, {'c': 5 + ba.c, 's': 'I' || ba.s}]) AS u, list_min([ba, {'c': 5 + bu.c, 's': 'I' || bu.s}]) AS a
+        FROM (SELECT r.conv_id, s.i,
+            list_min([{'c': 2 + v0.c, 's': 'D' || v0.s}, {'c': CASE WHEN may THEN 1 + t + vu.c ELSE 1000000000 END, 's': 'R' || vu.s},
+                      {'c': CASE WHEN may AND y = 's' THEN t + vs.c WHEN may AND y = 'u' THEN t + vu.c ELSE 1000000000 END, 's': 'K' || CASE WHEN y = 's' THEN vs.s ELSE vu.s END}]) AS b0,
+            list_min([{'c': 2 + vs.c, 's': 'D' || vs.s}, {'c': CASE WHEN may THEN 1 + t + vu.c ELSE 1000000000 END, 's': 'R' || vu.s}, {'c': CASE WHEN may AND y = 'u' THEN t + vu.c ELSE 1000000000 END, 's': 'K' || vu.s}]) AS bs,
+            list_min([{'c': 2 + vu.c, 's': 'D' || vu.s}, {'c': CASE WHEN may THEN 1 + t + va.c ELSE 1000000000 END, 's': 'R' || va.s}, {'c': CASE WHEN may AND y = 'a' THEN t + va.c ELSE 1000000000 END, 's': 'K' || va.s}]) AS bu,
+            list_min([{'c': 2 + va.c, 's': 'D' || va.s}, {'c': CASE WHEN may THEN 1 + t + vu.c ELSE 1000000000 END, 's': 'R' || vu.s}, {'c': CASE WHEN may AND y = 'u' THEN t + vu.c ELSE 1000000000 END, 's': 'K' || vu.s}]) AS ba
+          FROM r JOIN s ON s.conv_id IS NOT DISTINCT FROM r.conv_id AND s.i = r.i - 1))),
+best AS (SELECT conv_id, v0.c AS cost, v0.s AS audit FROM r WHERE i = 1),
+e AS (SELECT conv_id, j, substr(audit, j, 1) AS e, length(replace(substr(audit, 1, j), 'I', '')) AS i, length(replace(substr(audit, 1, j), 'D', '')) AS o
+      FROM (SELECT *, unnest(range(1, CAST(length(audit) + 1 AS BIGINT))) AS j FROM best)),
+m AS (SELECT e.*, s.role, s.text, s.y FROM e LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM e.conv_id AND s.i = e.i AND e.e <> 'I' WHERE e.e <> 'D'),
+z AS (SELECT *, max(CASE WHEN o = 1 AND e = 'K' AND y = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS sys FROM m),
+told AS (SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (o - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY j) AS repaired FROM z GROUP BY conv_id),
+tot AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+          count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal FROM s GROUP BY conv_id)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN tot ON tot.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN told ON told.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
@@ -233,5 +285,5 @@ FROM d JOIN whole USING (r)
 """
 
 
-QUERIES = {"op1_crf_quality": op1_crf_quality, "op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op4_byte_bpe": op4_byte_bpe, "op5_bit_sliced": op5_bit_sliced, "op6_warc": op6_warc, "op7_preference": op7_preference, "op8_line_dedup": op8_line_dedup, "op9_url_filter": op9_url_filter, "op10_language_id": op10_language_id, "op11_collocations": op11_collocations, "op13_suffix_dedup": op13_suffix_dedup, "preference_spliced": preference_spliced}
-ORACLE_SQL = {"op2_decontaminate": OP2_SQL, "op5_bit_sliced": OP5_SQL, "op6_warc": OP6_SQL, "op7_preference": OP7_SQL, "op9_url_filter": OP9_SQL, "op11_collocations": OP11_SQL, "op13_suffix_dedup": OP13_SQL, "preference_spliced": SPLICED_SQL}
+QUERIES = {"op1_crf_quality": op1_crf_quality, "op2_decontaminate": op2_decontaminate, "op3_ngram_join": op3_ngram_join, "op4_byte_bpe": op4_byte_bpe, "op5_bit_sliced": op5_bit_sliced, "op6_warc": op6_warc, "op7_preference": op7_preference, "op8_line_dedup": op8_line_dedup, "op9_url_filter": op9_url_filter, "op10_language_id": op10_language_id, "op11_collocations": op11_collocations, "op12_turn_repair": op12_turn_repair, "op13_suffix_dedup": op13_suffix_dedup, "preference_spliced": preference_spliced}
+ORACLE_SQL = {"op2_decontaminate": OP2_SQL, "op5_bit_sliced": OP5_SQL, "op6_warc": OP6_SQL, "op7_preference": OP7_SQL, "op9_url_filter": OP9_SQL, "op11_collocations": OP11_SQL, "op12_turn_repair": OP12_SQL, "op13_suffix_dedup": OP13_SQL, "preference_spliced": SPLICED_SQL}
