@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -47,8 +48,10 @@ class Scratch:
 
     def release(self) -> None:
         """Collect finished plans, so that Spark removes the shuffle files of steps that were cut."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        for _ in range(2):  # what one collection finds may hold plans until the next
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(1)
 
 
 def row_key() -> Column:
