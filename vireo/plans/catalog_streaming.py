@@ -15,6 +15,7 @@ from vireo.plans.registry import ORACLES, query
 from vireo.sources.files import scratch_path
 from vireo.sources.tables import table
 from vireo.streaming import queries as q
+from vireo.streaming.listener import ProgressRecorder
 from vireo.streaming.sinks import parquet_append
 from vireo.streaming.sources import file_table_stream
 from vireo.streaming.stateful import session_updates
@@ -199,3 +200,98 @@ def stream_file_sink(spark, sf):
     e = stream(spark, sf, "events").select("event_id", "event_type", "user_id")
     q.await_all(spark, [parquet_append(e, f"{folder}/data", f"{folder}/checkpoint", {"availableNow": True})])
     return spark.read.schema(e.schema).parquet(f"{folder}/data")
+
+
+# ----------------------------------------------------------------- R03 / R13 / R14 / R16
+def _rows_read(run) -> int:
+    return sum(p["numInputRows"] for p in run.recentProgress)
+
+
+@query("stream_resume", sql="""
+SELECT o_orderpriority AS priority, sum(o_orderkey) AS keys, count(*) AS orders,
+  (SELECT count(*) FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01') AS read_after_restart FROM orders GROUP BY 1""")
+def stream_resume(spark, sf):
+    """A stateful stream that stops, and goes on from its checkpoint when more files have come.
+
+    The second run finds the offsets and the state of the first, so it reads the new files alone."""
+    folder, orders = _folder(spark), table(spark, sf, "orders")
+    late = F.col("o_orderdate") >= F.lit("1996-01-01").cast(orders.schema["o_orderdate"].dataType)
+
+    def go_on():
+        lines = spark.readStream.schema(orders.schema).parquet(f"{folder}/in")
+        sums = lines.groupBy(F.col("o_orderpriority").alias("priority")).agg(F.sum("o_orderkey").alias("keys"), F.count("*").alias("orders"))
+        run = (sums.writeStream.foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{folder}/out/batch={int(i)}"))
+               .outputMode("complete").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start())
+        q.await_all(spark, [run])
+        return run
+
+    orders.where(~late).write.parquet(f"{folder}/in")
+    first = go_on()
+    orders.where(late).write.mode("append").parquet(f"{folder}/in")
+    second = go_on()
+    last = max(p["batchId"] for run in (first, second) for p in run.recentProgress)
+    out = spark.read.parquet(f"{folder}/out/batch={last}")
+    return out.withColumn("read_after_restart", F.lit(_rows_read(second)).cast("long"))
+
+
+@query("stream_progress", sql="""
+SELECT CAST(row_number() OVER (ORDER BY event_type) - 1 AS BIGINT) AS batch_id, count(*) AS rows, count(*) AS written FROM events GROUP BY event_type""")
+def stream_progress(spark, sf):
+    """The listener's rows of a stream that is started again for each event type's files.
+
+    The progress table itself says where to go on: the number of the next batch names the type that is written next."""
+    folder, events = _folder(spark), table(spark, sf, "events").select("event_id", "event_type")
+    kinds = [r[0] for r in events.select("event_type").distinct().orderBy("event_type").collect()]  # a handful of type names
+    recorder = ProgressRecorder()
+    spark.streams.addListener(recorder)
+    try:
+        progress = recorder.drain(spark)
+        while (at := 1 + (progress.agg(F.max("batch_id")).first()[0] if progress.head(1) else -1)) < len(kinds):
+            events.where(F.col("event_type").eqNullSafe(kinds[at])).write.mode("append").parquet(f"{folder}/in")
+            run = parquet_append(spark.readStream.schema(events.schema).parquet(f"{folder}/in"), f"{folder}/out", f"{folder}/checkpoint", {"availableNow": True})
+            q.await_all(spark, [run])
+            recorder.wait_terminated(str(run.runId))
+            progress = progress.union(recorder.drain(spark).where("event = 'progress'"))
+    finally:
+        spark.streams.removeListener(recorder)
+    rows = progress.where("event = 'progress' and rows > 0").groupBy("batch_id").agg(F.sum("rows").alias("rows"))
+    # what the file sink's log shows of the same batches
+    names = spark.createDataFrame(list(enumerate(kinds)), "batch_id long, event_type string")
+    written = spark.read.schema(events.schema).parquet(f"{folder}/out").groupBy("event_type").agg(F.count("*").alias("written"))
+    return rows.join(names, "batch_id").join(written, "event_type").select("batch_id", "rows", "written")
+
+
+@query("stream_several", sql="""
+SELECT 'type' AS kind, event_type AS key, count(*) AS n FROM events GROUP BY 2
+UNION ALL SELECT 'user', CAST(user_id AS VARCHAR), count(*) FROM events GROUP BY 2""")
+def stream_several(spark, sf):
+    """Two queries on one source side by side, each with its own checkpoint, awaited together."""
+    folder, e = _folder(spark), stream(spark, sf, "events")
+
+    def counts(kind, column):
+        out = e.groupBy(F.lit(kind).alias("kind"), F.col(column).cast("string").alias("key")).agg(F.count("*").alias("n"))
+        return (out.writeStream.foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{folder}/{kind}")).outputMode("complete")
+                .option("checkpointLocation", f"{folder}/checkpoint-{kind}").trigger(availableNow=True).start())
+
+    q.await_all(spark, [counts("type", "event_type"), counts("user", "user_id")])
+    return spark.read.parquet(f"{folder}/type").union(spark.read.parquet(f"{folder}/user"))
+
+
+@query("stream_session_window", sql="""
+WITH o AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
+f AS (SELECT *, CASE WHEN prev IS NULL OR ts - prev > INTERVAL '30 minutes' THEN 1 ELSE 0 END AS brk FROM o),
+s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM f),
+g AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '30 minutes' AS session_end, count(*) AS events FROM s GROUP BY user_id, sid)
+SELECT * FROM g WHERE session_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '5 minutes' FROM events)""")
+def stream_session_window(spark, sf):
+    """Event-time sessions in append mode: a session comes out once the watermark has passed its end.
+
+    A task merges the sessions of its rows before they are shuffled to the state, so a hot user is a few rows a task."""
+    conf = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "true")
+    try:
+        out = finished(q.sessions_stream(_events(spark, sf).select("user_id", "ts"), "ts", "30 minutes", ["user_id"], "5 minutes"), "append")
+    finally:
+        spark.conf.set(conf, before)
+    return _naive(out, "session_start", "session_end")

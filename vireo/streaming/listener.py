@@ -19,6 +19,8 @@ class ProgressRecorder(StreamingQueryListener):
     def __init__(self):
         self.events: list[dict] = []
         self._lock = threading.Lock()
+        self._ended: set[str] = set()
+        self._news = threading.Condition()
 
     def _add(self, row: dict) -> None:
         with self._lock:
@@ -30,6 +32,12 @@ class ProgressRecorder(StreamingQueryListener):
             rows, self.events = self.events, []
         return _frame(spark, rows)
 
+    def wait_terminated(self, run_id: str, timeout: float = 60) -> None:
+        """Events come after the query's end: wait until those of a run are all here."""
+        with self._news:
+            if not self._news.wait_for(lambda: run_id in self._ended, timeout):
+                raise TimeoutError(f"no termination event of run {run_id} in {timeout} s")
+
     def onQueryStarted(self, event):
         self._add({"event": "started", "id": str(event.id), "name": event.name, "batch_id": None,
                    "source": None, "start_offset": None, "end_offset": None, "rows": None})
@@ -47,6 +55,9 @@ class ProgressRecorder(StreamingQueryListener):
     def onQueryTerminated(self, event):
         self._add({"event": "terminated", "id": str(event.id), "name": None, "batch_id": None,
                    "source": None, "start_offset": None, "end_offset": event.exception, "rows": None})
+        with self._news:
+            self._ended.add(str(event.runId))
+            self._news.notify_all()
 
     def as_dataframe(self, spark: SparkSession) -> DataFrame:
         with self._lock:
