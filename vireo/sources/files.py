@@ -31,10 +31,11 @@ def read_text(spark: SparkSession, path: str, partitions: int | None = None) ->
     return df.repartition(partitions) if partitions else df
 
 
-def write_text(df: DataFrame, path: str, cols: Sequence[str], sep: str = ",", mode: str = "overwrite") -> None:
-    """One text file per partition, fields joined by ``sep``."""
+def write_text(df: DataFrame, path: str, cols: Sequence[str], sep: str = ",", mode: str = "overwrite",
+               compression: str | None = None) -> None:
+    """One text file per partition, fields joined by ``sep``; ``compression`` is a codec's name, such as gzip."""
     df.select(F.concat_ws(sep, *[F.col(c).cast("string") for c in cols]).alias("value")) \
-        .write.mode(mode).text(path)
+        .write.mode(mode).text(path, compression=compression)
 
 
 # S03 / S04 / S05 ---------------------------------------------------------
@@ -74,11 +75,14 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None
 def json_column_schema(df: DataFrame, col: str) -> str:
     """DDL of a JSON string column: the fields of all its values, merged.
 
-    Values are grouped first (equal documents are read once); every distinct
-    one is read, as the JSON source does when it infers a file's schema.
+    Values are grouped first (equal documents are read once) and written as
+    lines, from which the JSON source infers the schema: no row leaves the JVM.
+    A line break inside a value can only stand between its tokens.
     """
-    values = df.select(F.col(col).cast("string").alias("value")).where(F.col(col).isNotNull()).distinct()
-    schema = df.sparkSession.read.json(values.rdd.map(lambda r: r[0])).schema
+    path = scratch_path(df.sparkSession, "json-values")
+    values = df.select(F.regexp_replace(F.col(col).cast("string"), "[\r\n]+", " ").alias("value")).where(F.col(col).isNotNull()).distinct()
+    values.write.text(path)
+    schema = df.sparkSession.read.json(path).schema
     if not schema.fields:
         raise ValueError("no JSON value to infer a schema from")
     return schema.toDDL()
