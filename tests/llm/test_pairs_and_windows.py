@@ -1,6 +1,7 @@
 """Operators 2, 3, 5 and 8 against brute force, on fixtures with nulls, ties, copies, long texts and clashing columns."""
 
 import random
+import re
 from collections import Counter
 
 import brute
@@ -230,3 +231,31 @@ def test_short_lines_match_brute_force(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
     got = line_dedup.dedup_lines(docs, drop_emptied=True).collect()
     assert len(got) == len(brute.dedup_lines(texts)[0])
+
+
+def test_a_long_covered_run_is_shuffled_in_proportion(spark):
+    """A document that equals an item of n words: rows with neighbourhoods, not with the whole text."""
+    rng = random.Random(4)
+    for n in (1000, 4000):
+        text = prose(rng, n, 100000)
+        docs = spark.createDataFrame([(1, text), (2, text + " tail"), (3, "nothing here")], "doc_id long, text string")
+        items = spark.createDataFrame([("i", text)], "item_id string, text string")
+        found = {r["doc_id"]: r for r in decontaminate.find_windows(docs, items).collect()}
+        assert [found[i]["n_hit"] for i in (1, 2, 3)] == [n, n, 0] and found[1]["items"] == ["i"]
+        runs = spark.createDataFrame([(0, text, 1)], "rid long, run string, copies long")
+        known = items.select("item_id", decontaminate.item_words(F.col("text")).alias("words")).withColumn("n", F.size("words"))
+        rows = decontaminate._verified(runs, known, 10)
+        assert rows.count() == n - 9
+        # the joins of the plan shuffle no whole text: the words are gone below the generators
+        plan = rows._jdf.queryExecution().optimizedPlan()
+        joins = [line for line in plan.toString().splitlines() if "Join" in line]
+        assert joins and not re.search(r"\b(words|run|item_words)#", "".join(a.toString() for a in _join_outputs(plan)))
+
+
+def _join_outputs(plan):
+    out = []
+    for i in range(plan.children().size()):
+        out += _join_outputs(plan.children().apply(i))
+    if "Join" in plan.nodeName():
+        out.append(plan.output())
+    return out

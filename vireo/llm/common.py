@@ -79,8 +79,3 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator
         total += int(n)
     if start < batch.num_rows:
         yield batch.slice(start, batch.num_rows - start)
-
-
-def stable_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
-    """``rows`` rows with the smallest key hashes: a bounded sample that does not depend on the layout."""
-    return df.orderBy(F.xxhash64(key), key).limit(rows)

@@ -128,10 +128,12 @@ def find_windows(docs: DataFrame, items: DataFrame, window: int = 10, scratch: S
     text = F.col("text").cast("string")
     marks = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(mark, MARKS.format(id=id_type))
     marks = scratch.cut(marks.select(row_key().alias("row"), "*"), "marks")
-    found = _verified(marks, known, window)
-    per_run = found.groupBy("run").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("ranges"), F.collect_set("item_id").alias("ids"),
+    texts = marks.select(F.explode("runs.words").alias("run")).groupBy("run").agg(F.count("*").alias("copies"))
+    texts = scratch.cut(texts.select(row_key().alias("rid"), "run", "copies"), "runs")
+    found = _verified(texts, known, window)
+    per_run = found.groupBy("rid").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("ranges"), F.collect_set("item_id").alias("ids"),
                                        F.flatten(F.collect_set(F.sequence("start", F.col("end") - 1))).alias("hits"))
-    per_run = per_run.withColumn("hits", F.size(F.array_distinct("hits")))
+    per_run = texts.select("rid", "run").join(per_run.withColumn("hits", F.size(F.array_distinct("hits"))), "rid").drop("rid")
     runs = marks.select("row", F.explode("runs").alias("r")).select("row", "r.start", F.col("r.words").alias("run"))
     shift = lambda s: F.struct((F.col("start") + s["start"]).alias("start"), (F.col("start") + s["end"]).alias("end"))
     per_doc = (runs.join(per_run, "run").select("row", "hits", "ids", F.transform("ranges", shift).alias("ranges")).groupBy("row")
@@ -143,29 +145,33 @@ def find_windows(docs: DataFrame, items: DataFrame, window: int = 10, scratch: S
         F.coalesce("windows", F.array().cast("array<struct<start:int,end:int>>")).alias("windows"))
 
 
-def _verified(marks: DataFrame, known: DataFrame, window: int) -> DataFrame:
-    """(run, start, end, item_id) of every window that occurs in a run; ``known`` has item_id, words, n."""
-    runs = marks.select(F.explode("runs.words").alias("run")).groupBy("run").agg(F.count("*").alias("copies"))
-    runs = runs.withColumn("words", F.split("run", " "))
+def _verified(runs: DataFrame, known: DataFrame, window: int) -> DataFrame:
+    """(rid, start, end, item_id) of every window that occurs in a run; ``runs`` has rid, run and copies, ``known`` item_id, words, n.
 
-    def shingled(df: DataFrame, size: Column, name: str) -> DataFrame:
-        """One row per shingle: its position (from 0) and text."""
-        keys = F.transform(F.sequence(F.lit(0), F.size("words") - size), lambda i: F.array_join(F.slice(F.col("words"), i + 1, size), " "))
-        return df.select("*", F.posexplode(F.when(F.size("words") >= size, keys)).alias(name, "key"))
+    A shingle travels with its neighbourhood of at most twice the window, not
+    with the run's or the item's whole text, so that a long copied passage is
+    shuffled in proportion to its length.
+    """
+    def shingled(df: DataFrame, size: Column, name: str, begin, *keep: str) -> DataFrame:
+        """One row per shingle: its position (from 0), text, and the words from ``begin`` of the position on."""
+        parts = F.transform(F.sequence(F.lit(0), F.size("words") - size), lambda i: F.struct(
+            F.array_join(F.slice(F.col("words"), i + 1, size), " ").alias("key"), F.slice(F.col("words"), begin(i) + 1, F.lit(2 * window)).alias("near")))
+        return df.select(*keep, F.posexplode(F.when(F.size("words") >= size, parts)).alias(name, "t")).select(*keep, name, "t.key", "t.near")
 
     sizes = F.array(*[F.lit(k) for k in range(1, SHINGLE + 1)])
-    tokens = shingled(runs.withColumn("k", F.explode(sizes)), F.col("k"), "p")
     reach = window - 1
-    near = F.slice(F.col("words"), F.greatest(F.col("p") - reach, F.lit(0)) + 1, F.least(F.col("p"), F.lit(reach)) + F.lit(window))
+    split = runs.select("rid", "copies", F.split("run", " ").alias("words")).select("*", F.size("words").alias("run_words"), F.explode(sizes).alias("k"))
+    tokens = shingled(split, F.col("k"), "p", lambda i: F.greatest(i - reach, F.lit(0)), "rid", "copies", "k", "run_words")
     known_items = known.withColumn("k", F.least(F.col("n"), F.lit(SHINGLE))).withColumn("w", F.least(F.col("n"), F.lit(window)))
-    item_tokens = shingled(known_items, F.col("k"), "q")
+    base = lambda q: F.greatest(q + F.col("k") - F.col("w"), F.lit(0))
+    item_tokens = shingled(known_items, F.col("k"), "q", base, "item_id", "n", "k", "w")
     wanted = item_tokens.select("key", "k").distinct()
-    tokens = tokens.select("run", "copies", "k", "p", "key", near.alias("near"), F.size("words").alias("run_words")).join(wanted, ["key", "k"], "left_semi")
+    tokens = tokens.join(wanted, ["key", "k"], "left_semi")
     rarity = tokens.groupBy("key", "k").agg(F.sum("copies").alias("freq"))
     # every window (from word s) with each of its shingles; windows with a shingle that no document has cannot occur
     starts = F.sequence(F.greatest(F.col("q") + F.col("k") - F.col("w"), F.lit(0)), F.least(F.col("q"), F.col("n") - F.col("w")))
-    in_window = item_tokens.join(rarity, ["key", "k"]).select("item_id", "words", "w", "k", "q", "key", "freq", F.explode(starts).alias("s"))
-    in_window = in_window.withColumn("text", F.array_join(F.slice(F.col("words"), F.col("s") + 1, F.col("w")), " "))
+    in_window = item_tokens.join(rarity, ["key", "k"]).select("item_id", "near", "w", "k", "q", "key", "freq", F.explode(starts).alias("s"))
+    in_window = in_window.withColumn("text", F.array_join(F.slice(F.col("near"), F.col("s") - base(F.col("q")) + 1, F.col("w")), " "))
     rarest = F.min(F.struct("freq", "key", (F.col("q") - F.col("s")).alias("offset")))
     prefix = (in_window.select("item_id", "w", "k", "text", "freq", "key", "q", "s").groupBy("item_id", "text", "w", "k", "s")
               .agg(rarest.alias("t"), F.countDistinct("q").alias("seen")).filter("seen = w - k + 1")
@@ -174,7 +180,7 @@ def _verified(marks: DataFrame, known: DataFrame, window: int) -> DataFrame:
     ahead = F.col("p") - F.greatest(F.col("p") - reach, F.lit(0))
     candidates = tokens.join(prefix, ["key", "k"]).filter((a >= 0) & (a + F.col("w") <= F.col("run_words")))
     same = F.array_join(F.slice(F.col("near"), F.greatest(ahead - F.col("offset"), F.lit(0)) + 1, F.col("w")), " ") == F.col("text")
-    return candidates.filter(same).select("run", a.alias("start"), (a + F.col("w")).alias("end"), F.explode_outer("ids").alias("item_id"))
+    return candidates.filter(same).select("rid", a.alias("start"), (a + F.col("w")).alias("end"), F.explode_outer("ids").alias("item_id"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
