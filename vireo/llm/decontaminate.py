@@ -133,10 +133,11 @@ def find_windows(docs: DataFrame, items: DataFrame, window: int = 10, scratch: S
     found = _verified(texts, known, window)
     per_run = found.groupBy("rid").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("ranges"), F.collect_set("item_id").alias("ids"),
                                        F.flatten(F.collect_set(F.sequence("start", F.col("end") - 1))).alias("hits"))
-    per_run = texts.select("rid", "run").join(per_run.withColumn("hits", F.size(F.array_distinct("hits"))), "rid").drop("rid")
+    # a small file may hold long texts: never a broadcast
+    per_run = texts.select("rid", "run").hint("merge").join(per_run.withColumn("hits", F.size(F.array_distinct("hits"))), "rid").drop("rid")
     runs = marks.select("row", F.explode("runs").alias("r")).select("row", "r.start", F.col("r.words").alias("run"))
     shift = lambda s: F.struct((F.col("start") + s["start"]).alias("start"), (F.col("start") + s["end"]).alias("end"))
-    per_doc = (runs.join(per_run, "run").select("row", "hits", "ids", F.transform("ranges", shift).alias("ranges")).groupBy("row")
+    per_doc = (runs.hint("merge").join(per_run.hint("merge"), "run").select("row", "hits", "ids", F.transform("ranges", shift).alias("ranges")).groupBy("row")
                .agg(F.sum("hits").alias("n_hit"), F.array_distinct(F.flatten(F.collect_list("ids"))).alias("items"), F.array_sort(F.flatten(F.collect_list("ranges"))).alias("windows")))
     id_array = f"array<{items.schema['item_id'].dataType.simpleString()}>"
     return marks.join(per_doc, "row", "left").select(
