@@ -48,8 +48,3 @@ def join_with(a: DataFrame, b: DataFrame, cond: Column, how: str = "inner",
     sa = a.select(F.struct(*a.columns).alias(left))
     sb = b.select(F.struct(*b.columns).alias(right))
     return sa.join(sb, cond(sa[left], sb[right]) if callable(cond) else cond, how)
-
-
-def left_join_fill(a: DataFrame, b: DataFrame, on: Sequence[str], fill: dict) -> DataFrame:
-    """Left outer join, then NULLs of the right side filled."""
-    return a.join(b, list(on), "left_outer").fillna(fill)
