@@ -1,9 +1,11 @@
 """Operators 1, 4, 6, 7, 9 and 10: exact enumeration, round trips, held-out accuracy and edge cases."""
 
 import base64
+import hashlib
 import itertools
 import random
 import struct
+import time
 
 import numpy as np
 import public_tokenizers
@@ -52,6 +54,53 @@ def test_line_features_follow_lines_and_neighbours():
     assert not wide[0, n:2 * n].any() and not wide[2, 2 * n:3 * n].any()
 
 
+def random_model(rng):
+    n = crf_quality.FEATURES
+    return crf_quality.Model(rng.normal(size=n), rng.uniform(0.5, 2, n), rng.normal(size=n) / 4, rng.normal(size=(2, 2)), slope=3.0, shift=-1.0, fitted=True)
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7])
+def test_chains_in_pieces_equal_whole_chains(monkeypatch, piece):
+    rng = np.random.default_rng(1)
+    first = np.concatenate([[0], np.cumsum([1, 10, 7, 3, 22, 1, 14])])
+    unary, trans = 3 * rng.normal(size=(first[-1], 2)), rng.normal(size=(2, 2))
+    whole = crf_quality.marginals(unary, trans, first)
+    monkeypatch.setattr(crf_quality, "PIECE", piece)
+    assert all(np.allclose(a, b) for a, b in zip(crf_quality.marginals(unary, trans, first), whole))
+
+
+def test_scores_equal_plain_python(monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = ["a b\nC!! D!!\na b\n", None, "", "x", "\n\n", "é é é\n" * 9, "\n".join(f"line {i % 5} of || text." for i in range(40)), "q" * 300]
+    model = random_model(rng)
+    own, size, first = crf_quality.line_features(pa.array(texts))
+    features = (crf_quality.with_neighbours(own, first) - model.mean) / model.scale
+    want = []
+    for a, b in zip(first[:-1], first[1:]):
+        z = [[0.0, float(f @ model.weights)] for f in features[a:b]]
+        ahead, behind = [np.exp(z[0])], [np.ones(2)]
+        for t in range(1, b - a):
+            ahead.append([sum(ahead[-1][x] * np.exp(model.trans[x, y]) for x in (0, 1)) * np.exp(z[t][y]) for y in (0, 1)])
+        for t in range(b - a - 1, 0, -1):
+            behind.insert(0, [sum(np.exp(model.trans[x, y] + z[t][y]) * behind[0][y] for y in (0, 1)) for x in (0, 1)])
+        good = [p[1] * q[1] / (p[0] * q[0] + p[1] * q[1]) for p, q in zip(ahead, behind)]
+        weight = size[a:b] + 1
+        want.append(1 / (1 + np.exp(1 - 3 * sum(g * w for g, w in zip(good, weight)) / sum(weight))))
+    assert np.allclose(crf_quality.scores(pa.array(texts), model), want)
+    for part, piece in ((1, 4), (16, 3), (64, 1000)):
+        monkeypatch.setattr(crf_quality, "PART", part)
+        monkeypatch.setattr(crf_quality, "PIECE", piece)
+        assert np.allclose(crf_quality.scores(pa.array(texts), model), want)
+        assert np.allclose(crf_quality.scores(pa.array(texts).slice(3), model), want[3:])
+
+
+def test_a_text_of_very_many_lines_is_scored_quickly():
+    model = random_model(np.random.default_rng(3))
+    begin = time.monotonic()
+    few, many = crf_quality.scores(pa.array(["x\n" * 1000, "x\n" * 1_000_000]), model)
+    assert time.monotonic() - begin < 30 and abs(few - many) < 0.01
+
+
 def test_quality_on_held_out_rows(spark):
     out = queries.op1_crf_quality(spark, SF).toPandas()
     labels = spark.read.parquet(f"{SF}/labels.parquet").toPandas()
@@ -130,12 +179,24 @@ def test_warc_round_trip(spark):
     assert bytes(by["9", 30].payload).startswith(b"WARC/1.1") and by["3", 4].url is None
     assert sum(r.page_id == "11" and r.record_type == "response" for r in rows) == 2
     assert {(r.payload_bytes, r.record_type, r.refers_to) for r in rows if r.page_id is None} == {(4, "response", None), (4, "revisit", "5")}
-    digest = base64.b32encode(__import__("hashlib").sha1(b"same").digest()).decode()
+    digest = base64.b32encode(hashlib.sha1(b"same").digest()).decode()
     assert by["5", 4].payload_digest == digest
     restored = {(r.page_id, r.payload_bytes): bytes(r.payload) for r in warc.restore_payloads(records).collect()}
     assert restored["1", 4] == b"same" and restored["2", 0] == b"" and len(restored) == len(by)
 
 
+def test_a_damaged_archive_is_an_error():
+    def record(payload, digest, length):
+        http = f"HTTP/1.1 200 OK\r\nContent-Length: {length}\r\n\r\n".encode() + payload
+        return f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nWARC-Payload-Digest: sha1:{digest}\r\nContent-Length: {len(http)}\r\n\r\n".encode() + http + b"\r\n\r\n"
+
+    digest = base64.b32encode(hashlib.sha1(b"same").digest()).decode()
+    assert [(r["payload_digest"], r["payload_bytes"]) for r in warc.parse_records(record(b"same", digest, 4) * 2)] == [(digest, 4)] * 2
+    for bad in (record(b"sane", digest, 4), record(b"same", digest, 5)):
+        with pytest.raises(ValueError, match="damaged record <urn:page:1>"):
+            list(warc.parse_records(bad))
+
+
 def test_warc_least_payload_and_empty_table(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], "page_id long, url string, html string")
     assert {r.page_id: r.refers_to for r in warc.resolve(pages, 3).collect()} == {1: None, 2: None, 3: 4, 4: None}
@@ -218,6 +279,45 @@ def test_language_on_held_out_rows(spark):
     assert len(out) == 1000 and out.score.between(0, 1).all() and (held.lang_pred == held.lang).mean() > 0.98
 
 
+def test_language_equals_plain_python(spark):
+    words = {"de": "der die und nicht ist", "en": "the and is not this", "fr": "le la et est pas", "pl": "nie się że jest tak"}
+    rng = random.Random(5)
+    train = [(" ".join(rng.choices(words[x].split(), k=rng.randint(0, 9))) + rng.choice(["", " 12!", "\n"]), x) for x in sorted(words) * 5] + [(None, "de"), ("", "en")]
+
+    def grams(text):
+        letters = [c + 32 if 65 <= c <= 90 else c for c in (text or "").encode()]
+        row = [32, 32, *(c if 97 <= c <= 122 or c >= 128 else 32 for c in letters), 32, 32]
+        for order in (2, 3):
+            for i in range(len(letters) + 2):
+                gram = row[i:i + order]
+                if any(c != 32 for c in gram[1:]):
+                    yield (int.from_bytes(bytes(gram), "big") + (order << 24)) * 0x9E3779B1 % 2**32 >> 18
+
+    counts = {x: [0] * language_id.BUCKETS for x in words}
+    for text, lang in train:
+        for g in grams(text):
+            counts[lang][g] += 1
+    labelled = spark.createDataFrame(train, "text string, lang string").repartition(3)
+    assert {x: n.tolist() for x, n in language_id.count_grams(labelled).items()} == counts
+    model = language_id.fit(labelled)
+    share = {x: [(n + 0.5) / (sum(c) + 0.5 * len(c)) for n in c] for x, c in counts.items()}
+    code = {x: [int(b) for b in language_id.code_matrix(4)[i]] for i, x in enumerate(sorted(words))}
+    means = {(b, s): [sum(v) / len(v) for v in zip(*(share[x] for x in words if code[x][b] == s))] for b in range(len(code["de"])) for s in (1, -1)}
+    texts = [(i, t) for i, (t, _) in enumerate(train)] + [(90, "der the le nie"), (91, "Die UND"), (92, "?!")]
+    for r in language_id.predict(spark.createDataFrame(texts, "doc_id long, text string"), model).collect():
+        found, loss = list(grams(dict(texts)[r.doc_id])), {}
+        if not found:
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        for lang in words:
+            loss[lang] = 0
+            for b in range(len(code[lang])):
+                margin = sum(np.log(means[b, 1][g] / means[b, -1][g]) for g in found) / len(found) * min(len(found), language_id.SATURATION)
+                loss[lang] += np.log1p(np.exp(-code[lang][b] * margin)) / len(code[lang])
+        odds = {x: np.exp(-v) for x, v in loss.items()}
+        assert abs(r.score - max(odds.values()) / sum(odds.values())) < 1e-4 and abs(loss[r.lang_pred] - min(loss.values())) < 1e-4
+
+
 def test_codewords_are_apart():
     for n in range(2, 40):
         code = language_id.code_matrix(n).astype(int)

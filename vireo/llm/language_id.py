@@ -132,13 +132,10 @@ def count_grams(labelled: DataFrame) -> dict[str, np.ndarray]:
     known = labelled.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
     if known > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages: raise MAX_LANGUAGES or clean the labels")
-    out: dict[str, np.ndarray] = {}
-    table = sums.toArrow()
-    langs, buckets, n = table["lang"].to_numpy(), table["bucket"].to_numpy(), table["n"].to_numpy()
-    for lang in sorted(set(langs)):
-        mine = langs == lang
-        out[lang] = np.bincount(buckets[mine], weights=n[mine], minlength=BUCKETS)
-    return out
+    # a row per language, with BUCKETS entries at most
+    table = sums.groupBy("lang").agg(F.collect_list("bucket").alias("buckets"), F.collect_list("n").alias("counts")).toArrow()
+    rows = zip(table["lang"].to_pylist(), table["buckets"], table["counts"])
+    return {lang: np.bincount(b.values.to_numpy(), weights=n.values.to_numpy(), minlength=BUCKETS) for lang, b, n in rows}
 
 
 @dataclass(frozen=True)

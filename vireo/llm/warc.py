@@ -7,7 +7,9 @@ like those of any other job and need no local disk.
 
 from __future__ import annotations
 
+import base64
 import gzip
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -107,7 +109,11 @@ _FIELD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
 
 
 def parse_records(data: bytes) -> Iterator[dict]:
-    """The records of one archive (gzip or plain), in order; lengths come from the headers."""
+    """The records of one archive (gzip or plain), in order; lengths come from the headers.
+
+    Size and digest of a response are measured on its payload, and a header
+    that says otherwise is an error; a revisit has only its header's.
+    """
     data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
     at, view = 0, memoryview(data)
     while (at := data.find(b"WARC/1.", at)) >= 0:
@@ -117,12 +123,18 @@ def parse_records(data: bytes) -> Iterator[dict]:
         http_end = data.index(b"\r\n\r\n", start) + 4
         http = dict((k.lower(), v) for k, v in _FIELD.findall(data, start, http_end - 2))
         kind = fields[b"warc-type"]
+        digest, length = fields[b"warc-payload-digest"].removeprefix("sha1:"), int(http[b"content-length"])
+        payload = bytes(view[http_end:start + size]) if kind == "response" else None
+        if payload is not None:
+            claimed = digest, length
+            digest, length = base64.b32encode(hashlib.sha1(payload).digest()).decode(), len(payload)
+            if claimed != (digest, length):
+                raise ValueError(f"damaged record {fields[b'warc-record-id']}: payload of {length} bytes, sha1 {digest}, but its header says {claimed[1]}, {claimed[0]}")
         yield {
             "record_type": kind, "page_id": fields[b"warc-record-id"][len(URN) + 1:-1] or None,
-            "url": fields.get(b"warc-target-uri"), "payload_digest": fields[b"warc-payload-digest"].removeprefix("sha1:"),
-            "payload_bytes": int(http[b"content-length"]),
+            "url": fields.get(b"warc-target-uri"), "payload_digest": digest, "payload_bytes": length,
             "refers_to": fields[b"warc-refers-to"][len(URN) + 1:-1] if b"warc-refers-to" in fields else None,
-            "payload": bytes(view[http_end:start + size]) if kind == "response" else None,
+            "payload": payload,
         }
         at = start + size + 4
 
