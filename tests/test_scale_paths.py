@@ -209,3 +209,42 @@ def test_checkpoints_go_when_their_result_is_released(spark):
         if not rdds() - before:
             break
     assert not rdds() - before
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+def test_decimal_prefix_sums_equal_python(keyed):
+    """Limb sums are exact with signs, carries over 64 bits, batch borders and slices."""
+    from decimal import Context, Decimal, localcontext
+
+    import pyarrow as pa
+
+    from vireo.operators import window
+
+    rng = random.Random(4)
+    kind = pa.decimal128(38, 4)
+    rows = [(i // 17 if keyed else 0, Decimal(rng.randint(-10**e, 10**e)).scaleb(-4, Context(prec=76))) for i, e in enumerate(rng.choices([1, 9, 19, 30, 36], k=200))]
+    batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows]), pa.array([v for _, v in rows], kind), pa.array([1] * len(rows), pa.int64())], ["k", window._TIE, window._NN])
+    batches = [batch.slice(a, n) for a, n in ((0, 50), (50, 0), (50, 1), (51, 149))]
+    got = [x for b in window._local_prefix(["k"] if keyed else [])(iter(batches)) for x in b.column(window._LOC).to_pylist()]
+    want, sums = [], {}
+    with localcontext(Context(prec=76)):
+        for k, v in rows:
+            sums[k] = sums.get(k, Decimal(0)) + v
+            want.append(sums[k])
+    assert got == want
+
+
+def test_decimal_prefix_sums_beyond_38_digits_fail():
+    import pyarrow as pa
+
+    from vireo.operators import window
+    from decimal import Decimal
+
+    def run(values):
+        batch = pa.RecordBatch.from_arrays([pa.array([Decimal(v) for v in values], pa.decimal128(38, 0)), pa.array([1] * len(values), pa.int64())], [window._TIE, window._NN])
+        return [x for b in window._local_prefix([])(iter([batch])) for x in b.column(window._LOC).to_pylist()]
+
+    most = 10**38 - 1
+    assert run([most - 1, 1, -most, -most]) == [most - 1, most, 0, -most]
+    with pytest.raises(ArithmeticError):
+        run([most, 1])

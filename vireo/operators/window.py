@@ -69,21 +69,50 @@ _OFFNN = "__vireo_offnn"
 _ALL = "__vireo_all"
 
 
+def _values(column):
+    """The column's numbers; decimals as four 32-bit limbs in int64, lowest first, the top one signed."""
+    import numpy as np
+    import pyarrow as pa
+    if not pa.types.is_decimal(column.type):
+        return column.to_numpy(zero_copy_only=False)
+    raw = np.frombuffer(column.buffers()[1], "<u4")[4 * column.offset:4 * (column.offset + len(column))].reshape(-1, 4)
+    limbs = raw.astype("int64")
+    limbs[:, 3] = raw[:, 3].astype("int32")
+    return limbs
+
+
 def _cumulate(vals, gid):
-    """Prefix sums, restarting where ``gid`` changes (None: never).  Decimals
-    arrive as Python objects and are added exactly at 76 digits."""
-    import decimal
+    """Prefix sums, restarting where ``gid`` (1, 2, …; None: one group) changes; limbs are summed one by one."""
+    import numpy as np
+    if vals.ndim == 1:
+        return np.cumsum(vals) if gid is None else pd.Series(vals).groupby(gid).cumsum(skipna=False).to_numpy()
+    sums = np.cumsum(vals, axis=0)
+    if gid is None:
+        return sums
+    starts = np.flatnonzero(np.diff(gid, prepend=0))
+    return sums - (sums[starts] - vals[starts])[gid - 1]
+
 
+def _carried(local):
+    """Limb sums with every limb but the top one below 2^32 again; an error beyond 38 digits."""
     import numpy as np
-    if vals.dtype == object:
-        out, total, last = np.empty(len(vals), object), None, None
-        with decimal.localcontext(decimal.Context(prec=76)):
-            for i, v in enumerate(vals):
-                g = None if gid is None else gid[i]
-                total = v if total is None or g != last else total + v
-                out[i], last = total, g
-        return out
-    return np.cumsum(vals) if gid is None else pd.Series(vals).groupby(gid).cumsum(skipna=False).to_numpy()
+    if local.ndim == 1:
+        return local
+    for i in range(3):
+        local[:, i + 1] += local[:, i] >> 32
+        local[:, i] &= 0xFFFFFFFF
+    size = np.abs(local[:, 3] * 2.0**96 + local[:, 2] * 2.0**64)
+    for r in np.flatnonzero(size > 0.99e38):
+        if abs(sum(int(x) << 32 * i for i, x in enumerate(local[r]))) >= 10**38:
+            raise ArithmeticError("a running sum passes 38 digits")
+    return local
+
+
+def _to_arrow(local, kind):
+    import pyarrow as pa
+    if local.ndim == 1:
+        return pa.array(local, type=kind)
+    return pa.Decimal128Array.from_buffers(kind, len(local), [None, pa.py_buffer(local.astype("uint32").tobytes())])
 
 
 def _local_prefix(keys: list[str]):
@@ -102,7 +131,7 @@ def _local_prefix(keys: list[str]):
                 yield pa.RecordBatch.from_arrays(
                     rb.columns + [rb.column(_TIE), rb.column(_NN)], rb.schema.names + [_LOC, _LNN])
                 continue
-            vals = rb.column(_TIE).to_numpy(zero_copy_only=False)
+            vals = _values(rb.column(_TIE))
             nns = rb.column(_NN).to_numpy(zero_copy_only=False).astype("int64")
             if keys:
                 kdf = pa.Table.from_batches([rb.select(keys)]).to_pandas()
@@ -117,7 +146,7 @@ def _local_prefix(keys: list[str]):
                 first = tuple(None if pd.isna(kdf[k].iloc[0]) else kdf[k].iloc[0] for k in keys)
                 if carry is not None and first == last_key:
                     head = gid == 1
-                    local = np.where(head, local + carry[0], local)
+                    local[head] = local[head] + carry[0]
                     lnn = np.where(head, lnn + carry[1], lnn)
                 last_key = tuple(None if pd.isna(kdf[k].iloc[-1]) else kdf[k].iloc[-1] for k in keys)
             else:
@@ -125,9 +154,10 @@ def _local_prefix(keys: list[str]):
                 local, lnn = _cumulate(vals, None), np.cumsum(nns)      # NaN propagates
                 if carry is not None:
                     local, lnn = local + carry[0], lnn + carry[1]
-            carry = (local[-1], lnn[-1])
+            local = _carried(local)
+            carry = (local[-1].copy(), lnn[-1])
             yield pa.RecordBatch.from_arrays(
-                rb.columns + [pa.array(local, type=rb.schema.field(_TIE).type), pa.array(lnn, type=pa.int64())],
+                rb.columns + [_to_arrow(local, rb.schema.field(_TIE).type), pa.array(lnn, type=pa.int64())],
                 rb.schema.names + [_LOC, _LNN])
 
     return run
