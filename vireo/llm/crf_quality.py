@@ -28,7 +28,7 @@ SAMPLE_BYTES = 1 << 20
 #: Lines of a chain that advance one after the other: longer chains go in pieces that advance side by side.
 PIECE = 512
 #: Bytes of a text described at once, up to the next line's end.
-PART = 1 << 20
+PART = 1 << 18
 #: Rounds of relabelling, gradient steps of each, and the penalty on weights.
 ROUNDS, STEPS, PENALTY = 3, 120, 1e-3
 
