@@ -136,4 +136,5 @@ def tree_general(df: DataFrame, columns: Sequence[str], combiner: Combiner, fano
         parts = -(-parts // fanout)
         level = level.repartition(parts, F.pmod(F.spark_partition_id(), F.lit(parts))).mapInArrow(_merged(combiner, [], False), states)
     nothing = df.sparkSession.createDataFrame([(bytearray(pickle.dumps(combiner.zero())),)], states)
-    return level.union(nothing).coalesce(1).mapInArrow(_merged(combiner, [], True), combiner.schema)
+    # a shuffle, as coalesce(1) would make one task of the scan and the fold as well
+    return level.union(nothing).repartition(1).mapInArrow(_merged(combiner, [], True), combiner.schema)
