@@ -3,8 +3,10 @@
 The caller gives ``zero`` (a new state), ``add(state, rows)`` (a state and the
 rows of one key as an Arrow batch), ``merge(state, state)`` and
 ``finish(state)`` (the values of the result).  States are any picklable
-objects and travel as binary rows.  Rows are folded where they are read, so a
-key moves as one state a task however many rows it has; states are merged
+objects and travel as binary rows.  Rows are sorted by key and folded where
+they are read, so ``add`` is called with all rows that a key has in an Arrow
+batch at once, and a key moves as one state a task however many rows it has,
+however many keys the task has; states are merged
 level by level, one after another in sorted order, so no task holds a key's
 rows or more than one state of a key.  Sums, counts and extremes need none of
 this: ``groupBy().agg()`` stays in the JVM.
@@ -16,12 +18,14 @@ import pickle
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Keys whose states one task keeps at a time; beyond that all are passed on and may come again.
+#: Keys whose states one task keeps at a time; beyond that all are passed on.
 OPEN_KEYS = 20_000
 _STATE, _TASK = "__vireo_state", "__vireo_task"
 
@@ -44,32 +48,46 @@ def _columns(keys: list[tuple], width: int, schema: pa.Schema, names: Sequence[s
     return [pa.array([k[i] for k in keys], schema.field(names[i]).type) for i in range(width)]
 
 
+def _starts(batch: pa.RecordBatch, keys: Sequence[str]) -> list[int]:
+    """Where runs of rows of one key begin, and the number of rows."""
+    n = batch.num_rows
+    differs = np.zeros(max(n - 1, 0), dtype=bool)
+    for k in keys:
+        column = batch.column(k)
+        a, b = column.slice(0, n - 1), column.slice(1)
+        other = pc.not_equal(a, b)
+        if pa.types.is_floating(column.type):
+            other = pc.and_not(other, pc.and_(pc.is_nan(a), pc.is_nan(b)))
+        other = pc.if_else(pc.is_valid(other), other, pc.not_equal(pc.is_null(a), pc.is_null(b)))
+        differs |= other.to_numpy(zero_copy_only=False)
+    return [0, *(np.flatnonzero(differs) + 1).tolist(), n]
+
+
 def _partial(c: Combiner, keys: Sequence[str], columns: Sequence[str]):
-    """Task body: one state per key (and again, if the task has very many keys)."""
-    def states(schema: pa.Schema, open_: dict) -> pa.RecordBatch:
-        rows = [k for k, _ in open_.values()]
-        return pa.RecordBatch.from_arrays([*_columns(rows, len(keys), schema, keys), pa.array([pickle.dumps(s) for _, s in open_.values()], pa.binary())], [*keys, _STATE])
+    """Task body: a state per run of rows of one key, so one per key where rows are sorted."""
+    def states(schema: pa.Schema, done: list[tuple[tuple, Any]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*_columns([k for k, _ in done], len(keys), schema, keys), pa.array([pickle.dumps(s) for _, s in done], pa.binary())], [*keys, _STATE])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_: dict[tuple, tuple[tuple, Any]] = {}
-        schema = None
+        current, done, schema = None, [], None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             schema, values = batch.schema, batch.select(list(columns))
-            where: dict[tuple, list[int]] = {}
-            raw: dict[tuple, tuple] = {}
-            rows = zip(*(batch.column(k).to_pylist() for k in keys)) if keys else [()] * batch.num_rows
-            for i, row in enumerate(rows):
-                k = _key(row)
-                raw.setdefault(k, row)
-                where.setdefault(k, []).append(i)
-            for k, at in where.items():
-                row, state = open_[k] if k in open_ else (raw[k], c.zero())
-                open_[k] = row, c.add(state, values if len(at) == batch.num_rows else values.take(pa.array(at)))
-            if len(open_) > OPEN_KEYS:
-                yield states(schema, open_)
-                open_.clear()
-        if open_:
-            yield states(schema, open_)
+            starts = _starts(batch, keys)
+            first = pa.array(starts[:-1])
+            rows = zip(*(batch.column(k).take(first).to_pylist() for k in keys)) if keys else [()]
+            for row, start, end in zip(rows, starts, starts[1:]):
+                if current is None or _key(current[0]) != _key(row):
+                    if current is not None:
+                        done.append(current)
+                    current = row, c.zero()
+                current = current[0], c.add(current[1], values.slice(start, end - start))
+            if len(done) > OPEN_KEYS:
+                yield states(schema, done)
+                done = []
+        if current is not None:
+            yield states(schema, [*done, current])
     return run
 
 
@@ -117,7 +135,7 @@ def combine_general(df: DataFrame, keys: str | Sequence[str], columns: Sequence[
     keys = [keys] if isinstance(keys, str) else list(keys)
     head = [T.StructField(k, df.schema[k].dataType) for k in keys]
     states = T.StructType([*head, T.StructField(_STATE, T.BinaryType())])
-    folded = df.select(*dict.fromkeys([*keys, *columns])).mapInArrow(_partial(combiner, keys, columns), states)
+    folded = df.select(*dict.fromkeys([*keys, *columns])).sortWithinPartitions(*keys).mapInArrow(_partial(combiner, keys, columns), states)
     # the task that read a row, not its key, says in which group of tasks its state is merged first
     dealt = folded.withColumn(_TASK, F.pmod(F.spark_partition_id(), F.lit(fanout)))
     first = dealt.repartition(*keys, _TASK).sortWithinPartitions(*keys).select(*keys, _STATE).mapInArrow(_merged(combiner, keys, False), states)
