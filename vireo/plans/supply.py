@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vireo.sources.files import parquet_roundtrip, scratch_path
 from vireo.sources.tables import table
 
 
@@ -23,13 +24,14 @@ def shipments(spark: SparkSession, sf: str, with_country: bool = True) -> DataFr
                                              "l_extendedprice", "l_tax", "l_discount")
     s = table(spark, sf, "supplier").select("s_suppkey", "s_name")
     p = table(spark, sf, "part").select("p_partkey", "p_type")
-    j = li.join(s, li.l_suppkey == s.s_suppkey).join(p, F.col("l_partkey") == p.p_partkey)
-    if with_country:
+    j = li
+    if with_country:  # an order's country first, so that lines move once for it and without strings
         o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
         c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
         n = table(spark, sf, "nation").select("n_nationkey", "n_name")
-        j = (j.join(o, F.col("l_orderkey") == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
-             .join(n, F.col("c_nationkey") == n.n_nationkey))
+        places = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+        j = j.join(places.select("o_orderkey", "n_name"), F.col("l_orderkey") == F.col("o_orderkey"))
+    j = j.join(p, F.col("l_partkey") == p.p_partkey).join(s, F.col("l_suppkey") == s.s_suppkey)
     value = cents("l_extendedprice")
     return j.select(F.col("s_suppkey").alias("vendorkey"), F.col("s_name").alias("vendor"),
                     *([F.col("n_name").alias("country")] if with_country else []), F.col("p_type").alias("moleculetesttype"),
@@ -76,8 +78,9 @@ def eoq_tlc(df: DataFrame, formula: str = "reference") -> DataFrame:
     ``tlc = D/eoq·S + eoq/2·h·batch + itemcost/vsupply·D``.
 
     Demand and costs come from the same per-(vendor, country, item) aggregate
-    (conditional sums for the clean rows); demand is summed over vendors from
-    that aggregate and joined back.
+    (conditional sums for the clean rows), which is written once, so that
+    ``df`` runs once; demand is summed over vendors from that aggregate and
+    joined back.
     """
     wkg = F.col("weightkilograms").try_cast("double")
     clean = (wkg.isNotNull() & F.col("lineitemvalue_cents").isNotNull() & F.col("freightcost_e4").isNotNull()
@@ -92,6 +95,7 @@ def eoq_tlc(df: DataFrame, formula: str = "reference") -> DataFrame:
         (F.sum(when_clean(F.col("lineitemvalue_cents"))) / 100.0).alias("itemcost"),
         ((F.sum(when_clean(F.col("freightcost_e4"))) + F.sum(when_clean(F.col("insurance_e4"))))
          / 10000.0).alias("tordercost"))
+    per = parquet_roundtrip(per, scratch_path(df.sparkSession, "eoq"))
     # demand over all vendors: summed before any shuffle, so a hot item is one row per task
     demand = (per.groupBy(F.col("country").alias("__c"), F.col("moleculetesttype").alias("__m"))
               .agg(F.sum("__all_w").alias("demand")))
