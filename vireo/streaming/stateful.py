@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,39 +30,50 @@ OUTPUT = ("key STRING, session_start TIMESTAMP, session_end TIMESTAMP, duration_
 STATE = "starts ARRAY<TIMESTAMP>, lasts ARRAY<TIMESTAMP>, events ARRAY<LONG>, totals ARRAY<DOUBLE>"
 
 
+def _merged(start: np.ndarray, last: np.ndarray, n: np.ndarray, total: np.ndarray, gap: np.timedelta64) -> tuple:
+    """The intervals joined that are at most ``gap`` apart, by start; one without a time is of the last session."""
+    if not len(start):
+        return start, last, n, total
+    order = np.argsort(start, kind="stable")
+    start, last, n, total = start[order], last[order], n[order], np.nan_to_num(total[order], nan=0.0, posinf=np.inf, neginf=-np.inf)
+    reach = np.fmax.accumulate(last)
+    at = np.flatnonzero(np.concatenate(([True], start[1:] - reach[:-1] > gap)))
+    return start[at], np.fmax.reduceat(last, at), np.add.reduceat(n, at), np.add.reduceat(total, at)
+
+
 def merge_sessions(frame: pd.DataFrame, gap: pd.Timedelta) -> pd.DataFrame:
     """Sessions (start, last, n, total) that intervals of the same columns make:
     those at most ``gap`` apart are one.  Intervals in any order."""
-    frame = frame.sort_values("start", ignore_index=True)
-    reach = frame["last"].cummax().shift()
-    session = (frame["start"] - reach > gap).cumsum()
-    return frame.groupby(session).agg(start=("start", "min"), last=("last", "max"), n=("n", "sum"), total=("total", "sum")).reset_index(drop=True)
+    columns = ("start", "last", "n", "total")
+    return pd.DataFrame(dict(zip(columns, _merged(*(frame[c].to_numpy() for c in columns), gap.to_timedelta64()))))
 
 
 def _updater(gap_ms: int, tz: str):
-    gap = pd.Timedelta(milliseconds=gap_ms)
+    gap = np.timedelta64(gap_ms, "ms")
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = pd.DataFrame({"start": pd.Series(dtype="datetime64[us]"), "last": pd.Series(dtype="datetime64[us]"), "n": pd.Series(dtype="int64"), "total": pd.Series(dtype="float64")})
-        if state.exists:
-            starts, lasts, n, total = state.get
-            held = pd.DataFrame({"start": pd.to_datetime(list(starts)), "last": pd.to_datetime(list(lasts)), "n": list(n), "total": list(total)})
+        # plain arrays: a key has few rows, for which each step on a data frame costs a hundred times the work
+        starts, lasts, n, total = state.get if state.exists else ([], [], [], [])
+        held = np.array(starts, "datetime64[us]"), np.array(lasts, "datetime64[us]"), np.array(n, "int64"), np.array(total, "float64")
         for batch in batches:  # merged batch by batch: only open sessions are held
-            new = pd.DataFrame({"start": batch["ts"], "last": batch["ts"], "n": 1, "total": batch["value"]})
-            held = merge_sessions(pd.concat([held, new], ignore_index=True) if len(held) else new, gap)
-        watermark = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms", tz="UTC").tz_convert(tz).tz_localize(None)
-        out = held.assign(expired=held["last"] + gap < watermark)
-        still = out[~out["expired"]]
-        if len(still):
-            state.update((still["start"].dt.to_pydatetime().tolist(), still["last"].dt.to_pydatetime().tolist(), still["n"].astype(int).tolist(), still["total"].astype(float).tolist()))
+            ts = batch["ts"].to_numpy().astype("datetime64[us]")
+            new = ts, ts, np.ones(len(ts), "int64"), batch["value"].to_numpy()
+            held = _merged(*map(np.concatenate, zip(held, new)), gap)
+        start, last, n, total = held
+        now = state.getCurrentWatermarkMs()
+        watermark = pd.Timestamp(now, unit="ms", tz="UTC").tz_convert(tz).tz_localize(None).to_datetime64()
+        expired = last + gap < watermark
+        still = ~expired
+        if still.any():
+            state.update(tuple(x[still].tolist() for x in held))
             # pandas sees session-local wall time; the timeout is epoch milliseconds, at least past the watermark
-            first = int((still["last"].min() + gap).tz_localize(tz).timestamp() * 1000)
-            state.setTimeoutTimestamp(max(first, state.getCurrentWatermarkMs() + 1))
+            first = int(pd.Timestamp(np.fmin.reduce(last[still]) + gap).tz_localize(tz).timestamp() * 1000)
+            state.setTimeoutTimestamp(max(first, now + 1))
         elif state.exists:
             state.remove()
-        yield pd.DataFrame({"key": key[0], "session_start": out["start"], "session_end": out["last"] + gap,
-                            "duration_ms": (out["last"] - out["start"]) // pd.Timedelta(milliseconds=1),
-                            "events": out["n"].astype("int64"), "total": out["total"].astype("float64"), "expired": out["expired"].astype(bool)})
+        yield pd.DataFrame({"key": [key[0]] * len(start), "session_start": start, "session_end": last + gap,
+                            "duration_ms": (last - start) // np.timedelta64(1, "ms"),
+                            "events": n, "total": total, "expired": expired})
 
     return update
 
