@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 from vireo.functions import text as _text
 from vireo.functions.logs import parse_access_log, rejected_lines
 from vireo.operators import aggregate as _agg
-from vireo.operators.window import range_partitions
 from vireo.plans import abc, accesslog, retail, supply
 from vireo.plans import profile as _profile
 from vireo.plans.registry import query
-from vireo.plans.standins import money, retail_lines, revenue_by_item
+from vireo.plans.standins import line_partitions, money, retail_lines, revenue_by_item
 from vireo.sources.files import parquet_roundtrip, scratch_path
 from vireo.sources.tables import table
 
@@ -368,14 +367,8 @@ d AS (SELECT *, CAST(year(invoicedate) AS INTEGER) AS yr, CAST(month(invoicedate
 """
 
 
-#: Lines that one task tells apart, some 400 bytes of memory each.
-_LINES_A_TASK = 400_000
-
-
 def _retail(spark, sf, name):
-    # counted from the file's footers; partitions grow with the lines also where the shuffle width is fixed
-    parts = max(range_partitions(spark), table(spark, sf, "lineitem").count() // _LINES_A_TASK)
-    return retail.explore(retail_lines(spark, sf), _YEARS, parts)[name]
+    return retail.explore(retail_lines(spark, sf), _YEARS, line_partitions(spark, sf))[name]
 
 
 def _as_double(df):
