@@ -259,3 +259,23 @@ def _join_outputs(plan):
     if "Join" in plan.nodeName():
         out.append(plan.output())
     return out
+
+
+def test_line_parities_lose_no_link(spark):
+    """op8: of random edits of lines, every pair at the threshold may link by its parities; unlike lines may not."""
+    import random
+    from pyspark.sql import functions as F
+    from vireo.llm import line_dedup as ld
+    rng, rows = random.Random(3), []
+    for i in range(60):
+        line = "".join(rng.choice("abcdefgh ") for _ in range(rng.choice([5, 30, 90, 200])))
+        other = "".join(rng.choice("xy") if rng.random() < 0.01 else c for c in line)[rng.randrange(3):]
+        rows += [(2 * i, line), (2 * i + 1, other)]
+    own = ld.parities(spark.createDataFrame(rows, "nid long, line string"), ld.SHINGLE)
+    side = lambda x: own.select(F.col("nid").alias(x), F.col("n").alias(f"n_{x}"), F.col("p").alias(f"p_{x}"))
+    both = side("a").crossJoin(side("b")).filter("a < b").select("a", "b", ld.may_link("a", "b", ld.THRESHOLD).alias("may"))
+    may = {(r.a, r.b): r.may for r in both.collect()}
+    sets = {i: {s[j:j + ld.SHINGLE] for j in range(max(1, len(s) - ld.SHINGLE + 1))} for i, s in rows}
+    like = {p for p in may if len(sets[p[0]] & sets[p[1]]) >= ld.THRESHOLD * len(sets[p[0]] | sets[p[1]])}
+    assert len(like) > 10 and all(may[p] for p in like)
+    assert sum(may.values()) < 2 * len(like) + 60
