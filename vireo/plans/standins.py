@@ -4,7 +4,8 @@ retail invoice lines  → lineitem ⋈ orders ⋈ customer ⋈ nation ⋈ part
 shipments             → lineitem ⋈ supplier ⋈ orders ⋈ customer ⋈ nation ⋈ part
 All joins are many-to-one lookups on keys; Spark/AQE chooses the strategy
 (the dimension sides are small and get broadcast by AQE's runtime size check).
-Retail lines meet their orders in partitions of a bounded number of lines.
+Retail lines meet their orders and parts, and orders their customers, in
+partitions of a bounded number of rows.
 """
 
 from __future__ import annotations
@@ -38,6 +39,12 @@ def line_partitions(spark: SparkSession, sf: str) -> int:
     return max(range_partitions(spark), -(-table(spark, sf, "lineitem").count() // LINES_A_TASK))
 
 
+def dealt(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """``df`` of ``rows`` rows dealt by ``key`` by number, where a task of a join at the shuffle width would get over LINES_A_TASK."""
+    parts = -(-rows // LINES_A_TASK)
+    return df.repartition(parts, key) if parts > range_partitions(df.sparkSession) else df
+
+
 def retail_lines(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     # dealt by number: AQE would join partitions up to its advisory size again, which a join then sorts in one task
@@ -46,12 +53,12 @@ def retail_lines(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf, "nation").select("n_nationkey", "n_name")
     p = table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
-    # a country an order, before there is a row a line
-    o = (o.join(c, F.col("o_custkey") == c.c_custkey)
-         .join(n, F.col("c_nationkey") == n.n_nationkey)
+    # a country a customer and then an order, before there is a row a line
+    c = c.join(n, F.col("c_nationkey") == n.n_nationkey).select("c_custkey", "n_name")
+    o = (dealt(o, table(spark, sf, "orders").count(), "o_custkey").join(c, F.col("o_custkey") == c.c_custkey)
          .select("o_orderkey", "o_orderdate", "n_name"))
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-            .join(p, F.col("l_partkey") == p.p_partkey)
+    sold = dealt(li.join(o, li.l_orderkey == o.o_orderkey), table(spark, sf, "lineitem").count(), "l_partkey")
+    return (sold.join(p, F.col("l_partkey") == p.p_partkey)
             .select(F.col("l_orderkey").alias("invoice"),
                     F.col("p_name").alias("description"),
                     F.col("p_type").alias("stockcode"),
