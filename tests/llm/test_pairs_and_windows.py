@@ -279,3 +279,25 @@ def test_line_parities_lose_no_link(spark):
     like = {p for p in may if len(sets[p[0]] & sets[p[1]]) >= ld.THRESHOLD * len(sets[p[0]] | sets[p[1]])}
     assert len(like) > 10 and all(may[p] for p in like)
     assert sum(may.values()) < 2 * len(like) + 60
+
+
+def test_unlike_members_of_a_crowded_bucket_are_ruled_out_before_they_are_verified(spark, monkeypatch):
+    """op8, pipeline: lines with one long passage in common and a head of their own; the classes are exact, and few unlike pairs are verified."""
+    from pyspark.sql import functions as F
+    from vireo.llm import line_dedup as ld
+    rng = random.Random(21)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    passage = word(400)
+    texts = [word(rng.choice([20, 40, 60, *range(90, 200, 10)])) + "." + passage for _ in range(250)]
+    rng.shuffle(texts)
+    checked, verified = {}, ld.verified
+
+    def counted(pairs, texts, k, threshold, scratch, name):
+        checked[name] = pairs.select(F.count("*")).first()[0]
+        return verified(pairs, texts, k, threshold, scratch, name)
+
+    monkeypatch.setattr(ld, "verified", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = ld.dedup_lines(docs, drop_emptied=True).collect()
+    assert len(got) == len(brute.dedup_lines(texts)[0])
+    assert sum(checked.values()) < 8 * len(texts), checked
