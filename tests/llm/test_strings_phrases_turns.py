@@ -194,3 +194,27 @@ def test_remove_repeats_of_nothing_and_pieces(spark, monkeypatch):
     whole = {(int(p), s) for r, p, a, z in suffix_dedup.sampled(data, np.array([0, len(data)]), 50) for p, a, z in zip(p, a, z) for s in range(a, z + 1)}
     monkeypatch.setattr(suffix_dedup, "PIECE", 7)
     assert whole == {(int(p), s) for r, p, a, z in suffix_dedup.sampled(data, np.array([0, len(data)]), 50) for p, a, z in zip(p, a, z) for s in range(a, z + 1)}
+
+
+def test_the_lowest_rank_of_a_window_and_its_place_are_one_minimum():
+    import time
+    import numpy as np
+    few = np.random.default_rng(3).integers(0, 3, 400).astype(np.uint64) << np.uint64(60)  # many ties
+    near = few + np.random.default_rng(4).integers(0, 2, 400).astype(np.uint64)             # and ranks that differ in their last bit
+    for width in (1, 2, 3, 35, 64):
+        assert suffix_dedup._lowest(few, width).tolist() == [i + int(np.argmin(few[i:i + width])) for i in range(400 - width + 1)]
+        # a string's place does not depend on how many ranks are looked at with it
+        here = suffix_dedup._lowest(near[50:50 + width], width) + 50
+        assert here.tolist() == suffix_dedup._lowest(np.concatenate([near] * 50), width)[50:51].tolist()
+    data = np.random.default_rng(5).integers(0, 256, 1 << 18).astype(np.uint8)
+    ranks = suffix_dedup.ranks16(data)
+
+    def least(work):
+        took = []
+        for _ in range(7):
+            start = time.process_time()
+            work()
+            took.append(time.process_time() - start)
+        return min(took)
+
+    assert least(lambda: suffix_dedup._lowest(ranks, 35)) < 3 * least(lambda: suffix_dedup.ranks16(data))
