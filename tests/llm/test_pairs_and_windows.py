@@ -128,6 +128,27 @@ def test_top_k_matches_brute_force(spark, monkeypatch):
     assert len(got) == len(set(got))
 
 
+def test_top_k_copies_no_query_for_each_block(spark, monkeypatch):
+    monkeypatch.setattr(bit_sliced, "BLOCK_ROWS", 20)
+    frame = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(300)], "vec_id long, embedding array<double>")
+    found = bit_sliced.top_k(frame, frame.filter("vec_id % 50 = 0"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Generate" not in plan and "CartesianProduct" in plan
+    assert {tuple(r) for r in found.select("query_id", "rank", "vec_id", "score").collect()} == brute_top([(i, [float(i % 7), 1.0]) for i in range(300)], 5)
+
+
+def test_written_slices_add_up_to_every_score():
+    rng = np.random.default_rng(4)
+    for dims, most in ((1, 1), (4, 300), (7, 300), (9, 2**28), (5, 0)):
+        values = rng.integers(-most, most + 1, (130, dims))
+        values[:, 0] = 3
+        queries = np.r_[values[:70], -values[:70]]
+        index = bit_sliced.Slices.unpacked(130, *bit_sliced.Slices(values).packed())
+        total, base = index.scores(queries)
+        bits = [np.unpackbits(p.view(np.uint8), axis=1, bitorder="little")[:, :130].astype(object) for p in total]
+        assert (base[:, None].astype(object) + sum(b << i for i, b in enumerate(bits)) == queries.astype(object) @ values.T.astype(object)).all()
+
+
 def test_top_k_of_few_or_no_vectors(spark):
     frame = spark.createDataFrame([(0, [1.0, 0.0]), (50, [0.0, 1.0])], "vec_id long, embedding array<double>")
     assert sorted(tuple(r) for r in bit_sliced.top_k(frame, frame).collect()) == [(0, 1, 50, 0), (50, 1, 0, 0)]

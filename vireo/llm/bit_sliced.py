@@ -21,6 +21,12 @@ from vireo.llm.common import Scratch
 
 #: Rows of an index block and queries of a chunk: bounds of one unit of work.
 BLOCK_ROWS, CHUNK_QUERIES = 4096, 128
+#: Dimensions whose sums are added at once, 2^GROUP of them.
+GROUP = 4
+#: Queries that are added at once: their slices stay in the processor's cache.
+PIECE = 64
+#: Chunks that meet the blocks of one read split in a task.
+TASK_CHUNKS = 8
 _ONE = np.uint64(1)
 
 
@@ -44,6 +50,7 @@ class Slices:
 
     def __init__(self, values: np.ndarray):
         self.rows, dims = values.shape
+        self.sums: tuple | None = None
         self.low = values.min(axis=0)
         self.slices: list[np.ndarray] = []
         for d in range(dims):
@@ -51,44 +58,89 @@ class Slices:
             width = int(rest.max()).bit_length()
             self.slices.append(pack(np.stack([(rest >> np.uint64(b)) & _ONE == 1 for b in range(width)])) if width else np.empty((0, -(-self.rows // 64)), np.uint64))
 
+    def packed(self) -> tuple[bytes, bytes, bytes]:
+        """(low, slices of each dimension, all slices): what ``unpacked`` reads."""
+        return self.low.astype(np.int64).tobytes(), np.array([len(x) for x in self.slices], np.int8).tobytes(), b"".join(x.tobytes() for x in self.slices)
+
+    @classmethod
+    def unpacked(cls, rows: int, low: bytes, widths: bytes, planes: bytes) -> Slices:
+        self = cls.__new__(cls)
+        self.rows, self.low, self.sums = rows, np.frombuffer(low, np.int64), None
+        every = np.frombuffer(planes, np.uint64).reshape(-1, -(-rows // 64))
+        self.slices = np.split(every, np.cumsum(np.frombuffer(widths, np.int8), dtype=np.int64)[:-1])
+        return self
+
+    def _sums(self) -> tuple[list[tuple[list, int]], list, int]:
+        """(tables, rest, top): for each GROUP dimensions the sums of each subset of them, as planes over subset and row; top - the sum of all, as planes over the row."""
+        tables, rest, top = [], [], 0
+        for first in range(0, len(self.slices), GROUP):
+            table, most, subsets = [], 0, 1
+            for planes in self.slices[first:first + GROUP]:
+                most += (1 << len(planes)) - 1
+                more = _add(table, [p[None, :] for p in planes], most)
+                table += [None] * (len(more) - len(table))
+                table = [np.concatenate([np.zeros_like(y, shape=(subsets, y.shape[-1])) if x is None else x, np.broadcast_to(y, (subsets, y.shape[-1]))]) for x, y in zip(table, more)]
+                subsets *= 2
+                top += (1 << len(planes)) - 1
+                rest = _add(rest, [~p for p in planes], top)
+            tables.append((table, most))
+        return tables, rest, top
+
     def scores(self, queries: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """(slices, base): the score of query q and row r is base[q] + sum of 2^b * bit r of slices[b][q].
 
-        A negative weight w on value v is |w| on the complement: w*v = |w|*(top-v) - |w|*top.
+        Weights are made positive by a power of two, 2^m: w*v = (w + 2^m)*v + 2^m*(top-v) - 2^m*top.
+        For each bit of the weights, a group's part is one of the sums of its dimensions.
         """
-        words = -(-self.rows // 64)
-        base = queries @ self.low
-        total: list[np.ndarray] = []
-        for d, planes in enumerate(self.slices):
-            weight = np.abs(queries[:, d]).astype(np.uint64)
-            negative = queries[:, d] < 0
-            width = len(planes)
-            base = base - np.where(negative, weight.astype(np.int64) * ((1 << width) - 1), 0)
-            flip = np.where(negative, ~np.uint64(0), np.uint64(0))[:, None]
-            turned = [p[None, :] ^ flip for p in planes]
-            for b in range(int(weight.max()).bit_length() if len(weight) and width else 0):
-                mask = np.where((weight >> np.uint64(b)) & _ONE == 1, ~np.uint64(0), np.uint64(0))[:, None]
-                if not mask.any():
-                    continue
-                carry = None
-                for j in range(width):
-                    at, addend = b + j, turned[j] & mask
-                    while len(total) <= at:
-                        total.append(np.zeros((len(queries), words), np.uint64))
-                    held = total[at]
-                    half = held ^ addend
-                    if carry is None:
-                        total[at], carry = half, held & addend
-                    else:
-                        total[at], carry = half ^ carry, (held & addend) | (half & carry)
-                at = b + width
-                while carry.any():
-                    if len(total) <= at:
-                        total.append(carry)
-                        break
-                    total[at], carry = total[at] ^ carry, total[at] & carry
-                    at += 1
-        return total, base
+        if self.sums is None:
+            self.sums = self._sums()
+        tables, rest, top = self.sums
+        m = int(np.abs(queries).max(initial=0)).bit_length()
+        weights = queries.astype(np.uint64) + np.uint64(1 << m)
+        most = sum(upto for _, upto in tables) * ((2 << m) - 1) + (top << m)
+        total = [np.zeros((len(queries), -(-self.rows // 64)), np.uint64) for _ in range(most.bit_length())]
+        for at in range(0, len(queries), PIECE):
+            for plane, part in zip(total, self._total(tables, weights[at:at + PIECE], m, rest, most)):
+                if part is not None:
+                    plane[at:at + PIECE] = part
+        off = (top << m) % (1 << 64)  # scores fit 64 bits, where sums wrap around
+        return total, ((queries @ self.low).astype(np.uint64) - np.uint64(off)).astype(np.int64)
+
+    @staticmethod
+    def _total(tables: list[tuple[list, int]], weights: np.ndarray, m: int, rest: list, most: int) -> list:
+        total: list = []
+        for b in reversed(range(m + 1)):
+            bits = ((weights >> np.uint64(b)) & _ONE).astype(np.intp)
+            held: list[tuple[int, list, int]] = []  # sums of 1, 2, 4 ... groups
+            for g, (table, upto) in enumerate(tables):
+                own = bits[:, GROUP * g:GROUP * (g + 1)]
+                subset = own @ (1 << np.arange(own.shape[1]))
+                held.append((1, [plane.take(subset, axis=0) for plane in table], upto))
+                while len(held) > 1 and (held[-1][0] == held[-2][0] or g == len(tables) - 1):
+                    (i, x, j), (k, y, n) = held.pop(), held.pop()
+                    held.append((i + k, _add(x, y, j + n), j + n))
+            total = _add([None, *total], held[0][1] if held else [], most)
+        return _add(total, [None] * m + rest, most)
+
+
+def _add(x: list, y: list, most: int) -> list:
+    """The planes of two sums' sum, which is ``most`` at most; None is a plane without a bit."""
+    out, carry = [], None
+    for j in range(min(max(len(x), len(y)) + 1, most.bit_length())):
+        held = [p[j] for p in (x, y) if j < len(p) and p[j] is not None] + [carry] * (carry is not None)
+        if len(held) < 2:
+            out.append(held[0] if held else None)
+            carry = None
+        elif len(held) == 2:
+            out.append(held[0] ^ held[1])
+            carry = held[0] & held[1]
+        else:
+            half = held[0] ^ held[1]
+            out.append(half ^ carry)
+            half &= carry
+            half |= held[0] & held[1]
+            carry = half
+    return out
 
 
 def select_top(total: list[np.ndarray], allowed: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,27 +156,26 @@ def select_top(total: list[np.ndarray], allowed: np.ndarray, k: int) -> tuple[np
     return sure, tied
 
 
-def _rows_of(words: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.unpackbits(words.view(np.uint8), bitorder="little"))
+def _places(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row) of the bits, in their order."""
+    return np.nonzero(np.unpackbits(words.view(np.uint8), axis=1, bitorder="little"))
 
 
-def top_of_block(values: np.ndarray, ids: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, index: Slices | None = None) -> list[tuple[int, int, int]]:
+def top_of_block(index: Slices, ids: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query_id, id, score): the k best rows of a block (ids ascending) for every query, other rows' ids only; ties go to smaller ids."""
-    index = index or Slices(values)
     total, base = index.scores(queries)
     allowed = pack(ids[None, :] != query_ids[:, None])
     sure, tied = select_top(total, allowed, k)
-    out = []
-    for q in range(len(query_ids)):
-        best = _rows_of(sure[q])
-        need = k - len(best)
-        if need > 0:
-            best = np.concatenate([best, _rows_of(tied[q])[:need]])
-        score = np.full(len(best), base[q], np.int64)
-        for b, plane in enumerate(total):
-            score += (((plane[q][best >> 6] >> (best & 63).astype(np.uint64)) & _ONE).astype(np.int64)) << b
-        out += zip([int(query_ids[q])] * len(best), ids[best].tolist(), score.tolist())
-    return out
+    q, row = _places(sure)
+    left = k - np.bincount(q, minlength=len(query_ids))
+    maybe, at = _places(tied)
+    nth = np.arange(len(maybe)) - np.searchsorted(maybe, maybe)
+    more = nth < left[maybe]
+    q, row = np.r_[q, maybe[more]], np.r_[row, at[more]]
+    score = base[q]
+    for b, plane in enumerate(total):
+        score += ((plane[q, row >> 6] >> (row & 63).astype(np.uint64)) & _ONE).astype(np.int64) << b
+    return query_ids[q], ids[row], score
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, ident: str = "vec_id", vector: str = "embedding", scale: int = 256) -> DataFrame:
@@ -137,9 +188,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, ident: str = "vec_
     separate rows; a query id with several vectors gets the k best over all of
     them.  Scores must fit 64 bits.  Empty tables give an empty result.
 
-    The index is written once, a row per block of BLOCK_ROWS vectors at most
-    (on average; blocks are dealt by hash).  Queries are dealt into chunks and
-    every chunk meets every block: a fixed query set against all rows.
+    The index is written once, a row of bit slices per block of BLOCK_ROWS
+    vectors at most (on average; blocks are dealt by position).  Queries are dealt into chunks and every chunk meets every
+    block: a fixed query set against all rows.  They meet in a product of the
+    partitions of both tables, which a task reads for itself: neither is copied
+    for the other through the driver or a shuffle.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark)
@@ -154,28 +207,35 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, ident: str = "vec_
     # dealt by position, so that no id or vector, however frequent, fills a block
     dealt = rows.withColumn("block", F.pmod(F.monotonically_increasing_id(), F.lit(blocks)))
 
-    def gather(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    def gather(pdf: pd.DataFrame) -> tuple[bytes, np.ndarray]:
         pdf = pdf.sort_values("id", kind="stable")
-        values = np.stack(pdf["v"].to_numpy()).astype(np.int64)
-        return pd.DataFrame({"block": [key[0]], "dims": [key[1]], "ids": [pdf["id"].to_numpy(np.int64).tobytes()], "vals": [values.tobytes()]})
+        return pdf["id"].to_numpy(np.int64).tobytes(), np.stack(pdf["v"].to_numpy()).astype(np.int64)
+
+    def sliced(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, values = gather(pdf)
+        low, widths, planes = Slices(values).packed()
+        return pd.DataFrame({"block": [key[0]], "dims": [key[1]], "ids": [ids], "low": [low], "widths": [widths], "planes": [planes]})
+
+    def chunked(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, values = gather(pdf)
+        return pd.DataFrame({"dims": [key[1]], "query_ids": [ids], "query_vals": [values.tobytes()]})
 
-    packed = "block long, dims int, ids binary, vals binary"
-    index = scratch.cut(dealt.groupBy("block", "dims").applyInPandas(gather, packed), "index")
+    index = scratch.cut(dealt.groupBy("block", "dims").applyInPandas(sliced, "block long, dims int, ids binary, low binary, widths binary, planes binary"), "index")
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id", F.lit(13)), F.lit(chunks)))
-    chunk = asked.groupBy("block", "dims").applyInPandas(gather, packed).select("dims", F.col("ids").alias("query_ids"), F.col("vals").alias("query_vals"))
-    # one small row per chunk and block
-    sent = scratch.cut(chunk, "chunks").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    units = index.join(sent, ["block", "dims"])
+    sent = scratch.cut(asked.groupBy("block", "dims").applyInPandas(chunked, "dims int, query_ids binary, query_vals binary"), "chunks")
+    # dealt by position; never broadcast, however small its files are
+    sent = sent.repartition(max(1, -(-chunks // TASK_CHUNKS))).hint("shuffle_replicate_nl")
+    units = index.join(sent, "dims")
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: tuple | None = None
         for pdf in batches:
-            for block, dims, ids, vals, qids, qvals in zip(pdf["block"], pdf["dims"], pdf["ids"], pdf["vals"], pdf["query_ids"], pdf["query_vals"]):
+            for block, dims, ids, low, widths, planes, qids, qvals in zip(*(pdf[c] for c in ("block", "dims", "ids", "low", "widths", "planes", "query_ids", "query_vals"))):
                 if held is None or held[0] != (block, dims):
-                    values = np.frombuffer(vals, np.int64).reshape(-1, dims)
-                    held = (block, dims), values, np.frombuffer(ids, np.int64), Slices(values)
-                found = top_of_block(held[1], held[2], np.frombuffer(qids, np.int64), np.frombuffer(qvals, np.int64).reshape(-1, dims), k, held[3])
-                yield pd.DataFrame(found, columns=["query_id", "id", "score"])
+                    own = np.frombuffer(ids, np.int64)
+                    held = (block, dims), own, Slices.unpacked(len(own), low, widths, planes)
+                found = top_of_block(held[2], held[1], np.frombuffer(qids, np.int64), np.frombuffer(qvals, np.int64).reshape(-1, dims), k)
+                yield pd.DataFrame(dict(zip(("query_id", "id", "score"), found)))
 
     local = units.mapInPandas(answer, "query_id long, id long, score long")
     return _best(local, k).select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(ident), "score")
