@@ -6,11 +6,15 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
 from vireo.llm import collocations, suffix_dedup, turn_repair
 from vireo.llm.common import Scratch
+from vireo.llm.words import text_bytes
 
 
 # --- 11 ----------------------------------------------------------------------
@@ -187,6 +191,42 @@ def test_removed_bytes_equal_brute_force(spark, length):
     assert found == without_repeats(rows, length)
 
 
+def test_remove_repeats_writes_no_more_than_the_texts_at_a_time(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(900)}" for _ in range(400)) for _ in range(6)]
+    written = {}
+
+    class Counted(suffix_dedup.Scratch):
+        def cut(self, df, name, *args):
+            out = super().cut(df, name, *args)
+            held = [F.octet_length(c) for c, kind in out.dtypes if kind in ("string", "binary")]
+            written[name] = sum(out.select(F.coalesce(F.sum(x), F.lit(0)).alias("n")).first().n for x in held)
+            return out
+
+    monkeypatch.setattr(suffix_dedup, "Scratch", Counted)
+    docs = spark.createDataFrame([(i, texts[i % 6]) for i in range(12)], "doc_id long, text string")  # every position is shared
+    kept = {r.doc_id: bytes(r.kept).decode() for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert kept == {i: texts[i] if i < 6 else "" for i in range(12)}
+    assert max(written.values()) <= 1.1 * 2 * sum(map(len, texts)), written
+
+
+def test_ranks_of_two_ids_are_named_across_batches_and_parts():
+    rng = random.Random(1)
+    words = [f"word{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(12, 30))) for _ in range(300)]
+    batches = [pa.RecordBatch.from_pydict({"id": [rng.randrange(200) for _ in range(100)], "text": texts[i:i + 100]}) for i in (0, 100, 200)]
+    asked = pa.Table.from_batches(list(suffix_dedup._asked(50, 7)(iter(batches))))
+    got = [x for k in range(7) for x in suffix_dedup._shared(asked.filter(pc.equal(asked["part"], k)))["rank"].to_pylist()]
+    ids = {}
+    for batch in batches:
+        data, offsets = text_bytes(batch.column("text"))
+        for rank, place, _, _ in suffix_dedup.sampled(data, offsets, 50):
+            for name, row in zip((rank >> suffix_dedup._FREE).tolist(), np.searchsorted(offsets, place, "right") - 1):
+                ids.setdefault(name, set()).add(batch.column("id")[int(row)].as_py())
+    need = {name for name, of in ids.items() if len(of) > 1}
+    assert need and len(got) == len(set(got)) and need <= set(got) and len(set(got)) < len(ids)
+
+
 def test_remove_repeats_of_nothing_and_pieces(spark, monkeypatch):
     assert suffix_dedup.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     import numpy as np
