@@ -25,8 +25,8 @@ BLOCK_ROWS, CHUNK_QUERIES = 4096, 128
 GROUP = 4
 #: Queries that are added at once: their slices stay in the processor's cache.
 PIECE = 64
-#: Chunks that meet the blocks of one read split in a task.
-TASK_CHUNKS = 8
+#: Blocks and chunks (on average) that meet in a task.
+TASK_BLOCKS, TASK_CHUNKS = 8, 64
 _ONE = np.uint64(1)
 
 
@@ -190,9 +190,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, ident: str = "vec_
 
     The index is written once, a row of bit slices per block of BLOCK_ROWS
     vectors at most (on average; blocks are dealt by position).  Queries are dealt into chunks and every chunk meets every
-    block: a fixed query set against all rows.  They meet in a product of the
-    partitions of both tables, which a task reads for itself: neither is copied
-    for the other through the driver or a shuffle.
+    block: a fixed query set against all rows.  They meet group by
+    group through a shuffle, which has a copy of a chunk for TASK_BLOCKS blocks
+    and a copy of a block for TASK_CHUNKS chunks; nothing goes through the driver.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark)
@@ -223,9 +223,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, ident: str = "vec_
     index = scratch.cut(dealt.groupBy("block", "dims").applyInPandas(sliced, "block long, dims int, ids binary, low binary, widths binary, planes binary"), "index")
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id", F.lit(13)), F.lit(chunks)))
     sent = scratch.cut(asked.groupBy("block", "dims").applyInPandas(chunked, "dims int, query_ids binary, query_vals binary"), "chunks")
-    # dealt by position; never broadcast, however small its files are
-    sent = sent.repartition(max(1, -(-chunks // TASK_CHUNKS))).hint("shuffle_replicate_nl")
-    units = index.join(sent, "dims")
+    # groups of blocks meet groups of chunks: few copies of either, merged by key and never broadcast
+    lots, cells = -(-blocks // TASK_BLOCKS), -(-chunks // TASK_CHUNKS)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    sent = sent.withColumn("cell", F.pmod(F.xxhash64("query_ids"), F.lit(cells))).withColumn("lot", every(lots))
+    units = index.withColumn("lot", F.pmod("block", F.lit(lots))).withColumn("cell", every(cells)).join(sent.hint("merge"), ["lot", "cell", "dims"])
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: tuple | None = None
